@@ -285,14 +285,14 @@ FROZEN = [f"rolling_{a}_energy_kwh_{n}" for n in PLAN.windows for a in PLAN.aggs
 
 def _table_sql() -> str:
     rolling = ", ".join(
-        f"round({full(sql, n, HOUR_KEY)}, 6) AS rolling_{name}_energy_kwh_{n}"
+        f"{full(sql, n, HOUR_KEY)} AS rolling_{name}_energy_kwh_{n}"
         for n in PLAN.windows
         for name, sql in (("mean", MEAN), ("std", STD))
     )
     lags = ", ".join(f"lag(energy_kwh, {n}) OVER ({HOUR_KEY}) AS lagged_{n}_energy_kwh" for n in PLAN.lags)
     averages = ", ".join(
-        f"round(CAST(sum(cents) OVER ({HOUR_KEY} ROWS BETWEEN {start} PRECEDING AND 24 PRECEDING) AS DOUBLE) / "
-        f"nullif(count(cents) OVER ({HOUR_KEY} ROWS BETWEEN {start} PRECEDING AND 24 PRECEDING), 0) / 100, 6) AS {name}"
+        f"CAST(sum(cents) OVER ({HOUR_KEY} ROWS BETWEEN {start} PRECEDING AND 24 PRECEDING) AS DOUBLE) / "
+        f"nullif(count(cents) OVER ({HOUR_KEY} ROWS BETWEEN {start} PRECEDING AND 24 PRECEDING), 0) / 100 AS {name}"
         for start, name in [
             ("UNBOUNDED", "customer_mean_energy_kwh"),
             *[(d * 24 + 23, f"customer_{d}d_mean_energy_kwh") for d in PLAN.average_days],
@@ -327,10 +327,9 @@ TABLE = _table_sql()
 
 
 def _comparable(df):
-    """Weather values are single-precision and are compared as they are."""
-    exact = [c for c in df.columns if c in WEATHER_COLUMNS.split(", ")]
-    rounded = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
-    return plain(df.withColumns({c: F.round(c, 6) for c in rounded if c not in exact}), digits=None)
+    """Only sines and cosines are rounded; all else is exact in both engines."""
+    cycles = [c for c in df.columns if c.endswith(("_sin", "_cos"))]
+    return plain(df.withColumns({c: F.round(c, 6) for c in cycles}), digits=None)
 
 
 def _table(spark, sf, plan):

@@ -28,11 +28,17 @@ STD = f"sqrt({VAR})"
 SEM = f"{STD} / sqrt(CAST({{n}} AS DOUBLE))"
 
 
-def rolled(names: dict[str, str], windows: tuple[int, ...], source: str = "energy") -> str:
+def rolled(
+    names: dict[str, str], windows: tuple[int, ...], source: str = "energy", places: int | None = None
+) -> str:
+    """Sums of whole cents are exact in both engines, so results are compared
+    as they are unless ``places`` says otherwise."""
     columns = ", ".join(
-        f"round({full(sql, n)}, 6) AS rolling_{name}_energy_kwh_{n}" for name, sql in names.items() for n in windows
+        (f"round({full(sql, n)}, {places})" if places else full(sql, n)) + f" AS rolling_{name}_energy_kwh_{n}"
+        for name, sql in names.items()
+        for n in windows
     )
-    return f"SELECT {IDS}, round(energy_kwh, 6) AS energy_kwh, {columns} FROM {source}"
+    return f"SELECT {IDS}, energy_kwh, {columns} FROM {source}"
 
 
 LAGS = (1, 6, 12, 24, 48)
@@ -61,11 +67,11 @@ def lag_features_week(spark, sf):
     return history.add_lags(views.series_hour(spark, sf), (24, 168), order=HOURLY)
 
 
-def _rolling(name: str, aggs: dict[str, str], windows=(6, 12, 24), source: str = "energy", digits=2):
-    @query(name, rolled(aggs, windows, source))
+def _rolling(name, aggs: dict[str, str], windows=(6, 12, 24), source="energy", digits=2, places=None):
+    @query(name, rolled(aggs, windows, source, places))
     def run(spark, sf):
         df = getattr(views, source)(spark, sf)
-        return plain(history.add_rolling_stats(df, windows, list(aggs), order=ORDER, digits=digits))
+        return plain(history.add_rolling_stats(df, windows, list(aggs), order=ORDER, digits=digits), places)
 
 
 _rolling("rolling_mean", {"mean": MEAN})
@@ -74,9 +80,9 @@ _rolling("rolling_sum", {"sum": SUM})
 _rolling("rolling_var", {"var": VAR})
 _rolling("rolling_sem", {"sem": SEM})
 _rolling("rolling_min_max", {"min": "min(energy_kwh) OVER {f}", "max": "max(energy_kwh) OVER {f}"})
-_rolling("rolling_median", {"median": "quantile_cont(energy_kwh, 0.5) OVER {f}"})
+_rolling("rolling_median", {"median": "quantile_cont(energy_kwh, 0.5) OVER {f}"}, places=6)
 _rolling("rolling_missing_values", {"mean": MEAN, "std": STD, "max": "max(energy_kwh) OVER {f}"}, (2, 3, 6), "energy_gaps")
-_rolling("rolling_plain_doubles", {"mean": MEAN, "std": STD, "var": VAR, "sem": SEM}, (6, 12), digits=None)
+_rolling("rolling_plain_doubles", {"mean": MEAN, "std": STD, "var": VAR, "sem": SEM}, (6, 12), digits=None, places=6)
 
 
 def _power(p: int) -> str:
@@ -140,8 +146,8 @@ def averages_sql(source: str, key: str, ids: str, days: tuple[int, ...], column:
     for d in days:
         frames[f"customer_{d}d_mean_{column}"] = f"({key} ROWS BETWEEN {d * 24 + 23} PRECEDING AND 24 PRECEDING)"
     columns = ", ".join(
-        f"round(CASE WHEN count(cents) OVER {f} > 0 THEN CAST(sum(cents) OVER {f} AS DOUBLE)"
-        f" / count(cents) OVER {f} / 100 END, 6) AS {name}"
+        f"CASE WHEN count(cents) OVER {f} > 0 THEN CAST(sum(cents) OVER {f} AS DOUBLE)"
+        f" / count(cents) OVER {f} / 100 END AS {name}"
         for name, f in frames.items()
     )
     return f"SELECT {ids}, energy_kwh, {columns} FROM {source}"
@@ -150,8 +156,7 @@ def averages_sql(source: str, key: str, ids: str, days: tuple[int, ...], column:
 @query("expanding_mean", averages_sql("energy_gaps", KEY, IDS, ()))
 def expanding_mean(spark, sf):
     return plain(
-        history.add_customer_averages(views.energy_gaps(spark, sf), 24, (), order=ORDER, digits=2)
-    )
+        history.add_customer_averages(views.energy_gaps(spark, sf), 24, (), order=ORDER, digits=2), digits=None)
 
 
 @query("trailing_day_means", averages_sql("series_hour", HOUR_KEY, 'object_id, "timestamp"', (1, 7, 30, 90)))
@@ -159,15 +164,13 @@ def trailing_day_means(spark, sf):
     return plain(
         history.add_customer_averages(
             views.series_hour(spark, sf), 24, (1, 7, 30, 90), order=HOURLY, digits=2
-        )
-    )
+        ), digits=None)
 
 
 @query("trailing_day_means_meters", averages_sql("energy_gaps", KEY, IDS, (1, 2, 30)))
 def trailing_day_means_meters(spark, sf):
     return plain(
-        history.add_customer_averages(views.energy_gaps(spark, sf), 24, (1, 2, 30), order=ORDER, digits=2)
-    )
+        history.add_customer_averages(views.energy_gaps(spark, sf), 24, (1, 2, 30), order=ORDER, digits=2), digits=None)
 
 
 @query(
@@ -192,7 +195,7 @@ def frozen_sql(window: int, source: str, index: bool) -> str:
       SELECT {IDS}, energy_kwh, row_number() OVER ({KEY}) AS rn,
         lag(energy_kwh, 1) OVER ({KEY}) AS lagged_1_energy_kwh,
         lag(energy_kwh, 6) OVER ({KEY}) AS lagged_6_energy_kwh,
-        round({full(MEAN, 6)}, 6) AS rolling_mean_energy_kwh_6
+        {full(MEAN, 6)} AS rolling_mean_energy_kwh_6
       FROM {source}))"""
 
 
@@ -205,7 +208,7 @@ def _frozen(df, window, part_rows=None, multi=False):
     parts = SeriesParts.measure(df, ORDER, window + 6, part_rows=part_rows)
     opened = _with_history(parts.open(df), parts)
     freeze = history.convert_to_multi_horizon if multi else history.freeze_history_features
-    return plain(parts.close(freeze(opened, window, ["energy_kwh"], parts)))
+    return plain(parts.close(freeze(opened, window, ["energy_kwh"], parts)), digits=None)
 
 
 @query("frozen_features", frozen_sql(24, "energy_gaps", False))
@@ -250,8 +253,7 @@ def hot_series_rolling(spark, sf):
     return plain(
         history.add_rolling_stats(
             views.energy(spark, sf), (6, 12), ["mean", "std"], order=ORDER, digits=2, part_rows=14
-        )
-    )
+        ), digits=None)
 
 
 @query("hot_series_averages", averages_sql("series_hour", HOUR_KEY, 'object_id, "timestamp"', (1, 3)))
@@ -259,8 +261,7 @@ def hot_series_averages(spark, sf):
     return plain(
         history.add_customer_averages(
             views.series_hour(spark, sf), 24, (1, 3), order=HOURLY, digits=2, part_rows=100
-        )
-    )
+        ), digits=None)
 
 
 @query(
