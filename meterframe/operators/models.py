@@ -53,48 +53,83 @@ def predict_linear(
 
 
 # -- many features, sums of products ------------------------------------------
+#
+# A meter's rows [1, x, y] enter the fit only through the matrix of their sums
+# of products, of which the upper triangle is kept.
 
 
-def _partial_products(key: str, columns: Sequence[str], kind: type):
-    """Task-side sums of products [1, x, y]' [1, x, y] for runs of one key.
-    Rows come sorted by key, so one matrix is held at a time."""
+def _runs(keys: np.ndarray) -> np.ndarray:
+    """Starts of the runs of equal keys."""
+    return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+
+
+def _products(key: str, columns: Sequence[str]):
+    """Sums of products for each run of one key in a batch."""
+    size = len(columns) + 1
+    upper = np.triu_indices(size)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if batch.empty:
+                continue
+            values = np.column_stack([np.ones(len(batch)), batch[list(columns)].to_numpy(dtype=float)])
+            starts = _runs(batch[key].to_numpy())
+            blocks = np.split(values, starts[1:])
+            yield pd.DataFrame(
+                {
+                    key: batch[key].iloc[starts].to_numpy(),
+                    "products": [(block.T @ block)[upper] for block in blocks],
+                }
+            )
+
+    return run
+
+
+def _added_up(key: str):
+    """One row per key from rows sorted by key, one open key at a time."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, total = None, None
+        held_key, held = None, None
         for batch in batches:
-            values = batch[list(columns)].to_numpy(dtype=float)
-            values = np.column_stack([np.ones(len(values)), values])
+            if batch.empty:
+                continue
             keys = batch[key].to_numpy()
-            cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
-            for rows in np.split(np.arange(len(keys)), cuts):
-                if not len(rows):
-                    continue
-                if keys[rows[0]] != current:
-                    if total is not None:
-                        yield pd.DataFrame({key: [kind(current)], "products": [total.ravel()]})
-                    current, total = keys[rows[0]], 0.0
-                total = total + values[rows].T @ values[rows]
-        if total is not None:
-            yield pd.DataFrame({key: [kind(current)], "products": [total.ravel()]})
+            starts = _runs(keys)
+            sums = np.add.reduceat(np.stack(batch["products"].to_list()), starts, axis=0)
+            found = list(keys[starts])
+            if held is not None:
+                if found[0] == held_key:
+                    sums[0] += held
+                else:
+                    found, sums = [held_key, *found], np.vstack([held, sums])
+            held_key, held = found[-1], sums[-1]
+            if len(found) > 1:
+                yield pd.DataFrame({key: found[:-1], "products": list(sums[:-1])})
+        if held is not None:
+            yield pd.DataFrame({key: [held_key], "products": [held]})
 
     return run
 
 
-def _solve(products: np.ndarray, penalty: float) -> tuple[float, np.ndarray, np.ndarray]:
+def _solve(products: np.ndarray, size: int, penalty: float) -> tuple[int, float, np.ndarray, np.ndarray]:
     """Ridge weights on standardised features from sums of products."""
-    n = products[0, 0]
-    mean = products[0, 1:] / n
-    spread = products[1:, 1:] / n - np.outer(mean, mean)
+    full = np.zeros((size, size))
+    full[np.triu_indices(size)] = products
+    n = full[0, 0]
+    mean = full[0, 1:] / n
+    inner = full[1:, 1:]
+    inner = inner + np.triu(inner, 1).T
+    spread = inner / n - np.outer(mean, mean)
     scale = np.sqrt(np.clip(np.diag(spread)[:-1], 0.0, None))
-    used = scale > 1e-9 * (1.0 + np.abs(mean[:-1]))
+    # A feature that does not vary at this meter takes no part.
+    used = np.flatnonzero(scale > 1e-7 * (1.0 + np.abs(mean[:-1])))
     weights = np.zeros(len(scale))
-    if used.any():
-        picked = np.flatnonzero(used)
-        s = scale[picked]
-        corr = spread[np.ix_(picked, picked)] / np.outer(s, s)
-        load = spread[picked, -1] / s
-        weights[picked] = np.linalg.solve(corr + penalty / n * np.eye(len(s)), load) / s
-    return float(mean[-1] - weights @ mean[:-1]), weights, mean[:-1]
+    if len(used):
+        s = scale[used]
+        corr = spread[np.ix_(used, used)] / np.outer(s, s)
+        load = spread[used, -1] / s
+        weights[used] = np.linalg.lstsq(corr + penalty / n * np.eye(len(s)), load, rcond=1e-10)[0] / s
+    return int(n), float(mean[-1] - weights @ mean[:-1]), weights, mean[:-1]
 
 
 def fit_ridge(
@@ -106,44 +141,49 @@ def fit_ridge(
 ) -> DataFrame:
     """(key, rows, intercept, weights, means), one row per meter.
 
-    Rows with a null feature or target do not take part.  Partial sums go up
-    in two steps, first per (meter, salt) and then per meter, so a meter that
-    all tasks have seen never meets in one place as rows.
+    Rows with a null feature or target do not take part.  Each task adds up
+    its own rows; the sums are then added per (meter, salt) and per meter.  A
+    meter that every task has seen is thus a few small vectors by the time
+    they meet, never its rows.
     """
     columns = [*features, target]
     size = len(columns) + 1
-    kind = {"string": str}.get(dict(train.dtypes)[key], int)
-    schema = f"{key} {dict(train.dtypes)[key]}"
+    sums = f"{key} {dict(train.dtypes)[key]}, products array<double>"
     complete = train.select(key, *[F.col(c).cast("double").alias(c) for c in columns]).na.drop()
-    partial = complete.sortWithinPartitions(key).mapInPandas(
-        _partial_products(key, columns, kind), f"{schema}, products array<double>"
+    by_task = (
+        complete.sortWithinPartitions(key)
+        .mapInPandas(_products(key, columns), sums)
+        .mapInPandas(_added_up(key), sums)
     )
 
-    def add_up(group: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum(np.stack(group["products"].to_list()), axis=0)
-        return pd.DataFrame({key: group[key].iloc[:1], "products": [total]})
-
-    def solve(group: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum(np.stack(group["products"].to_list()), axis=0).reshape(size, size)
-        intercept, weights, means = _solve(total, penalty)
-        return pd.DataFrame(
-            {
-                key: group[key].iloc[:1],
-                "rows": [int(total[0, 0])],
-                "intercept": [intercept],
-                "weights": [weights],
-                "means": [means],
-            }
-        )
-
-    salted = partial.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    def solved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            made = [_solve(p, size, penalty) for p in batch["products"]]
+            yield pd.DataFrame(
+                {
+                    key: batch[key],
+                    "rows": [m[0] for m in made],
+                    "intercept": [m[1] for m in made],
+                    "weights": [m[2] for m in made],
+                    "means": [m[3] for m in made],
+                }
+            )
+
+    salted = by_task.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    by_salt = (
+        salted.repartition(key, "__salt")
+        .drop("__salt")
+        .sortWithinPartitions(key)
+        .mapInPandas(_added_up(key), sums)
+    )
     return (
-        salted.groupBy(key, "__salt")
-        .applyInPandas(add_up, f"{schema}, products array<double>")
-        .groupBy(key)
-        .applyInPandas(
-            solve,
-            f"{schema}, rows bigint, intercept double, weights array<double>, means array<double>",
+        by_salt.repartition(key)
+        .sortWithinPartitions(key)
+        .mapInPandas(_added_up(key), sums)
+        .mapInPandas(
+            solved,
+            f"{key} {dict(train.dtypes)[key]}, rows bigint, intercept double, "
+            "weights array<double>, means array<double>",
         )
     )
 
