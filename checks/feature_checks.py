@@ -11,7 +11,7 @@ from meterframe.plans import features
 
 from . import views
 from .history_checks import HOUR_KEY, IDS, KEY, MEAN, STD, full
-from .registry import plain, query
+from .registry import plain, query, rounded
 from .views import BOUNDS, HOURLY, ORDER
 
 T = '"timestamp"'
@@ -329,7 +329,7 @@ TABLE = _table_sql()
 def _comparable(df):
     """Only sines and cosines are rounded; all else is exact in both engines."""
     cycles = [c for c in df.columns if c.endswith(("_sin", "_cos"))]
-    return plain(df.withColumns({c: F.round(c, 6) for c in cycles}), digits=None)
+    return plain(df.withColumns({c: rounded(F.col(c), 6) for c in cycles}), digits=None)
 
 
 def _table(spark, sf, plan):

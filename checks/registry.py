@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +49,13 @@ def with_views(sql: str) -> str:
     return ("WITH " + ",\n".join(views) + "\n" + body) if views else body
 
 
+def rounded(c: Column, digits: int) -> Column:
+    """Half away from zero on the scaled double, as SQL's ``round`` does it;
+    adding 0 turns a negative zero into zero."""
+    scale = F.lit(10.0**digits)
+    return F.signum(c) * (F.floor(F.abs(c) * scale + 0.5) / scale) + F.lit(0.0)
+
+
 def plain(df: DataFrame, digits: int | None = 6) -> DataFrame:
     """Widest number types; doubles rounded, so that the order in which two
     engines add up does not show."""
@@ -60,6 +67,6 @@ def plain(df: DataFrame, digits: int | None = 6) -> DataFrame:
         elif isinstance(f.dataType, T.FloatType):
             c = c.cast("double")
         elif isinstance(f.dataType, T.DoubleType) and digits is not None:
-            c = F.round(c, digits)
+            c = rounded(c, digits)
         out.append(c.alias(f.name))
     return df.select(*out)

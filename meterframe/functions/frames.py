@@ -6,79 +6,39 @@ null unless all n rows exist and hold a value.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, WindowSpec
+from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from .rounding import from_units, to_units
 
 
-def _full(c: Column, frame: WindowSpec, n: int, value: Column) -> Column:
-    return F.when(F.count(c).over(frame) == n, value)
-
-
 def _builtin(fn):
-    return lambda c, frame, n, digits: fn(c).over(frame)
-
-
-def _total(c, frame, digits):
-    if digits is None:
-        return F.sum(c).over(frame)
-    return F.sum(to_units(c, digits)).over(frame)
-
-
-def _sum(c, frame, n, digits):
-    total = _total(c, frame, digits)
-    return total if digits is None else from_units(total, digits)
-
+    return lambda c, frame, n: fn(c).over(frame)
 
-def _mean(c, frame, n, digits):
-    if digits is None:
-        return F.avg(c).over(frame)
-    return from_units(_total(c, frame, digits) / n, digits)
-
-
-def _scatter(c, frame, n, digits):
-    """Sum of squared deviations times n, in whole units."""
-    units = to_units(c, digits)
-    total = F.sum(units).over(frame)
-    return F.sum(units * units).over(frame) * n - total * total
-
-
-def _var(c, frame, n, digits):
-    if digits is None:
-        return F.var_samp(c).over(frame)
-    if n < 2:
-        return F.lit(None).cast("double")
-    return _scatter(c, frame, n, digits) / (n * (n - 1)) / F.lit(10.0 ** (2 * digits))
 
+def _sem(c, frame, n):
+    return F.stddev_samp(c).over(frame) / F.sqrt(F.lit(float(n)))
 
-def _std(c, frame, n, digits):
-    return F.sqrt(_var(c, frame, n, digits))
 
-
-def _sem(c, frame, n, digits):
-    return _std(c, frame, n, digits) / F.sqrt(F.lit(float(n)))
-
-
-def _median(c, frame, n, digits):
+def _median(c, frame, n):
     return F.percentile(c, F.lit(0.5)).over(frame)
 
 
-def _skew(c, frame, n, digits):
+def _skew(c, frame, n):
     """Bias-corrected skewness (needs three rows)."""
     if n < 3:
         return F.lit(None).cast("double")
     return F.skewness(c).over(frame) * F.lit((n * (n - 1)) ** 0.5 / (n - 2))
 
 
-def _kurt(c, frame, n, digits):
+def _kurt(c, frame, n):
     """Bias-corrected excess kurtosis (needs four rows)."""
     if n < 4:
         return F.lit(None).cast("double")
     return F.lit((n - 1) / ((n - 2) * (n - 3))) * ((n + 1) * F.kurtosis(c).over(frame) + 6)
 
 
-def _rank(c, frame, n, digits):
+def _rank(c, frame, n):
     """Average rank of the newest row among the n rows."""
     seen = F.collect_list(c).over(frame)
     newest = F.element_at(seen, -1)
@@ -88,10 +48,10 @@ def _rank(c, frame, n, digits):
 
 
 ROLLING = {
-    "sum": _sum,
-    "mean": _mean,
-    "var": _var,
-    "std": _std,
+    "sum": _builtin(F.sum),
+    "mean": _builtin(F.avg),
+    "var": _builtin(F.var_samp),
+    "std": _builtin(F.stddev_samp),
     "sem": _sem,
     "min": _builtin(F.min),
     "max": _builtin(F.max),
@@ -102,12 +62,57 @@ ROLLING = {
 }
 
 
-def rolling(name: str, c: Column, window: WindowSpec, n: int, digits: int | None, place: Column) -> Column:
+def check_name(name: str) -> None:
+    if name != "count" and name not in ROLLING:
+        raise ValueError(f"unknown rolling aggregate {name!r}; known: {sorted([*ROLLING, 'count'])}")
+
+
+def rolling(name: str, c: Column, window: WindowSpec, n: int, place: Column) -> Column:
     """The named aggregate of the n rows before the current row."""
+    check_name(name)
     frame = window.rowsBetween(-n, -1)
     if name == "count":
         # Values among the previous n rows, once n - 1 rows lie behind.
         return F.when(place >= n - 1, F.count(c).over(frame))
-    if name not in ROLLING:
-        raise ValueError(f"unknown rolling aggregate {name!r}; known: {sorted([*ROLLING, 'count'])}")
-    return _full(c, frame, n, ROLLING[name](c, frame, n, digits))
+    return F.when(F.count(c).over(frame) == n, ROLLING[name](c, frame, n))
+
+
+# Aggregates that follow from the sums of whole units and of their squares.
+# The running sums are exact, so the difference of two of them is the exact sum
+# of the rows between: the cost per row does not depend on the window's length.
+FROM_TOTALS = ("sum", "mean", "var", "std", "sem")
+
+
+def running_totals(c: Column, window: WindowSpec, digits: int, squares: bool) -> dict[str, Column]:
+    so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    units = to_units(c, digits)
+    totals = {"count": F.count(c).over(so_far), "sum": F.sum(units).over(so_far)}
+    if squares:
+        # Squares of a long series do not fit a BIGINT.
+        totals["squares"] = F.sum((units * units).cast("decimal(20,0)")).over(so_far)
+    return totals
+
+
+def from_totals(name: str, column: str, window: WindowSpec, n: int, digits: int) -> Column:
+    """``name`` over the n rows before, from columns ``__{total}_{column}``."""
+
+    def between(total: str) -> Column:
+        c = f"__{total}_{column}"
+        end, start = F.lag(c, 1).over(window), F.lag(c, n + 1).over(window)
+        return (end - F.coalesce(start, F.lit(0))).cast("bigint")
+
+    if name == "sum":
+        value = from_units(between("sum"), digits)
+    elif name == "mean":
+        value = from_units(between("sum") / n, digits)
+    elif n < 2:
+        value = F.lit(None).cast("double")
+    else:
+        total = between("sum")
+        scatter = between("squares") * n - total * total
+        value = scatter / (n * (n - 1)) / F.lit(10.0 ** (2 * digits))
+        if name != "var":
+            value = F.sqrt(value)
+        if name == "sem":
+            value = value / F.sqrt(F.lit(float(n)))
+    return F.when(between("count") == n, value)

@@ -19,12 +19,8 @@ WEEKEND_DAYS = {"lv": (5, 6)}
 def epoch_seconds(time: Column) -> Column:
     """Whole seconds since 1970 of a TIMESTAMP_NTZ, free of any session zone,
     so that it never runs backwards over a clock change."""
-    return (
-        F.unix_date(F.to_date(time)).cast("bigint") * 86400
-        + F.hour(time) * 3600
-        + F.minute(time) * 60
-        + F.second(time)
-    )
+    since = time - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return since.cast("interval second").cast("bigint")
 
 
 def cycle(position: Column, period: int) -> tuple[Column, Column]:

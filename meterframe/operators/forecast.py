@@ -53,26 +53,32 @@ def seasonal_naive_forecast(
     the shuffle and no join is needed.
     """
     columns = list(dict.fromkeys([order.key, *order.sort, target]))
-    wanted = F.lit(True).alias("__wanted")
-    past = history.select(*columns)
-    future = evaluation.select(*columns)
+    past = history.select(*columns, F.lit(False).alias("__wanted"))
+    future = evaluation.select(*columns, F.lit(True).alias("__wanted"))
     whole = past.unionByName(future)
-    parts = SeriesParts.measure(whole, order, season, part_rows=part_rows)
 
-    span = future.agg(F.min(order.time).alias("lo"), F.max(order.time).alias("hi")).first()
-    newest = past.agg(F.max(order.time).alias("hi")).first()
-    separate = newest["hi"] is None or span["lo"] is None or newest["hi"] < span["lo"]
-
-    if separate and season <= GROUP_LIMIT:
-        tail = last_rows(past, season, order).select("*", F.lit(False).alias("__wanted"))
-        panel = parts.open(tail.unionByName(future.select("*", wanted)))
+    time = F.col(order.time)
+    span = whole.agg(
+        F.max(F.when(~F.col("__wanted"), time)).alias("newest"),
+        F.min(F.when(F.col("__wanted"), time)).alias("start"),
+        F.max(F.when(F.col("__wanted"), time)).alias("end"),
+    ).first()
+    apart = span["newest"] is None or span["start"] is None or span["newest"] < span["start"]
+    cut_early = apart and season <= GROUP_LIMIT
+
+    parts = SeriesParts.measure(
+        whole, order, season, part_rows=part_rows, probe=future if cut_early else None
+    )
+    panel = last_rows(past, season, order).unionByName(future) if cut_early else whole
+    w = parts.window()
+    predicted = parts.close(parts.open(panel).select("*", F.lag(target, season).over(w).alias("y_pred")))
+    kept = predicted.where(F.col("y_pred").isNotNull())
+    if apart:
+        kept = kept.where("__wanted")
     else:
-        panel = parts.open(whole.select("*", wanted))
-    predicted = parts.close(panel.select("*", F.lag(target, season).over(parts.window()).alias("y_pred")))
-    kept = predicted.where(F.col("__wanted") & F.col("y_pred").isNotNull())
-    if not (separate and season <= GROUP_LIMIT) and span["lo"] is not None:
         # Only times in the evaluation's range can match.
-        kept = semi_join_time(kept.where(F.col(order.time).between(span["lo"], span["hi"])), future, order.time)
+        inside = kept.where(time.between(span["start"], span["end"]))
+        kept = semi_join_time(inside, future, order.time)
     return kept.select(order.key, order.time, F.col(target).alias("y_true"), "y_pred")
 
 

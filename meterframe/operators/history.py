@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.frames import rolling
+from ..functions import frames
 from ..functions.rounding import from_units, to_units
 from .series import SeriesOrder, SeriesParts, energy_columns, over_series
 
@@ -47,19 +47,40 @@ def add_rolling_stats(
     **measured,
 ) -> DataFrame:
     """``rolling_{agg}_{column}_{n}`` over the n rows before the current row;
-    null unless all n hold a value.  ``digits`` makes sums exact for readings
-    with that many decimals."""
+    null unless all n hold a value.
+
+    ``digits`` says how many decimals readings have.  Sums, means and spreads
+    are then exact, the same on every run, and taken from running totals.
+    """
+    for agg in aggs:
+        frames.check_name(agg)
+    exact = [a for a in aggs if digits is not None and a in frames.FROM_TOTALS]
+    squares = any(a in ("var", "std", "sem") for a in exact)
 
     def build(frame: DataFrame, p: SeriesParts) -> DataFrame:
         w = p.window()
-        place = p.position()
-        return frame.select(
-            "*",
+        columns = energy_columns(frame)
+        helpers = {
+            f"__{total}_{c}": value
+            for c in columns
+            if exact
+            for total, value in frames.running_totals(F.col(c), w, digits, squares).items()
+        }
+        if "count" in aggs:
+            helpers["__place"] = p.position()
+
+        def feature(agg: str, c: str, n: int) -> Column:
+            if agg in exact:
+                return frames.from_totals(agg, c, w, n, digits)
+            return frames.rolling(agg, F.col(c), w, n, F.col("__place") if agg == "count" else None)
+
+        return frame.select("*", *[v.alias(k) for k, v in helpers.items()]).select(
+            *frame.columns,
             *[
-                rolling(agg, F.col(c), w, n, digits, place).alias(f"rolling_{agg}_{c}_{n}")
+                feature(agg, c, n).alias(f"rolling_{agg}_{c}_{n}")
                 for n in windows
                 for agg in aggs
-                for c in energy_columns(frame)
+                for c in columns
             ],
         )
 

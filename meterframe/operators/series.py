@@ -34,7 +34,7 @@ from ..functions.rounding import to_units
 from ..functions.timeparts import epoch_seconds
 from ..session import durable
 
-PART_ROWS = 4_000_000  # rows of one meter that a task takes without being cut
+PART_ROWS = 8_000_000  # rows of one meter that a task takes without being cut
 MAX_PARTS = 20_000
 BINS_PER_PART = 8
 
@@ -63,13 +63,33 @@ class SeriesOrder:
         return [self.time, *self.ties]
 
 
+def _binned(
+    df: DataFrame, coarse: DataFrame, key: str, fine: DataFrame | None = None, how: str = "inner"
+) -> DataFrame:
+    """Time bin (and bin within it) of the rows of hot meters; ``df`` has the
+    time in seconds as ``__t``.  Both tables are bounded by ``MAX_PARTS``."""
+    out = (
+        df.join(F.broadcast(coarse), key, how)
+        .withColumn("__bin", F.expr("(__t - lo) div width"))
+        .drop("lo", "width")
+    )
+    zero = F.lit(0).cast("bigint")
+    if fine is None:
+        return out.withColumn("__sub", zero)
+    return (
+        out.join(F.broadcast(fine), [key, "__bin"], "left")
+        .withColumn("__sub", F.coalesce(F.expr("(__t - lo2) div width2"), zero))
+        .drop("lo2", "width2")
+    )
+
+
 @dataclass(frozen=True)
 class SeriesParts:
     order: SeriesOrder
     lookback: int
     digits: int | None = None
     carried: tuple[str, ...] = ()
-    bins: tuple[DataFrame, DataFrame, DataFrame] | None = field(default=None, repr=False)
+    bins: tuple[DataFrame, DataFrame | None, DataFrame] | None = field(default=None, repr=False)
 
     # -- measuring ---------------------------------------------------------
 
@@ -82,19 +102,19 @@ class SeriesParts:
         carried: Sequence[str] = (),
         digits: int | None = None,
         part_rows: int | None = None,
+        probe: DataFrame | None = None,
     ) -> SeriesParts:
         """One aggregate job over two columns decides whether a cut is needed.
 
         ``lookback`` is the number of earlier rows a feature may read;
         ``carried`` names columns whose running sums must go on across parts.
+        ``probe`` holds the rows that will be opened, apart from ``lookback``
+        rows before them, if these are fewer than ``df``.
         """
         base = cls(order, lookback, digits, tuple(carried))
         key, time = F.col(order.key), F.col(order.time)
-        per_meter = df.groupBy(key).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min(epoch_seconds(time)).alias("lo"),
-            F.max(epoch_seconds(time)).alias("hi"),
-            F.count_if(time.isNull()).alias("untimed"),
+        per_meter = (df if probe is None else probe).groupBy(key).agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(time.isNull()).alias("untimed")
         )
         seen = per_meter.agg(
             F.sum("n").alias("total"),
@@ -108,48 +128,59 @@ class SeriesParts:
             )
         total = seen["total"] or 0
         limit = max(part_rows or PART_ROWS, lookback, -(-total // MAX_PARTS), 1)
-        if (seen["hottest"] or 0) <= limit:
+        if (seen["hottest"] or 0) <= limit - (0 if probe is None else lookback):
             return base
-        return cls(order, lookback, digits, tuple(carried), base._cut(df, per_meter, limit))
+        if probe is not None:
+            return cls.measure(df, order, lookback, carried, digits, part_rows)
+        return cls(order, lookback, digits, tuple(carried), base._cut(df, limit))
 
-    def _cut(self, df: DataFrame, per_meter: DataFrame, limit: int):
+    def _cut(self, df: DataFrame, limit: int):
         key = self.order.key
         lim = F.lit(limit).cast("bigint")
+        seconds = epoch_seconds(F.col(self.order.time))
+
+        def grid(lo: str, width: Column) -> list[Column]:
+            pieces = F.ceil(F.col("n") / lim) * BINS_PER_PART
+            return [F.col(lo), F.greatest(F.ceil(width / pieces), F.lit(1)).alias("width")]
 
-        def grid(count: str, lo: str, width: Column) -> list[Column]:
-            pieces = F.ceil(F.col(count) / lim) * BINS_PER_PART
-            return [F.col(lo).alias("lo"), F.greatest(F.ceil(width / pieces), F.lit(1)).alias("width")]
+        sums = []
+        for c in self.carried:
+            value = to_units(F.col(c), self.digits) if self.digits is not None else F.col(c)
+            sums += [F.sum(value).alias(carry_sum(c)), F.count(c).alias(carry_count(c))]
 
-        # Hot meters (at most total / limit rows) and the width of their bins.
+        # Hot meters (at most total / limit of them) and the width of their bins.
         coarse = durable(
-            per_meter.where(F.col("n") > lim).select(
-                F.col(key), *grid("n", "lo", F.col("hi") - F.col("lo") + 1)
+            df.groupBy(key)
+            .agg(
+                F.count(F.lit(1)).alias("n"),
+                epoch_seconds(F.min(self.order.time)).alias("lo"),
+                epoch_seconds(F.max(self.order.time)).alias("hi"),
             )
+            .where(F.col("n") > lim)
+            .select(F.col(key), *grid("lo", F.col("hi") - F.col("lo") + 1))
         )
-        hot = (
-            df.withColumn("__t", epoch_seconds(F.col(self.order.time)))
-            .join(F.broadcast(coarse), key, "inner")
-            .withColumn("__bin", F.expr("(__t - lo) div width"))
+        narrow = df.select(key, seconds.alias("__t"), *self.carried)
+        hot = _binned(narrow, coarse, key)
+        filled = durable(
+            hot.groupBy(key, "__bin").agg(F.count(F.lit(1)).alias("n"), *sums).join(coarse, key)
         )
         # Bins that hold more than a part are cut once more.
-        filled = hot.groupBy(key, "__bin", "lo", "width").agg(F.count(F.lit(1)).alias("n"))
-        fine = durable(
+        fine = (
             filled.where(F.col("n") > lim)
-            .withColumn("first", F.col("lo") + F.col("__bin") * F.col("width"))
-            .select(F.col(key), F.col("__bin"), *grid("n", "first", F.col("width")))
-            .withColumnsRenamed({"lo": "lo2", "width": "width2"})
-        )
-        sums = []
-        for c in self.carried:
-            value = to_units(F.col(c), self.digits) if self.digits is not None else F.col(c)
-            sums += [F.sum(value).alias(carry_sum(c)), F.count(c).alias(carry_count(c))]
-        counted = (
-            hot.drop("lo", "width")
-            .join(F.broadcast(fine), [key, "__bin"], "left")
-            .withColumn("__sub", F.coalesce(F.expr("(__t - lo2) div width2"), F.lit(0)))
-            .groupBy(key, "__bin", "__sub")
-            .agg(F.count(F.lit(1)).alias("n"), *sums)
+            .withColumn("lo2", F.col("lo") + F.col("__bin") * F.col("width"))
+            .select(F.col(key), F.col("__bin"), *grid("lo2", F.col("width")))
+            .withColumnRenamed("width", "width2")
         )
+        if fine.isEmpty():
+            fine = None
+            counted = filled.withColumn("__sub", F.lit(0).cast("bigint"))
+        else:
+            fine = durable(fine)
+            counted = (
+                _binned(narrow, coarse, key, fine)
+                .groupBy(key, "__bin", "__sub")
+                .agg(F.count(F.lit(1)).alias("n"), *sums)
+            )
         # One row per bin from here on.  Bins of one meter: at most MAX_PARTS
         # times a small constant.
         w = Window.partitionBy(key).orderBy("__bin", "__sub").rowsBetween(Window.unboundedPreceding, -1)
@@ -199,7 +230,6 @@ class SeriesParts:
             return df
         key = self.order.key
         coarse, fine, targets = self.bins
-        bigint0 = F.lit(0).cast("bigint")
         uses = targets.schema["__uses"].dataType.elementType
         whole = F.struct(
             *[
@@ -207,13 +237,9 @@ class SeriesParts:
                 for f in uses.fields
             ]
         )
+        timed = df.withColumn("__t", epoch_seconds(F.col(self.order.time)))
         placed = (
-            df.withColumn("__t", epoch_seconds(F.col(self.order.time)))
-            .join(F.broadcast(coarse), key, "left")
-            .withColumn("__bin", F.expr("(__t - lo) div width"))
-            .drop("lo", "width")
-            .join(F.broadcast(fine), [key, "__bin"], "left")
-            .withColumn("__sub", F.coalesce(F.expr("(__t - lo2) div width2"), bigint0))
+            _binned(timed, coarse, key, fine, "left")
             .join(F.broadcast(targets), [key, "__bin", "__sub"], "left")
             .withColumn("__use", F.explode(F.coalesce(F.col("__uses"), F.array(whole))))
         )

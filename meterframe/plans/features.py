@@ -40,11 +40,17 @@ def select_target(readings: DataFrame, ties: tuple[str, ...] = ()) -> DataFrame:
     return readings.select("timestamp", "object_id", *ties, F.col("energy_import_kwh").alias("energy_kwh"))
 
 
-def history_features(df: DataFrame, plan: FeaturePlan = FeaturePlan()) -> DataFrame:
-    """All features of a meter's past from one exchange and one sort."""
-    parts = SeriesParts.measure(
-        df, plan.order, plan.lookback, ["energy_kwh"], plan.digits, plan.part_rows
+def measure(target: DataFrame, plan: FeaturePlan) -> SeriesParts:
+    return SeriesParts.measure(
+        target, plan.order, plan.lookback, ["energy_kwh"], plan.digits, plan.part_rows
     )
+
+
+def history_features(
+    df: DataFrame, plan: FeaturePlan = FeaturePlan(), parts: SeriesParts | None = None
+) -> DataFrame:
+    """All features of a meter's past from one exchange and one sort."""
+    parts = parts or measure(df, plan)
     opened = parts.open(df)
     rolled = history.add_rolling_stats(opened, plan.windows, plan.aggs, parts, digits=plan.digits)
     lagged = history.add_lags(rolled, plan.lags, parts)
@@ -70,12 +76,14 @@ def build_features(
     repeats readings and therefore comes last.
     """
     target = select_target(readings, plan.order.ties)
+    # The joins add no rows, so meters are measured without them.
+    parts = measure(target, plan)
     narrow = plan.data_type is not None
     if narrow:
         target = weather.join_weather(
             target, metadata, weather_rows.drop("ingested_at"), plan.data_type
         ).drop("data_type")
-    table = calendar.add_calendar_features(history_features(target, plan))
+    table = calendar.add_calendar_features(history_features(target, plan, parts))
     if not narrow:
         table = weather.join_weather(table, metadata, weather_rows.drop("ingested_at"), None)
     return encode.one_hot(encode.normalize_bool_columns(table), plan.categories)

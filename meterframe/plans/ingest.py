@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import cleaning, quality
-from ..session import fresh_path
+from ..session import durable
 
 
 @dataclass(frozen=True)
@@ -22,14 +22,6 @@ class Ingested:
     report: DataFrame
 
 
-def _stage(df: DataFrame, name: str) -> DataFrame:
-    """Write once, then check and publish what was written."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _line(df: DataFrame, table: str, check, value: str) -> DataFrame:
     check = F.lit(check) if isinstance(check, str) else check
     return df.select(
@@ -83,8 +75,9 @@ def ingest(
     single = cleaning.handle_duplicates(parsed, "smart_meter", key, ties)
     stamped = cleaning.add_ingestion_time(single, "smart_meter_backtest")
     clean_weather = cleaning.add_ingestion_time(cleaning.timestamp_to_datetime(weather), "weather", 7)
-    staged = _stage(stamped, "readings")
-    staged_weather = _stage(clean_weather, "weather")
+    # Written once; checked and published from what was written.
+    staged = durable(stamped, "readings")
+    staged_weather = durable(clean_weather, "weather")
     report = quality_report(metadata, regions, staged, staged_weather)
     if strict:
         # one row per check

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Do not record a Python call site for every column of a wide plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -57,7 +59,9 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def durable(df: DataFrame, name: str = "kept") -> DataFrame:
+    """Write to the shared folder and read back: worked out once, and not lost
+    with an executor.  (``checkpoint()`` would work it out twice.)"""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
