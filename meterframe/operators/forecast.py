@@ -6,11 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scoring import evaluate_forecasts
-from .series import SeriesOrder, SeriesParts
-
-# Up to this many rows per meter, Spark cuts a ranked window before the
-# shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
-GROUP_LIMIT = 1000
+from .series import GROUP_LIMIT, SeriesOrder, SeriesParts
 
 
 def union_history(history: DataFrame, evaluation: DataFrame) -> DataFrame:

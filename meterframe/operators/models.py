@@ -9,16 +9,22 @@ then take the ridge path, and the output says which model a row came from.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .series import SeriesOrder
 
+# The functions below travel to the tasks with their code, so that executors
+# need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MAX_GROUP_ROWS = 200_000  # rows of one meter that go to a plugged-in learner
 SALTS = 64
 
@@ -265,7 +271,8 @@ def forecast_per_customer(
     large = sizes.where(F.col("__n") > max_group_rows).select(key)
     columns = [key, order.time, target, *features]
 
-    def fit_predict(past: pd.DataFrame, future: pd.DataFrame) -> pd.DataFrame:
+    def fit_predict(rows: pd.DataFrame) -> pd.DataFrame:
+        past, future = rows[rows["__past"]], rows[~rows["__past"]]
         if past.empty or future.empty:
             return pd.DataFrame({key: [], order.time: [], "y_true": [], "y_pred": []})
         predict = learner(past[list(features)], past[target])
@@ -281,10 +288,10 @@ def forecast_per_customer(
     types = dict(evaluation.dtypes)
     schema = f"{key} {types[key]}, {order.time} {types[order.time]}, y_true double, y_pred double"
     by_learner = (
-        train.select(*columns)
+        train.select(*columns, F.lit(True).alias("__past"))
+        .unionByName(evaluation.select(*columns, F.lit(False).alias("__past")))
         .join(small, key, "left_semi")
         .groupBy(key)
-        .cogroup(evaluation.select(*columns).join(small, key, "left_semi").groupBy(key))
         .applyInPandas(fit_predict, schema)
         .withColumn("model", F.lit("learner"))
     )
@@ -312,13 +319,13 @@ def fit_boosted_trees(
     from pyspark.ml.feature import Imputer, VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
-    filled = [f"__{c}" for c in features]
+    filled = [f"__filled_{c}" for c in features]
     pipeline = Pipeline(
         stages=[
             Imputer(inputCols=list(features), outputCols=filled, strategy="mean"),
-            VectorAssembler(inputCols=filled, outputCol="__x"),
+            VectorAssembler(inputCols=filled, outputCol="__vector"),
             GBTRegressor(
-                featuresCol="__x",
+                featuresCol="__vector",
                 labelCol=target,
                 predictionCol="y_pred",
                 maxIter=iterations,

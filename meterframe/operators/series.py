@@ -38,15 +38,19 @@ PART_ROWS = 8_000_000  # rows of one meter that a task takes without being cut
 MAX_PARTS = 20_000
 BINS_PER_PART = 8
 
+# Up to this many rows per meter, Spark cuts a ranked window before the
+# shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
+GROUP_LIMIT = 1000
+
 PART, HALO, BASE = "__part", "__halo", "__base"
 
 
 def carry_sum(column: str) -> str:
-    return f"__sum_{column}"
+    return f"__before_sum_{column}"
 
 
 def carry_count(column: str) -> str:
-    return f"__count_{column}"
+    return f"__before_count_{column}"
 
 
 @dataclass(frozen=True)

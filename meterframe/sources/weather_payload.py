@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.series import GROUP_LIMIT, SeriesOrder, over_series
 from ..schemas import WEATHER_VARIABLES
 
 MODES = ("historical", "forecast")  # fixed values
 EPOCH = "1970-01-01 00:00:00"
+BACKTEST_SPAN = ("2017-04-01", "2020-04-01")  # fixed values
 
 
 def check_request(mode: str, start_date: str | None = None, end_date: str | None = None) -> None:
@@ -37,12 +39,22 @@ def explode_payload(
 
 
 def first_hours(df: DataFrame, hours: int, key: str = "region_id", time: str = "timestamp") -> DataFrame:
-    """The first ``hours`` rows of each region and when they start.  Spark
-    keeps that many rows per region in each map task already."""
-    w = Window.partitionBy(key).orderBy(time)
-    ranked = df.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= hours)
-    start = F.min(time).over(Window.partitionBy(key))
-    return ranked.withColumn("forecast_start", start).drop("__n")
+    """The first ``hours`` rows of each region and when they start.  Up to
+    ``GROUP_LIMIT`` rows, Spark keeps that many per region in each map task
+    already; beyond it, large regions are cut into parts."""
+    order = SeriesOrder(key, time)
+    if hours <= GROUP_LIMIT:
+        placed = df.withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy(time)))
+        first = placed.where(F.col("__n") <= hours).drop("__n")
+    else:
+        first = over_series(
+            df,
+            None,
+            lambda frame, p: frame.withColumn("__n", p.position()).where(F.col("__n") < hours).drop("__n"),
+            lookback=0,
+            order=order,
+        )
+    return first.withColumn("forecast_start", F.min(time).over(Window.partitionBy(key)))
 
 
 def weather_by_region(
@@ -64,6 +76,15 @@ def weather_by_region(
     return rows
 
 
+def pull_weather(
+    mode: str, payloads: DataFrame, regions: DataFrame, variables: Sequence[str] = WEATHER_VARIABLES
+) -> DataFrame | None:
+    """Historical weather of the backtest span; no other mode has any."""
+    if mode != "backtest":
+        return None
+    return weather_by_region(payloads, regions, "historical", *BACKTEST_SPAN, variables=variables)
+
+
 def write_weather(df: DataFrame, path: str) -> str:
     """A folder per data type and region."""
     df.write.mode("overwrite").partitionBy("data_type", "region_id").parquet(path)
