@@ -69,24 +69,30 @@ def _runs(keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
 
 
-def _products(key: str, columns: Sequence[str]):
-    """Sums of products for each run of one key in a batch."""
+def _products(key: str, columns: Sequence[str], open_keys: int = 500):
+    """Sums of products per key over a task's rows.  Rows of one meter mostly
+    lie together, as the feature table is written; no sort is needed, and at
+    most ``open_keys`` matrices (plus those of one batch) are held."""
     size = len(columns) + 1
     upper = np.triu_indices(size)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict = {}
         for batch in batches:
             if batch.empty:
                 continue
-            values = np.column_stack([np.ones(len(batch)), batch[list(columns)].to_numpy(dtype=float)])
-            starts = _runs(batch[key].to_numpy())
-            blocks = np.split(values, starts[1:])
-            yield pd.DataFrame(
-                {
-                    key: batch[key].iloc[starts].to_numpy(),
-                    "products": [(block.T @ block)[upper] for block in blocks],
-                }
-            )
+            order = np.argsort(batch[key].to_numpy(), kind="stable")
+            keys = batch[key].to_numpy()[order]
+            values = batch[list(columns)].to_numpy(dtype=float)[order]
+            values = np.column_stack([np.ones(len(values)), values])
+            starts = _runs(keys)
+            for start, block in zip(starts, np.split(values, starts[1:])):
+                held[keys[start]] = held.get(keys[start], 0.0) + (block.T @ block)[upper]
+            if len(held) > open_keys:
+                yield pd.DataFrame({key: list(held), "products": list(held.values())})
+                held = {}
+        if held:
+            yield pd.DataFrame({key: list(held), "products": list(held.values())})
 
     return run
 
@@ -156,11 +162,7 @@ def fit_ridge(
     size = len(columns) + 1
     sums = f"{key} {dict(train.dtypes)[key]}, products array<double>"
     complete = train.select(key, *[F.col(c).cast("double").alias(c) for c in columns]).na.drop()
-    by_task = (
-        complete.sortWithinPartitions(key)
-        .mapInPandas(_products(key, columns), sums)
-        .mapInPandas(_added_up(key), sums)
-    )
+    by_task = complete.mapInPandas(_products(key, columns), sums)
 
     def solved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

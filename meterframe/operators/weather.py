@@ -17,23 +17,36 @@ def join_region(df: DataFrame, metadata: DataFrame) -> DataFrame:
     return df.withColumn("object_id", F.col("object_id").cast("string")).join(regions, "object_id", "left")
 
 
+BROADCAST_ROWS = 500_000  # weather rows of about 60 bytes, so some 30 MB
+
+
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a frame has at most that many rows; stops counting beyond."""
+    return df.limit(rows + 1).count() <= rows
+
+
+def join_hours(df: DataFrame, weather: DataFrame) -> DataFrame:
+    """Left join of weather on (time, region).  Columns that occur on both
+    sides get ``_x`` and ``_y``."""
+    keys = ["timestamp", "region_id"]
+    shared = [c for c in weather.columns if c in df.columns and c not in keys]
+    left = df.withColumnsRenamed({c: f"{c}_x" for c in shared})
+    right = weather.withColumnsRenamed({c: f"{c}_y" for c in shared})
+    return left.join(right, keys, "left")
+
+
 def join_weather(
     df: DataFrame,
     metadata: DataFrame,
     weather: DataFrame,
     data_type: str | None = "historical",
 ) -> DataFrame:
-    """Readings with the weather of their region and hour, both left joins.
+    """Readings with the weather of their region and hour.
 
     Weather is unique per (time, region, data type), so one ``data_type`` keeps
     one row per reading.  ``None`` joins all of them: readings then repeat for
-    each type.  Columns that occur on both sides get ``_x`` and ``_y``.
+    each type.
     """
     if data_type is not None:
         weather = weather.where(F.col("data_type") == data_type)
-    placed = join_region(df, metadata)
-    keys = ["timestamp", "region_id"]
-    shared = [c for c in weather.columns if c in placed.columns and c not in keys]
-    placed = placed.withColumnsRenamed({c: f"{c}_x" for c in shared})
-    weather = weather.withColumnsRenamed({c: f"{c}_y" for c in shared})
-    return placed.join(weather, keys, "left")
+    return join_hours(join_region(df, metadata), weather)

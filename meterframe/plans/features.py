@@ -69,23 +69,26 @@ def build_features(
 ) -> DataFrame:
     """Readings to the model's feature table.
 
-    Region and weather are joined to the narrow readings, before the history
-    features make a row wide: with one data type both joins keep one row per
-    reading, so the result is the same and far less data would be shuffled
-    should the weather be too large to broadcast.  Joining all data types
-    repeats readings and therefore comes last.
+    With one data type the weather join keeps one row per reading, so it may
+    come before or after the history features.  Weather of a checked small
+    size is broadcast, and comes after: its columns are then never shuffled.
+    Larger weather is joined before, while rows are narrow, as that join
+    shuffles them.  Joining all data types repeats readings and comes last.
     """
     target = select_target(readings, plan.order.ties)
     # The joins add no rows, so meters are measured without them.
     parts = measure(target, plan)
-    narrow = plan.data_type is not None
-    if narrow:
-        target = weather.join_weather(
-            target, metadata, weather_rows.drop("ingested_at"), plan.data_type
-        ).drop("data_type")
-    table = calendar.add_calendar_features(history_features(target, plan, parts))
-    if not narrow:
-        table = weather.join_weather(table, metadata, weather_rows.drop("ingested_at"), None)
+    table = weather.join_region(target, metadata)
+    hours = weather_rows.drop("ingested_at")
+    if plan.data_type is not None:
+        hours = hours.where(F.col("data_type") == plan.data_type).drop("data_type")
+    small = weather.is_small(hours)
+    late = small or plan.data_type is None
+    if not late:
+        table = weather.join_hours(table, hours)
+    table = calendar.add_calendar_features(history_features(table, plan, parts))
+    if late:
+        table = weather.join_hours(table, F.broadcast(hours) if small else hours)
     return encode.one_hot(encode.normalize_bool_columns(table), plan.categories)
 
 

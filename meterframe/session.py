@@ -20,14 +20,25 @@ SETTINGS = {
 }
 
 
+TASK_BYTES = 192 * 1024 * 1024  # shuffled bytes that one task should take
+
+
+def partitions_for(shuffled_bytes: int) -> int:
+    """Shuffle partitions so that one fits in a task's memory.  The default of
+    200 would mean half a terabyte per task at 100 TB; too many do no harm, as
+    small neighbours are put together at run time."""
+    return max(200, -(-shuffled_bytes // TASK_BYTES))
+
+
 def get_session(
     app_name: str = "meterframe",
     master: str | None = None,
     shuffle_partitions: int | None = None,
     **extra: str,
 ) -> SparkSession:
-    """Build a session.  On a cluster leave ``master`` and partitions to the
-    submit configuration; tests pass ``local[n]`` and a small number."""
+    """Build a session.  On a cluster leave ``master`` to the submit
+    configuration and size the shuffle with ``partitions_for``; tests pass
+    ``local[n]`` and a small number."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterframe.operators import quality
+from meterframe.operators import weather as weather_joins
 from meterframe.plans import ingest as ingestion
 from meterframe.plans.features import FeaturePlan, build_features, make_splits
 from meterframe.schemas import METADATA, READINGS, REGIONS, WEATHER
@@ -210,7 +211,7 @@ def test_ingest_stops_on_a_gap(world):
     }
 
 
-def test_feature_table(world, spark, tmp_path):
+def test_feature_table(world, spark, tmp_path, monkeypatch):
     readings, metadata, regions, weather = world
     done = ingestion.ingest(readings, metadata, regions, weather)
     table = build_features(done.readings, done.metadata, done.weather, FeaturePlan(digits=2))
@@ -233,6 +234,13 @@ def test_feature_table(world, spark, tmp_path):
         done.weather.withColumn("data_type", F.lit("forecast"))), FeaturePlan(digits=2, data_type=None))
     assert every.count() == 2 * table.count()
 
+    # Weather that is too large to broadcast is joined first; the rows are the same.
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("BroadcastHashJoin [timestamp") < plan.index("Window [")
+    monkeypatch.setattr(weather_joins, "is_small", lambda df: False)
+    early = build_features(done.readings, done.metadata, done.weather, FeaturePlan(digits=2))
+    assert early.select(table.columns).exceptAll(table).count() == 0 and early.count() == table.count()
+
     bounds = {
         "train": (datetime(2018, 10, 22), datetime(2018, 10, 28)),
         "test": (datetime(2018, 10, 28), datetime(2018, 10, 30)),
