@@ -151,9 +151,9 @@ def select_rename(spark, sf):
     return features.select_target(views.readings(spark, sf))
 
 
-@query("filter_isin", f"SELECT {IDS}, energy_kwh FROM energy WHERE object_id IN ('3', '7', '11')")
+@query("filter_isin", "SELECT * EXCLUDE (event_id) FROM readings WHERE tariff_code IN ('click', 'purchase')")
 def filter_isin(spark, sf):
-    return views.energy(spark, sf).where(F.col("object_id").isin("3", "7", "11"))
+    return splits.filter_members(views.readings(spark, sf).drop("event_id"), "tariff_code", ["click", "purchase"])
 
 
 @query("filter_time_range", f"SELECT {IDS}, energy_kwh FROM energy WHERE {_range('dev')}")

@@ -1,4 +1,4 @@
-"""Half-open time splits."""
+"""Row filters and half-open time splits."""
 
 from __future__ import annotations
 
@@ -61,6 +61,11 @@ def in_range(time: Column, start, end) -> Column:
     return (time >= low) & (time < high)
 
 
+def filter_members(df: DataFrame, column: str, values: Sequence) -> DataFrame:
+    """Rows whose value is one of the given; reaches the scan."""
+    return df.where(F.col(column).isin(*values))
+
+
 def filter_time_range(df: DataFrame, start, end, time: str = "timestamp") -> DataFrame:
     return df.where(in_range(F.col(time), start, end))
 
