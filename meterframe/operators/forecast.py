@@ -62,9 +62,8 @@ def seasonal_naive_forecast(
     apart = span["newest"] is None or span["start"] is None or span["newest"] < span["start"]
     cut_early = apart and season <= GROUP_LIMIT
 
-    parts = SeriesParts.measure(
-        whole, order, season, part_rows=part_rows, probe=future if cut_early else None
-    )
+    # The few rows kept of the history come first in a meter's first part.
+    parts = SeriesParts.measure(future if cut_early else whole, order, season, part_rows=part_rows)
     panel = last_rows(past, season, order).unionByName(future) if cut_early else whole
     w = parts.window()
     predicted = parts.close(parts.open(panel).select("*", F.lag(target, season).over(w).alias("y_pred")))

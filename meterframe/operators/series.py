@@ -106,18 +106,16 @@ class SeriesParts:
         carried: Sequence[str] = (),
         digits: int | None = None,
         part_rows: int | None = None,
-        probe: DataFrame | None = None,
     ) -> SeriesParts:
         """One aggregate job over two columns decides whether a cut is needed.
 
         ``lookback`` is the number of earlier rows a feature may read;
         ``carried`` names columns whose running sums must go on across parts.
-        ``probe`` holds the rows that will be opened, apart from ``lookback``
-        rows before them, if these are fewer than ``df``.
+        Rows earlier than all that were measured open into a meter's first part.
         """
         base = cls(order, lookback, digits, tuple(carried))
         key, time = F.col(order.key), F.col(order.time)
-        per_meter = (df if probe is None else probe).groupBy(key).agg(
+        per_meter = df.groupBy(key).agg(
             F.count(F.lit(1)).alias("n"), F.count_if(time.isNull()).alias("untimed")
         )
         seen = per_meter.agg(
@@ -132,10 +130,8 @@ class SeriesParts:
             )
         total = seen["total"] or 0
         limit = max(part_rows or PART_ROWS, lookback, -(-total // MAX_PARTS), 1)
-        if (seen["hottest"] or 0) <= limit - (0 if probe is None else lookback):
+        if (seen["hottest"] or 0) <= limit:
             return base
-        if probe is not None:
-            return cls.measure(df, order, lookback, carried, digits, part_rows)
         return cls(order, lookback, digits, tuple(carried), base._cut(df, limit))
 
     def _cut(self, df: DataFrame, limit: int):
