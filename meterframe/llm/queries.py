@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterframe.llm import bit_planes, chat_format, mixing, secret_scan
+from meterframe.llm import bit_planes, chat_format, mixing, near_dedup, secret_scan
 from meterframe.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op9_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_planes.read_back(spark, path)
 
 
+def op3_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.link(table(spark, sf_dir, "documents"))
+
+
 def op6_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources by the square root of their rows, to as many rows as there are."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"), mixing.tempered(0.5), seed=6)
@@ -54,7 +58,34 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+SPACES = r"[\x20\x09-\x0D]+"
+
 ORACLE = {
+    "op3_chosen_path": f"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce({LOWER}, ''), '{SPACES}'), lambda x: x <> '') AS w FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) END AS s
+    FROM worded
+), shingles AS (
+    SELECT doc_id, unnest(s) AS shingle FROM sets
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b USING (shingle)
+    WHERE a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT a, b FROM common JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
+    WHERE 100 * n >= 85 * (len(x.s) + len(y.s) - n)
+), reach AS (
+    SELECT doc_id, doc_id AS other FROM sets
+    UNION
+    SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a
+)
+SELECT doc_id, len(s) AS n_shingles, (SELECT min(other) FROM reach r WHERE r.doc_id = sets.doc_id) AS component_id,
+       doc_id = (SELECT min(other) FROM reach r WHERE r.doc_id = sets.doc_id) AS kept
+FROM sets
+""",
     "op6_poisson_mixing": """
 WITH RECURSIVE counted AS (
     SELECT source, count(*) AS n, pow(count(*)::DOUBLE, 0.5) AS w FROM documents GROUP BY source
@@ -103,6 +134,7 @@ FROM written GROUP BY conv_id
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_chosen_path": op3_chosen_path,
         "op6_poisson_mixing": op6_poisson_mixing,
         "op7_chat_round_trip": op7_chat_round_trip,
         "op9_bit_planes": op9_bit_planes,
