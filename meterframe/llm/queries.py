@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterframe.llm import bit_planes, chat_format, mixing, near_dedup, secret_scan
+from meterframe.llm import bit_planes, chat_format, mixing, near_dedup, secret_scan, toxicity
 from meterframe.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,18 @@ def op3_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.link(table(spark, sf_dir, "documents"))
 
 
+def op4_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), toxicity.is_training(F.col("doc_id")))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (~toxicity.is_training(F.col("doc_id"))).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "sentences",
+    )
+
+
 def op6_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources by the square root of their rows, to as many rows as there are."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"), mixing.tempered(0.5), seed=6)
@@ -135,6 +147,7 @@ FROM written GROUP BY conv_id
 def queries() -> dict[str, Query]:
     return {
         "op3_chosen_path": op3_chosen_path,
+        "op4_noisy_or_toxicity": op4_noisy_or_toxicity,
         "op6_poisson_mixing": op6_poisson_mixing,
         "op7_chat_round_trip": op7_chat_round_trip,
         "op9_bit_planes": op9_bit_planes,
