@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterframe.llm import bit_planes, chat_format, mixing, near_dedup, secret_scan, toxicity
+from meterframe.llm import bit_planes, chat_format, mixing, near_dedup, ngram_automaton, secret_scan, toxicity
+from meterframe.llm.folds import is_training
 from meterframe.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,16 +31,22 @@ def op9_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_planes.read_back(spark, path)
 
 
+def op2_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums rounded to 7 decimals: further ones depend on the order of adding."""
+    scored = ngram_automaton.score(table(spark, sf_dir, "documents"), is_training(F.col("doc_id"), 10))
+    return scored.withColumns({c: F.round(c, 7) for c in ("base_score", "score")})
+
+
 def op3_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.link(table(spark, sf_dir, "documents"))
 
 
 def op4_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), toxicity.is_training(F.col("doc_id")))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), is_training(F.col("doc_id"), 5))
     return toxicity.score(docs, model).select(
         "doc_id",
-        (~toxicity.is_training(F.col("doc_id"))).alias("held_out"),
+        (~is_training(F.col("doc_id"), 5)).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         "sentences",
@@ -73,7 +80,41 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 SPACES = r"[\x20\x09-\x0D]+"
 
+# crc32 of the id as text; the table follows from the polynomial.
+CRC = """
+crc_table AS (
+    SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), folded AS (
+    SELECT d.*, xor(list_reduce([4294967295] || list_transform(string_split(d.doc_id::VARCHAR, ''), lambda ch: unicode(ch)::BIGINT),
+        lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) AS crc
+    FROM documents d, crc_table
+)"""
+
 ORACLE = {
+    "op2_backoff_automaton": f"""
+WITH {CRC}, worded AS (
+    SELECT doc_id, crc % 10 = 0 AS held_out,
+        list_filter(regexp_split_to_array(coalesce({LOWER}, ''), '{SPACES}'), lambda x: x <> '') || [' end'] AS w FROM folded
+), tokens AS (
+    SELECT doc_id, held_out, unnest(w) AS w, unnest(range(len(w))) AS i, unnest(list_concat([NULL], w[:len(w) - 1])) AS h FROM worded
+), one AS (
+    SELECT w, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY w
+), two AS (
+    SELECT h, w, count(*) AS c FROM tokens WHERE NOT held_out AND h IS NOT NULL GROUP BY h, w
+), sizes AS (
+    SELECT sum(c) AS n, count(*) AS v FROM one
+), based AS (
+    SELECT t.*, coalesce(one.c, 0) AS c, (coalesce(one.c, 0) + 0.1::DOUBLE) / (n + 0.1::DOUBLE * (v + 1)) AS base, n
+    FROM tokens t LEFT JOIN one USING (w), sizes
+), full_p AS (
+    SELECT b.*, CASE WHEN ch.c IS NULL THEN base ELSE (coalesce(two.c, 0) + {ngram_automaton.STRENGTH}::DOUBLE * base) / (ch.c + {ngram_automaton.STRENGTH}::DOUBLE) END AS p
+    FROM based b LEFT JOIN one ch ON ch.w = b.h LEFT JOIN two ON two.h = b.h AND two.w = b.w
+)
+SELECT doc_id, held_out, count(*) AS n_tokens, count(*) FILTER (c > 0) AS n_known, max(n)::BIGINT AS train_tokens,
+    round(fsum(log10(base)), 7) AS base_score, round(fsum(log10(p)), 7) AS score
+FROM full_p GROUP BY doc_id, held_out
+""",
     "op3_chosen_path": f"""
 WITH RECURSIVE worded AS (
     SELECT doc_id, list_filter(regexp_split_to_array(coalesce({LOWER}, ''), '{SPACES}'), lambda x: x <> '') AS w FROM documents
@@ -146,6 +187,7 @@ FROM written GROUP BY conv_id
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_backoff_automaton": op2_backoff_automaton,
         "op3_chosen_path": op3_chosen_path,
         "op4_noisy_or_toxicity": op4_noisy_or_toxicity,
         "op6_poisson_mixing": op6_poisson_mixing,

@@ -215,8 +215,3 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> Data
             yield texts.map(lambda t: score_text(t, weights)[0])
 
     return docs.where(scored("text") < threshold)
-
-
-def is_training(doc_id: Column, folds: int = 5) -> Column:
-    """Rows that may be learned from: crc32 of the id as text is no multiple."""
-    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds != 0

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterframe.llm import toxicity
+from meterframe.llm.folds import is_training
 
 WORDS = [a + b for a in "ba ke li mo nu ra so ti vo zu".split() for b in "lan mer pix ron ton tus".split()]
 
@@ -29,12 +30,12 @@ def fitted(spark):
     docs, labels = corpus(1500, 1)
     frame = spark.createDataFrame(docs, "doc_id long, text string, score double")
     known = spark.createDataFrame(labels, "doc_id long, toxic int")
-    return frame, toxicity.fit(frame, known, toxicity.is_training(F.col("doc_id")))
+    return frame, toxicity.fit(frame, known, is_training(F.col("doc_id"), 5))
 
 
 def test_held_out_accuracy_and_sentences(spark, fitted):
     frame, model = fitted
-    rows = toxicity.score(frame, model).where(~toxicity.is_training(F.col("doc_id"))).collect()
+    rows = toxicity.score(frame, model).where(~is_training(F.col("doc_id"), 5)).collect()
     assert len(rows) > 200
     right = sum((r.score >= 0.5) == (r.doc_id % 4 == 0) for r in rows)
     assert right / len(rows) > 0.97
@@ -94,7 +95,7 @@ def test_long_runs_of_text_do_not_learn_from_held_out_rows(spark):
     docs, labels = corpus(400, 5)
     known = spark.createDataFrame(labels, "doc_id long, toxic int")
     frame = spark.createDataFrame(docs, "doc_id long, text string, score double")
-    train = toxicity.is_training(F.col("doc_id"))
+    train = is_training(F.col("doc_id"), 5)
     flipped = known.withColumn("toxic", F.when(train, F.col("toxic")).otherwise(1 - F.col("toxic")))
     a, b = toxicity.fit(frame, known, train), toxicity.fit(frame, flipped, train)
     assert np.allclose(a.weights, b.weights) and math.isclose(a.bias, b.bias, rel_tol=1e-9)
