@@ -11,7 +11,9 @@ Jaccard similarity of their sets reaches the threshold.  Equal sets are one
    one, and components are formed from the links found;
 3. small nodes are compared exhaustively, but for pairs already in one
    component.  Large nodes at the last level are cut into blocks, and each
-   pair of blocks is compared likewise in a task of its own.
+   pair of blocks is compared likewise in a group of its own, which gives only
+   links between what it has not yet connected: no more than it has classes.
+   Pairs that meet in several trees are compared there in the first.
 
 Links are confirmed on the full sets; signatures only put aside pairs whose
 estimate is more than ``SPREAD`` standard deviations below the threshold.  A
@@ -38,7 +40,7 @@ from meterframe.session import durable
 
 TREES, DEPTH = 16, 4
 LEAF = 32  # classes that are compared exhaustively in one node
-BLOCK = 256  # classes of a large node's block
+BLOCK, BLOCK_SHINGLES = 512, 2_000_000  # of a large node's block, on average
 SPREAD = 4.5
 PERCENT = 85
 SLICE = 1024  # shingles hashed at once
@@ -86,20 +88,21 @@ def path(levels: int) -> Column:
 
 
 def nodes(classes: DataFrame) -> DataFrame:
-    """(node, size, cls) of the last node of each class in each tree; nodes of
-    one class are left out.  Only classes of large nodes go to the next level."""
-    rows = classes.select("cls", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    """(node, tree, size, volume, cls) of the last node of each class in each
+    tree; nodes of one class are left out.  Only classes of large nodes go to
+    the next level.  The volume of a node is its sets' shingles."""
+    rows = classes.select("cls", "sig", "n_shingles", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     out = None
     for level in range(1, DEPTH + 1):
         named = rows.withColumn("node", path(level))
-        sizes = named.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        there = durable(named.join(sizes, "node").select("node", "size", "tree", "cls"), "nodes")
+        sizes = named.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.sum("n_shingles").alias("volume")).where("size > 1")
+        there = durable(named.join(sizes, "node").select("node", "tree", "size", "volume", "cls"), "nodes")
         done = there if level == DEPTH else there.where(F.col("size") <= LEAF)
         out = done if out is None else out.union(done)
         if level < DEPTH:
             large = there.where(F.col("size") > LEAF).select("tree", "cls")
-            rows = large.join(classes.select("cls", "sig"), "cls")
-    return out.select("node", "size", "cls")
+            rows = large.join(classes.select("cls", "sig", "n_shingles"), "cls")
+    return out
 
 
 def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -154,27 +157,61 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
+def open_members(members: DataFrame) -> DataFrame:
+    """Members (node, ..., cls, label) of nodes that hold several components."""
+    several = members.groupBy("node").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("node")
+    return members.join(several, "node")
+
+
 def across(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that meet in a node, from members
-    (node, size, cls, label).  Nodes within one component give none."""
-    mixed_nodes = members.groupBy("node").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("node")
-    open_rows = members.join(mixed_nodes, "node")
-    blocks = F.ceil(F.col("size") / F.lit(float(BLOCK))).cast("int")
-    mine = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
+    """Pairs (a, b) of different components in small nodes."""
+    small = members.where(F.col("size") <= LEAF)
+    left = small.select("node", F.col("cls").alias("a"), F.col("label").alias("a_label"))
+    right = small.select("node", F.col("cls").alias("b"), F.col("label").alias("b_label"))
+    return left.join(right, "node").where("a < b and a_label <> b_label").select("a", "b")
+
+
+def links_in_large(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join components within large nodes."""
+    blocks = F.greatest(F.ceil(F.col("size") / F.lit(float(BLOCK))), F.ceil(F.col("volume") / F.lit(float(BLOCK_SHINGLES)))).cast("int")
     dealt = (
-        open_rows.withColumn("blocks", F.when(F.col("size") <= LEAF, 1).otherwise(blocks))
-        .withColumn("block", mine)
+        members.withColumn("blocks", blocks)
+        .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("node", "block", "cls", "label", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
-    )
-    left = dealt.select("node", "lo", "hi", F.col("block").alias("a_block"), F.col("cls").alias("a"), F.col("label").alias("a_label"))
-    right = dealt.select("node", "lo", "hi", F.col("block").alias("b_block"), F.col("cls").alias("b"), F.col("label").alias("b_label"))
-    # In a pair of two blocks, the pairs within either are left to that block alone.
-    return (
-        left.join(right, ["node", "lo", "hi"])
-        .where("a < b and a_label <> b_label and (lo = hi or a_block <> b_block)")
-        .select("a", "b")
+        .select("node", "tree", "block", "cls", "label", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
     )
+    full = dealt.join(classes.select("cls", "sig"), "cls").join(sets, "cls")
+    goal = percent / 100
+    least = (goal - SPREAD * (goal * (1 - goal) / COORDINATES) ** 0.5) * COORDINATES
+
+    def run(group: pa.Table) -> pa.Table:
+        keys, tree = group.column("cls").to_pylist(), group.column("tree")[0].as_py()
+        block, lo, hi = np.array(group.column("block")), group.column("lo")[0].as_py(), group.column("hi")[0].as_py()
+        sig = np.array(group.column("sig").to_pylist(), np.int32)
+        hashes = [np.frombuffer(h, np.uint64) for h in group.column("hashes").to_pylist()]
+        sizes = np.array([len(h) for h in hashes])
+        _, root = np.unique(np.array(group.column("label").to_pylist(), object), return_inverse=True)  # components, by number
+        left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        found = []
+        for x in left.tolist():
+            others = right if lo != hi else right[right > x]
+            others = others[(root[others] != root[x]) & (100 * np.minimum(sizes[others], sizes[x]) >= percent * np.maximum(sizes[others], sizes[x]))]
+            equal = sig[others] == sig[x]
+            alike = equal.sum(axis=1)
+            before = equal.reshape(-1, TREES, DEPTH).all(axis=2)[:, :tree].any(axis=1)
+            for k in np.argsort(-alike, kind="stable").tolist():
+                y = int(others[k])
+                if alike[k] < least:
+                    break
+                if before[k] or root[x] == root[y]:
+                    continue
+                common = len(np.intersect1d(hashes[x], hashes[y], assume_unique=True))
+                if 100 * common >= percent * (sizes[x] + sizes[y] - common):
+                    found.append((keys[x], keys[y]))
+                    root[root == root[y]] = root[x]
+        return pa.table({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary())})
+
+    return full.groupBy("node", "lo", "hi").applyInArrow(run, "a binary, b binary")
 
 
 def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -193,12 +230,15 @@ def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     starred = durable(likely(stars, classes, percent), "stars")
     links = durable(confirmed(starred, _sets(docs, classes, starred), percent), "links")
     labels = components(links)
-    members = placed.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-    members = members.select("node", "size", "cls", F.coalesce("label", "cls").alias("label"))
+    members = placed.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    members = durable(open_members(members), "members")
     rest = durable(likely(across(members), classes, percent).join(starred, ["a", "b"], "left_anti"), "rest")
-    if not rest.isEmpty():
-        more = confirmed(rest, _sets(docs, classes, rest), percent)
-        labels = components(links.union(more))
+    large = members.where(F.col("size") > LEAF)
+    more = durable(confirmed(rest, _sets(docs, classes, rest), percent), "links")
+    if not large.isEmpty():
+        wanted = large.select("cls").distinct().join(classes.select("cls", "doc_id"), "cls")
+        more = more.union(durable(links_in_large(large, classes, durable(sets_of(docs, wanted), "sets"), percent), "links"))
+    labels = components(links.union(more))
     named = classes.select("cls", "doc_id").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
     named = named.select("cls", "doc_id", F.coalesce("label", "cls").alias("component"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("least"))
@@ -215,6 +255,7 @@ def link(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Written sets of all classes in the pairs."""
     keys = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
     return durable(sets_of(docs, classes.select("cls", "doc_id").join(keys, "cls")), "sets")
 
