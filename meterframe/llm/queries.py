@@ -5,12 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterframe.llm import bit_planes, chat_format, mixing, near_dedup, ngram_automaton, secret_scan, template_match, toxicity
+from meterframe.llm import bit_planes, chat_format, mixing, near_dedup, ngram_automaton, secret_scan, template_match, token_trees, toxicity, vantage_trees
 from meterframe.llm.folds import is_training
-from meterframe.session import fresh_path
+from meterframe.session import durable, fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,12 @@ def op9_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_planes.read_back(spark, path)
 
 
+def op1_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = vantage_trees.usable(table(spark, sf_dir, "embeddings"))
+    found = vantage_trees.nearest(vectors, F.col("vec_id") % 50 == 0)
+    return found.withColumn("score", F.round("score", 12))  # the last digits depend on the order of adding
+
+
 def op2_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sums rounded to 7 decimals: further ones depend on the order of adding."""
     scored = ngram_automaton.score(table(spark, sf_dir, "documents"), is_training(F.col("doc_id"), 10))
@@ -53,6 +59,28 @@ def op4_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def edits_of(text: Column, doc_id: Column) -> Column:
+    """Three edits a document, at places that follow from its id: words put in,
+    a stretch replaced, and a stretch at the front taken out."""
+    chars = F.length(text)
+    spot = F.pmod(F.xxhash64(F.coalesce(doc_id, F.lit(0))), chars + 1)
+    other = F.pmod(F.xxhash64(F.coalesce(doc_id, F.lit(0)), F.lit(1)), chars + 1)
+
+    def change(start: Column, end: Column, new: str) -> Column:
+        return F.struct(start.cast("bigint").alias("start"), end.cast("bigint").alias("end"), F.lit(new).alias("text"))
+
+    return F.array(change(spot, spot, " (added later, 2 words)"), change(other, other + 17, "it's\n\nnew "), change(F.lit(0), F.lit(9), ""))
+
+
+def op5_token_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    file, pattern = tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    kept = durable(token_trees.keep(table(spark, sf_dir, "documents"), file, pattern), "token-trees")
+    changed = token_trees.follow(kept, edits_of(F.col("text"), F.col("doc_id")), file, pattern)
+    return changed.select("doc_id", "n_before", "n_tokens", "encoded_chars", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op6_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources by the square root of their rows, to as many rows as there are."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"), mixing.tempered(0.5), seed=6)
@@ -99,6 +127,18 @@ crc_table AS (
 )"""
 
 ORACLE = {
+    "op1_vantage_trees": """
+WITH v AS (
+    SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+      AND len(list_filter(embedding, lambda e: e <> 0)) > 0
+), pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.x, c.x) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, round(score, 12) AS score
+FROM pairs QUALIFY rank <= 5
+""",
     "op2_backoff_automaton": f"""
 WITH {CRC}, worded AS (
     SELECT doc_id, crc % 10 = 0 AS held_out,
@@ -194,9 +234,11 @@ FROM written GROUP BY conv_id
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_vantage_trees": op1_vantage_trees,
         "op2_backoff_automaton": op2_backoff_automaton,
         "op3_chosen_path": op3_chosen_path,
         "op4_noisy_or_toxicity": op4_noisy_or_toxicity,
+        "op5_token_trees": op5_token_trees,
         "op6_poisson_mixing": op6_poisson_mixing,
         "op7_chat_round_trip": op7_chat_round_trip,
         "op8_template_match": op8_template_match,
