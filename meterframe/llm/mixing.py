@@ -79,7 +79,7 @@ def tempered(power: float) -> Column:
 
 def mix(docs: DataFrame, weights: Column, seed: int = 1, total: float | None = None) -> DataFrame:
     """The mixture, in global order of ``mix_key``."""
-    kept = docs.drop("copy_no", "mix_key")
+    kept = docs.drop("copy_no", "mix_key")  # replaced by the mixture's own
     rate, sources = rates(kept, weights, total)
     rate = rate.select(F.col("source").alias("_source"), F.col("rate").alias("_rate"))
     if sources <= BROADCAST_SOURCES:  # counted; same rows either way, but documents need not move

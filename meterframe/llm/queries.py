@@ -232,6 +232,12 @@ FROM written GROUP BY conv_id
 }
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # at the top of the repository; it uses this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_vantage_trees": op1_vantage_trees,
@@ -244,6 +250,7 @@ def queries() -> dict[str, Query]:
         "op8_template_match": op8_template_match,
         "op9_bit_planes": op9_bit_planes,
         "op10_secret_scan": op10_secret_scan,
+        "pipeline": pipeline,
     }
 
 
