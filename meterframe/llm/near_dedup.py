@@ -82,26 +82,26 @@ def profiles(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, n_shingles bigint, cls binary, sig array<int>")
 
 
-def path(levels: int) -> Column:
+def path(level: int) -> Column:
     """A node's name: its tree and the minwise tokens chosen so far."""
-    return F.xxhash64("tree", *[F.get(F.col("sig"), F.col("tree") * DEPTH + k) for k in range(levels)])
+    return F.xxhash64("tree", *[F.get(F.col("sig"), F.col("tree") * DEPTH + k) for k in range(level)])
 
 
 def nodes(classes: DataFrame) -> DataFrame:
     """(node, tree, size, volume, cls) of the last node of each class in each
     tree; nodes of one class are left out.  Only classes of large nodes go to
     the next level.  The volume of a node is its sets' shingles."""
+    levels = range(1, DEPTH + 1)
     rows = classes.select("cls", "sig", "n_shingles", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    rows = rows.select("cls", "n_shingles", "tree", *[path(k).alias(f"node{k}") for k in levels])
     out = None
-    for level in range(1, DEPTH + 1):
-        named = rows.withColumn("node", path(level))
+    for level in levels:
+        named = rows.withColumn("node", F.col(f"node{level}")).drop(f"node{level}")
         sizes = named.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.sum("n_shingles").alias("volume")).where("size > 1")
-        there = durable(named.join(sizes, "node").select("node", "tree", "size", "volume", "cls"), "nodes")
-        done = there if level == DEPTH else there.where(F.col("size") <= LEAF)
+        there = durable(named.join(sizes, "node"), "nodes")
+        done = (there if level == DEPTH else there.where(F.col("size") <= LEAF)).select("node", "tree", "size", "volume", "cls")
         out = done if out is None else out.union(done)
-        if level < DEPTH:
-            large = there.where(F.col("size") > LEAF).select("tree", "cls")
-            rows = large.join(classes.select("cls", "sig", "n_shingles"), "cls")
+        rows = there.where(F.col("size") > LEAF).drop("node", "size", "volume")
     return out
 
 
@@ -180,7 +180,7 @@ def links_in_large(members: DataFrame, classes: DataFrame, sets: DataFrame, perc
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("node", "tree", "block", "cls", "label", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
     )
-    full = dealt.join(classes.select("cls", "sig"), "cls").join(sets, "cls")
+    full = dealt.join(durable(sets.join(classes.select("cls", "sig"), "cls"), "sets"), "cls")
     goal = percent / 100
     least = (goal - SPREAD * (goal * (1 - goal) / COORDINATES) ** 0.5) * COORDINATES
 
