@@ -31,6 +31,7 @@ other than ``doc_id`` and ``text`` are ignored.
 from __future__ import annotations
 
 import math
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -44,14 +45,14 @@ from meterframe.session import durable
 ORDER = 2
 STRENGTH = 200.0
 ADDED = 0.1
-BLOCK_TOKENS = 1_200_000
+BLOCK_TOKENS = 600_000
 BUCKET_GRAMS = 600_000  # n-grams a task adds up at once, on average
 END = np.uint64(0x2545F4914F6CDD1D)  # stands for the end; words hash to other values but by chance
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xD1B54A32D192ED03], np.uint64)
 
-BLOCK = "block bigint, words binary, tokens binary, doc_ids array<bigint>, sizes array<int>, lead array<int>, train array<boolean>, wholes array<bigint>, train_tokens bigint"
+BLOCK = "block bigint, words binary, tokens binary, n_tokens bigint, doc_ids array<bigint>, sizes array<int>, lead array<int>, train array<boolean>, wholes array<bigint>, train_tokens bigint"
 BLOCK_ARROW = pa.schema(
-    [("block", pa.int64()), ("words", pa.binary()), ("tokens", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())),
+    [("block", pa.int64()), ("words", pa.binary()), ("tokens", pa.binary()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())),
      ("lead", pa.list_(pa.int32())), ("train", pa.list_(pa.bool_())), ("wholes", pa.list_(pa.int64())), ("train_tokens", pa.int64())]
 )
 COUNTS = "bucket int, block bigint, level int, n int, hashes binary, counts binary"
@@ -110,7 +111,7 @@ def blocks(docs: DataFrame, train: Column, order: int = ORDER) -> DataFrame:
 def _block(number: int, held: list) -> pa.RecordBatch:
     words, tokens = np.unique(np.concatenate([h for _, h, _, _, _ in held]), return_inverse=True)
     row = {
-        "block": number, "words": words.tobytes(), "tokens": tokens.astype("<u4").tobytes(), "doc_ids": [d for d, *_ in held],
+        "block": number, "words": planes(words), "tokens": packed(tokens.astype("<u4")), "n_tokens": len(tokens), "doc_ids": [d for d, *_ in held],
         "sizes": [len(h) for _, h, *_ in held], "lead": [h[2] for h in held], "train": [h[3] for h in held], "wholes": [w for *_, w in held],
         "train_tokens": sum(len(h) - lead for _, h, lead, train, _ in held if train),
     }
@@ -124,8 +125,8 @@ class Grams:
     the text is shorter), in the order of ``hashes[k]``."""
 
     def __init__(self, row: dict, order: int):
-        words = np.frombuffer(row["words"], "<u8")
-        tokens = np.frombuffer(row["tokens"], "<u4").astype(np.int64)
+        words = from_planes(row["words"])
+        tokens = unpacked(row["tokens"], "<u4").astype(np.int64)
         sizes = np.array(row["sizes"], np.int64)
         self.starts = np.cumsum(sizes) - sizes
         self.tokens, self.sizes, self.lead = tokens, sizes, np.array(row["lead"], np.int64)
@@ -261,7 +262,7 @@ class Automaton:
             reach = state[level] if level < order - 1 else None
             targets.append(reach[seen] if reach is not None else np.maximum(state[level - 1][suffix[level][seen]], 0))
         self.arcs = dict(zip(np.concatenate(keys).tolist(), range(sum(map(len, keys)))))
-        self.weight, self.target = np.concatenate(weights).tolist(), np.concatenate(targets).tolist()
+        self.weight, self.target = array("d", np.concatenate(weights).tobytes()), array("q", np.concatenate(targets).astype(np.int64).tobytes())
         self.fail, self.back = fail, back
 
     def read(self, words: list[int], lead: int = 0) -> float:
@@ -312,7 +313,7 @@ def score(docs: DataFrame, train: Column, order: int = ORDER, strength: float =
     score.  The model learns from the rows where ``train`` holds."""
     stored = durable(blocks(docs, train, order), "blocks")
     size = stored.agg(
-        F.sum(F.octet_length("tokens") / 4).alias("tokens"),
+        F.sum("n_tokens").alias("tokens"),
         F.sum("train_tokens").alias("train"),
     ).first()
     n = int(size["train"] or 0)

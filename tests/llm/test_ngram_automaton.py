@@ -79,7 +79,7 @@ def test_probabilities_of_an_automaton_add_up_to_one():
 
     words = np.unique(np.random.default_rng(1).integers(1, 2**63, 9).astype(np.uint64))
     tokens = np.random.default_rng(2).integers(0, 8, 400)  # the last word is unknown
-    row = {"words": words.tobytes(), "tokens": np.append(tokens, 8).astype("<u4").tobytes(), "sizes": [400, 1], "lead": [0, 0], "train": [True, False]}
+    row = {"words": ngram_automaton.planes(words), "tokens": ngram_automaton.packed(np.append(tokens, 8).astype("<u4")), "sizes": [400, 1], "lead": [0, 0], "train": [True, False]}
     grams = ngram_automaton.Grams(row, 3)
     counts = [grams.counts(level).astype(float) for level in range(3)]
     machine = ngram_automaton.Automaton(grams, counts, 400, 8, 5.0)
