@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meterframe.operators import forecast, models, scoring, splits
+from meterframe.operators.series import SeriesParts
 from meterframe.plans import runs
 from meterframe.plans.ledger import flatten_params, read_runs
 from meterframe.session import fresh_path
@@ -212,10 +213,13 @@ FEATURES = ["lagged_1_energy_kwh", "lagged_6_energy_kwh", "rolling_mean_energy_k
 def _features(spark, sf):
     from meterframe.operators import calendar, history
 
-    df = history.add_lags(views.energy(spark, sf), (1, 6), order=ORDER)
-    rolled = history.add_rolling_stats(df.drop("lagged_1_energy_kwh", "lagged_6_energy_kwh"), (6,), ["mean"], order=ORDER)
-    both = df.join(rolled.drop("energy_kwh"), ["object_id", "timestamp", "event_id"])
-    return calendar.add_hours(both)
+    # One measure, one exchange and one sort for both kinds of feature.
+    energy = views.energy(spark, sf)
+    parts = SeriesParts.measure(energy, ORDER, 6)
+    lagged = history.add_lags(parts.open(energy), (1, 6), parts)
+    rolled = history.add_rolling_stats(lagged, (6,), ["mean"], parts)
+    wanted = ["object_id", "timestamp", "event_id", "energy_kwh", "lagged_1_energy_kwh", "lagged_6_energy_kwh", "rolling_mean_energy_kwh_6"]
+    return calendar.add_hours(parts.close(rolled).select(*wanted))
 
 
 LINEAR = f"""
@@ -254,21 +258,58 @@ def per_customer_ridge_unpenalised(spark, sf):
     return plain(made.drop("model"))
 
 
-@query("per_customer_model")
+# A fitted model's numbers are unit-tested; here every evaluation row of a
+# trained meter must be there with a finite prediction.
+PREDICTED = f"""SELECT object_id, "timestamp", energy_kwh AS y_true, TRUE AS predicted FROM energy
+    WHERE {_range("test")} AND object_id IN (SELECT object_id FROM energy WHERE {_range("train")} AND energy_kwh IS NOT NULL)"""
+
+
+def _predicted(df):
+    return df.select("object_id", "timestamp", "y_true", (F.abs("y_pred") < float("inf")).alias("predicted"))
+
+
+@query("per_customer_model", PREDICTED)
 def per_customer_model(spark, sf):
     df = _features(spark, sf)
-    return models.forecast_per_customer(_train(df), _test(df), FEATURES, "energy_kwh", ORDER)
+    return _predicted(models.forecast_per_customer(_train(df), _test(df), FEATURES, "energy_kwh", ORDER))
 
 
-@query("global_gbt")
+@query("global_gbt", f"""SELECT object_id, "timestamp", energy_kwh AS y_true, TRUE AS predicted FROM energy WHERE {_range("test")}""")
 def global_gbt(spark, sf):
+    """A few shallow trees: that rows come through is all that is compared."""
     df = _features(spark, sf)
     fitted = models.fit_boosted_trees(_train(df), FEATURES, "energy_kwh", iterations=3, depth=4)
-    return models.predict_boosted_trees(fitted, _test(df), FEATURES, "energy_kwh", ORDER)
+    return _predicted(models.predict_boosted_trees(fitted, _test(df), FEATURES, "energy_kwh", ORDER))
 
 
-@query("model_run")
+def _model_run(spark, sf, times=1):
+    df, root = _features(spark, sf), fresh_path(spark, "ledger")
+    for _ in range(times):
+        run = runs.model_run(_train(df), _test(df), FEATURES, root, order=ORDER, run_id="run_20240131_000000")
+    return root, run
+
+
+@query("model_run", f"""SELECT object_id, TRUE AS scored FROM ({PREDICTED}) GROUP BY object_id""")
 def model_run(spark, sf):
-    df = _features(spark, sf)
-    run = runs.model_run(_train(df), _test(df), FEATURES, fresh_path(spark, "ledger"), order=ORDER)
-    return run.per_customer
+    _, run = _model_run(spark, sf)
+    return run.per_customer.select("object_id", (F.col("MAE") >= 0).alias("scored"))
+
+
+@query("run_ledger_rerun", f"""SELECT count(*) AS forecasts, count(DISTINCT object_id) AS meters FROM ({PREDICTED})""")
+def run_ledger_rerun(spark, sf):
+    """A run id written twice is one run."""
+    root, _ = _model_run(spark, sf, times=2)
+    return read_runs(spark, f"{root}/forecasts").agg(F.count(F.lit(1)).alias("forecasts"), F.countDistinct("object_id").alias("meters"))
+
+
+@query(
+    "run_ledger_params",
+    """SELECT 'run_20240131_000000' AS run_id, param, value, n FROM
+      (VALUES ('features', 'lagged_1_energy_kwh,lagged_6_energy_kwh,rolling_mean_energy_kwh_6,hour_sin,hour_cos'),
+              ('target', 'energy_kwh'), ('ridge.penalty', '1.0')) p(param, value),
+      (SELECT count(*) AS n FROM energy)""",
+)
+def run_ledger_params(spark, sf):
+    root, run = _model_run(spark, sf)
+    n = views.energy(spark, sf).agg(F.count(F.lit(1)).alias("n"))
+    return read_runs(spark, f"{root}/params", run_id=run.run_id).select("run_id", "param", "value").join(n, F.lit(True))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from meterframe.operators import cleaning, history
 from meterframe.operators.series import SeriesParts
 
@@ -89,22 +91,22 @@ def _power(p: int) -> str:
     return " * ".join(["cents"] * p)
 
 
-def skew_kurt_sql(n: int) -> str:
+def skew_kurt_sql(n: int, source: str = "energy") -> str:
     frame = f"({KEY} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
     sums = ", ".join(f"sum({_power(p)}) OVER {frame} AS s{p}" for p in (1, 2, 3, 4))
     return f"""
     SELECT {IDS}, energy_kwh,
-      round(CASE WHEN seen = {n} AND m2 > 0 THEN
+      round(CASE WHEN seen = {n} AND m2 = 0 THEN 0.0::DOUBLE WHEN seen = {n} THEN
         CAST(m3 AS DOUBLE) / pow(CAST(m2 AS DOUBLE), 1.5) * sqrt({n} * ({n} - 1.0::DOUBLE)) / ({n} - 2) END, 6)
         AS rolling_skew_energy_kwh_{n},
-      round(CASE WHEN seen = {n} AND m2 > 0 THEN
+      round(CASE WHEN seen = {n} AND m2 = 0 THEN -3.0::DOUBLE WHEN seen = {n} THEN
         ({n} - 1.0::DOUBLE) / (({n} - 2) * ({n} - 3))
         * (({n} + 1) * (CAST(m4 AS DOUBLE) / pow(CAST(m2 AS DOUBLE), 2) - 3) + 6) END, 6)
         AS rolling_kurt_energy_kwh_{n}
     FROM (SELECT *, {n} * s2 - s1 * s1 AS m2,
                  {n} * {n} * s3 - 3 * {n} * s1 * s2 + 2 * s1 * s1 * s1 AS m3,
                  {n} * {n} * {n} * s4 - 4 * {n} * {n} * s1 * s3 + 6 * {n} * s2 * s1 * s1 - 3 * s1 * s1 * s1 * s1 AS m4
-          FROM (SELECT {IDS}, energy_kwh, count(energy_kwh) OVER {frame} AS seen, {sums} FROM energy))"""
+          FROM (SELECT {IDS}, energy_kwh, count(energy_kwh) OVER {frame} AS seen, {sums} FROM {source}))"""
 
 
 @query("rolling_skew_kurt", skew_kurt_sql(12))
@@ -112,6 +114,29 @@ def rolling_skew_kurt(spark, sf):
     return plain(history.add_rolling_stats(views.energy(spark, sf), (12,), ["skew", "kurt"], order=ORDER))
 
 
+# Readings rounded so coarsely that flat windows occur; of equal values the
+# skewness is 0 and the excess kurtosis -3.
+FLAT = """(SELECT object_id, "timestamp", event_id, round(energy_kwh / 400) * 400 AS energy_kwh,
+           CAST(round(energy_kwh / 400) AS BIGINT) AS cents FROM energy)"""
+
+
+@query("rolling_skew_kurt_flat", skew_kurt_sql(4, FLAT))
+def rolling_skew_kurt_flat(spark, sf):
+    coarse = views.energy(spark, sf).withColumn("energy_kwh", F.round(F.col("energy_kwh") / 400) * 400)
+    return plain(history.add_rolling_stats(coarse.drop("cents"), (4,), ["skew", "kurt"], order=ORDER))
+
+
+@query("rolling_large_values", f"""SELECT {IDS}, round(energy_kwh * 1e6, 2) AS energy_kwh, {", ".join(
+    f"round({body.format(f=f'({KEY} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)')} * 1e6, 2) AS rolling_{name}_energy_kwh_{n}"
+    for n in (6, 24) for name, body in (("mean", "CASE WHEN count(cents) OVER {f} = " + str(n) + " THEN CAST(sum(cents) OVER {f} AS DOUBLE) / " + str(n) + " / 100 END"),
+                                        ("std", "CASE WHEN count(cents) OVER {f} = " + str(n) + " THEN sqrt(CAST(" + str(n) + " * sum(cents * cents) OVER {f} - sum(cents) OVER {f} * sum(cents) OVER {f} AS DOUBLE) / (" + str(n) + " * " + str(n - 1) + ")) / 100 END")))}
+    FROM energy""")
+def rolling_large_values(spark, sf):
+    large = views.energy(spark, sf).withColumn("energy_kwh", F.col("energy_kwh") * 1e6)
+    made = history.add_rolling_stats(large, (6, 24), ["mean", "std"], order=ORDER, digits=3)
+    return plain(made, 2)
+
+
 @query(
     "rolling_count",
     f"""SELECT {IDS}, energy_kwh, {", ".join(

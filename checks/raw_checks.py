@@ -167,7 +167,7 @@ def weather_by_region(spark, sf):
 
 @query(
     "forecast_horizon_topn",
-    f"""SELECT * FROM (SELECT g.*, 'forecast' AS data_type,
+    f"""SELECT *, 48 AS horizon_hours FROM (SELECT g.*, 'forecast' AS data_type,
       min({T}) OVER (PARTITION BY region_id) AS forecast_start FROM ({HOURLY_GRID}) g
       QUALIFY row_number() OVER (PARTITION BY region_id ORDER BY {T}) <= 48)""",
 )
@@ -184,7 +184,7 @@ def forecast_horizon_topn(spark, sf):
 )
 def write_weather_partitions(spark, sf):
     path = weather_payload.write_weather(views.weather(spark, sf), fresh_path(spark, "weather"))
-    return plain(spark.read.parquet(path), digits=None)
+    return plain(spark.read.parquet(path).drop("forecast_start", "horizon_hours"), digits=None)
 
 
 @query(
@@ -488,7 +488,7 @@ CLEAN = f"""
 def _ingested(spark, sf):
     # Readings keep their event number as the order of arrival.
     rows = views.doubled(spark, sf).withColumn("timestamp", F.date_format("timestamp", "dd.MM.yyyy HH:mm:ss"))
-    moved = views.weather(spark, sf).where("data_type = 'historical'")
+    moved = views.weather(spark, sf)
     return ingestion.ingest(
         rows.drop("ingested_at"),
         views.metadata(spark, sf),
@@ -513,18 +513,19 @@ def _gaps_sql(table: str, key: str, source: str) -> str:
 
 
 def _report_sql() -> str:
-    checked = {**SOURCES, "smart_meter": "clean", "weather": "one_type"}
+    checked = {**SOURCES, "smart_meter": "clean", "weather": "weather"}
     lines = [_quoted(s) for t, source in checked.items() for s in _rule_sql(t, source)]
-    lines += [f"SELECT '{t}', 'duplicate keys', 0" for t in TABLES]
-    lines += [
-        f"SELECT '{t}', '{t}.{column} -> {parent}', 0"
-        for t, rules in TABLES.items()
-        for column, parent, _ in rules.foreign_keys
-    ]
-    lines += [_gaps_sql("smart_meter", "object_id", "clean"), _gaps_sql("weather", "region_id", "one_type")]
+    for t, rules in TABLES.items():
+        keys = ", ".join(f'"{k}"' for k in rules.primary_key)
+        lines.append(f"SELECT '{t}', 'duplicate keys', count(*) FROM (SELECT 1 FROM {checked[t]} GROUP BY {keys} HAVING count(*) > 1)")
+        lines += [
+            f"SELECT '{t}', '{t}.{column} -> {parent}', count(*) FROM {checked[t]} c "
+            f"WHERE {column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {checked[parent]} p WHERE p.{key} = c.{column})"
+            for column, parent, key in rules.foreign_keys
+        ]
+    lines += [_gaps_sql("smart_meter", "object_id", "clean"), _gaps_sql("weather", "region_id, data_type", "weather")]
     report = " UNION ALL ".join(lines).replace("AS rule", "AS check_name").replace("AS violations", "AS value")
-    return f"""WITH clean AS ({CLEAN}),
-    one_type AS (SELECT * FROM weather WHERE data_type = 'historical') {report}"""
+    return f"""WITH clean AS ({CLEAN}) {report}"""
 
 
 @query("ingest_report", _report_sql())

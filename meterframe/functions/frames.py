@@ -24,18 +24,26 @@ def _median(c, frame, n):
     return F.percentile(c, F.lit(0.5)).over(frame)
 
 
+def _flat(c, frame):
+    """Whether all values are equal.  Such a window has skewness 0 and excess
+    kurtosis -3, as pandas has it."""
+    return F.min(c).over(frame) == F.max(c).over(frame)
+
+
 def _skew(c, frame, n):
     """Bias-corrected skewness (needs three rows)."""
     if n < 3:
         return F.lit(None).cast("double")
-    return F.skewness(c).over(frame) * F.lit((n * (n - 1)) ** 0.5 / (n - 2))
+    skew = F.skewness(c).over(frame) * F.lit((n * (n - 1)) ** 0.5 / (n - 2))
+    return F.when(_flat(c, frame), F.lit(0.0)).otherwise(skew)
 
 
 def _kurt(c, frame, n):
     """Bias-corrected excess kurtosis (needs four rows)."""
     if n < 4:
         return F.lit(None).cast("double")
-    return F.lit((n - 1) / ((n - 2) * (n - 3))) * ((n + 1) * F.kurtosis(c).over(frame) + 6)
+    kurt = F.lit((n - 1) / ((n - 2) * (n - 3))) * ((n + 1) * F.kurtosis(c).over(frame) + 6)
+    return F.when(_flat(c, frame), F.lit(-3.0)).otherwise(kurt)
 
 
 def _rank(c, frame, n):
@@ -80,16 +88,17 @@ def rolling(name: str, c: Column, window: WindowSpec, n: int, place: Column) ->
 # Aggregates that follow from the sums of whole units and of their squares.
 # The running sums are exact, so the difference of two of them is the exact sum
 # of the rows between: the cost per row does not depend on the window's length.
+WIDE = "decimal(38,0)"
 FROM_TOTALS = ("sum", "mean", "var", "std", "sem")
 
 
 def running_totals(c: Column, window: WindowSpec, digits: int, squares: bool) -> dict[str, Column]:
     so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     units = to_units(c, digits)
-    totals = {"count": F.count(c).over(so_far), "sum": F.sum(units).over(so_far)}
+    wide = units.cast("decimal(19,0)")
+    totals = {"count": F.count(units).over(so_far), "sum": F.sum(wide).over(so_far).cast(WIDE)}
     if squares:
-        # Squares of a long series do not fit a BIGINT.
-        totals["squares"] = F.sum((units * units).cast("decimal(20,0)")).over(so_far)
+        totals["squares"] = F.sum((wide * wide).cast("decimal(28,0)")).over(so_far).cast(WIDE)
     return totals
 
 
@@ -99,18 +108,18 @@ def from_totals(name: str, column: str, window: WindowSpec, n: int, digits: int)
     def between(total: str) -> Column:
         c = f"__{total}_{column}"
         end, start = F.lag(c, 1).over(window), F.lag(c, n + 1).over(window)
-        return (end - F.coalesce(start, F.lit(0))).cast("bigint")
+        return (end - F.coalesce(start, F.lit(0).cast(WIDE))).cast(WIDE)
 
     if name == "sum":
-        value = from_units(between("sum"), digits)
+        value = from_units(between("sum").cast("double"), digits)
     elif name == "mean":
-        value = from_units(between("sum") / n, digits)
+        value = from_units(between("sum").cast("double") / n, digits)
     elif n < 2:
         value = F.lit(None).cast("double")
     else:
         total = between("sum")
-        scatter = between("squares") * n - total * total
-        value = scatter / (n * (n - 1)) / F.lit(10.0 ** (2 * digits))
+        scatter = (between("squares") * F.lit(n).cast(WIDE)).cast(WIDE) - (total * total).cast(WIDE)
+        value = scatter.cast("double") / (n * (n - 1)) / F.lit(10.0 ** (2 * digits))
         if name != "var":
             value = F.sqrt(value)
         if name == "sem":

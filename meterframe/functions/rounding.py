@@ -29,9 +29,16 @@ def to_units(value: Column, digits: int) -> Column:
     """A reading with a fixed number of decimals as a whole number of units.
 
     Sums of units are exact and do not depend on the order of the rows, so a
-    task that is run again after a lost executor gives the same bits.
+    task that is run again after a lost executor gives the same bits.  What no
+    whole number can hold (NaN, infinity) counts as missing.
     """
-    return F.rint(value * F.lit(10.0**digits)).cast("bigint")
+    scaled = value * F.lit(10.0**digits)
+    return F.when(F.abs(scaled) < F.lit(9.2e18), F.rint(scaled).cast("bigint"))
+
+
+def finite(value: Column) -> Column:
+    """The number, or null for NaN and infinity."""
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def from_units(units: Column, digits: int) -> Column:

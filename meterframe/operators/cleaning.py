@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.rounding import finite
 from .series import SeriesOrder, SeriesParts, over_series
 
 # Accepted texts of a time stamp, day first where a slash or a
@@ -29,11 +30,9 @@ ZONE_SUFFIX = r"\s*(Z|UTC|[+-]\d{2}:?\d{2})$"
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
-    """Missing numbers are NULL everywhere after a source was read."""
+    """Missing numbers (NaN, infinity) are NULL everywhere after a source was read."""
     floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
-    return df.select(
-        *[F.when(~F.isnan(c), F.col(c)).alias(c) if c in floats else F.col(c) for c in df.columns]
-    )
+    return df.select(*[finite(F.col(f"`{c}`")).alias(c) if c in floats else F.col(f"`{c}`") for c in df.columns])
 
 
 def parse_time(text: Column, formats: Sequence[str] = TIME_FORMATS) -> Column:

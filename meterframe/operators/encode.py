@@ -12,7 +12,6 @@ from ..functions.rounding import HALF_MAX, quantize_half
 
 # Categories of the calendar columns.
 DOMAINS = {"weekday": tuple(range(7)), "hour": tuple(range(24))}
-MAX_CATEGORIES = 1000
 
 
 def normalize_bool_columns(df: DataFrame) -> DataFrame:
@@ -21,13 +20,10 @@ def normalize_bool_columns(df: DataFrame) -> DataFrame:
 
 
 def categories(df: DataFrame, column: str) -> list:
-    """The values of a column, in order.  More than ``MAX_CATEGORIES`` would
-    not make sensible columns and is an error, not a cut."""
-    found = df.where(F.col(column).isNotNull()).select(column).distinct().limit(MAX_CATEGORIES + 1)
-    values = sorted(r[0] for r in found.collect())
-    if len(values) > MAX_CATEGORIES:
-        raise ValueError(f"{column} has more than {MAX_CATEGORIES} categories")
-    return values
+    """The values of a column, in order.  Each becomes a column of the result,
+    so the driver has to know them all, however many there are."""
+    found = df.where(F.col(column).isNotNull()).select(column).distinct()
+    return sorted(r[0] for r in found.collect())
 
 
 def one_hot(

@@ -1,16 +1,14 @@
 """One model per meter, fitted where the data is.
 
-The default learner is a ridge regression.  It needs only sums of products per
-meter, which are put together from partial sums, so a meter of any size is
-spread over all tasks that read it.  A learner that must see all rows of a
-meter at once can be plugged in for meters up to a stated size; larger meters
-then take the ridge path, and the output says which model a row came from.
+The model is a ridge regression.  It needs only sums of products per meter,
+which are put together from partial sums, so a meter of any size is spread over
+many tasks.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -19,13 +17,13 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.rounding import finite
 from .series import SeriesOrder
 
 # The functions below travel to the tasks with their code, so that executors
 # need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MAX_GROUP_ROWS = 200_000  # rows of one meter that go to a plugged-in learner
 SALTS = 64
 
 
@@ -60,8 +58,8 @@ def predict_linear(
 
 # -- many features, sums of products ------------------------------------------
 #
-# A meter's rows [1, x, y] enter the fit only through the matrix of their sums
-# of products, of which the upper triangle is kept.
+# A meter's rows [x, y], centred on the meter's means, enter the fit only through
+# the matrix of their sums of products, of which the upper triangle is kept.
 
 
 def _runs(keys: np.ndarray) -> np.ndarray:
@@ -69,30 +67,29 @@ def _runs(keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
 
 
-def _products(key: str, columns: Sequence[str], open_keys: int = 500):
-    """Sums of products per key over a task's rows.  Rows of one meter mostly
-    lie together, as the feature table is written; no sort is needed, and at
-    most ``open_keys`` matrices (plus those of one batch) are held."""
-    size = len(columns) + 1
-    upper = np.triu_indices(size)
+def _products(key: str):
+    """Sums of products per key over rows sorted by key: one open matrix."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict = {}
+        held_key, held = None, None
         for batch in batches:
             if batch.empty:
                 continue
-            order = np.argsort(batch[key].to_numpy(), kind="stable")
-            keys = batch[key].to_numpy()[order]
-            values = batch[list(columns)].to_numpy(dtype=float)[order]
-            values = np.column_stack([np.ones(len(values)), values])
+            keys, values = batch[key].to_numpy(), np.stack(batch["centred"].to_list())
+            upper = np.triu_indices(values.shape[1])
             starts = _runs(keys)
+            out_keys, out = [], []
             for start, block in zip(starts, np.split(values, starts[1:])):
-                held[keys[start]] = held.get(keys[start], 0.0) + (block.T @ block)[upper]
-            if len(held) > open_keys:
-                yield pd.DataFrame({key: list(held), "products": list(held.values())})
-                held = {}
-        if held:
-            yield pd.DataFrame({key: list(held), "products": list(held.values())})
+                if held is not None and keys[start] != held_key:
+                    out_keys.append(held_key)
+                    out.append(held)
+                    held = None
+                mine = (block.T @ block)[upper]
+                held_key, held = keys[start], mine if held is None else held + mine
+            if out:
+                yield pd.DataFrame({key: out_keys, "products": out})
+        if held is not None:
+            yield pd.DataFrame({key: [held_key], "products": [held]})
 
     return run
 
@@ -123,25 +120,21 @@ def _added_up(key: str):
     return run
 
 
-def _solve(products: np.ndarray, size: int, penalty: float) -> tuple[int, float, np.ndarray, np.ndarray]:
-    """Ridge weights on standardised features from sums of products."""
+def _solve(products: np.ndarray, n: int, size: int, means: np.ndarray, penalty: float) -> np.ndarray:
+    """Ridge weights on standardised features from sums of centred products."""
     full = np.zeros((size, size))
     full[np.triu_indices(size)] = products
-    n = full[0, 0]
-    mean = full[0, 1:] / n
-    inner = full[1:, 1:]
-    inner = inner + np.triu(inner, 1).T
-    spread = inner / n - np.outer(mean, mean)
+    spread = (full + np.triu(full, 1).T) / n
     scale = np.sqrt(np.clip(np.diag(spread)[:-1], 0.0, None))
-    # A feature that does not vary at this meter takes no part.
-    used = np.flatnonzero(scale > 1e-7 * (1.0 + np.abs(mean[:-1])))
+    # A feature that does not vary at this meter, beyond rounding, takes no part.
+    used = np.flatnonzero(scale > 1e-13 * (1.0 + np.abs(means)))
     weights = np.zeros(len(scale))
     if len(used):
         s = scale[used]
         corr = spread[np.ix_(used, used)] / np.outer(s, s)
         load = spread[used, -1] / s
         weights[used] = np.linalg.lstsq(corr + penalty / n * np.eye(len(s)), load, rcond=1e-10)[0] / s
-    return int(n), float(mean[-1] - weights @ mean[:-1]), weights, mean[:-1]
+    return weights
 
 
 def fit_ridge(
@@ -151,48 +144,44 @@ def fit_ridge(
     key: str = "object_id",
     penalty: float = 1.0,
 ) -> DataFrame:
-    """(key, rows, intercept, weights, means), one row per meter.
+    """(key, rows, intercept, level, weights, means), one row per meter with a
+    target; the level is the target's mean.
 
-    Rows with a null feature or target do not take part.  Each task adds up
-    its own rows; the sums are then added per (meter, salt) and per meter.  A
-    meter that every task has seen is thus a few small vectors by the time
-    they meet, never its rows.
+    All rows with a target take part.  A missing feature stands at the meter's
+    mean; one that a meter never has gets no weight there.  Rows are centred on
+    the meter's means first, so large values do not cancel.  They are shuffled
+    once, narrow, by (meter, salt); the matrices of a meter's salts then meet.
     """
     columns = [*features, target]
-    size = len(columns) + 1
-    sums = f"{key} {dict(train.dtypes)[key]}, products array<double>"
-    complete = train.select(key, *[F.col(c).cast("double").alias(c) for c in columns]).na.drop()
-    by_task = complete.mapInPandas(_products(key, columns), sums)
+    kind = dict(train.dtypes)[key]
+    rows = train.select(key, *[finite(F.col(c).cast("double")).alias(f"__{i}") for i, c in enumerate(columns)])
+    rows = rows.where(F.col(f"__{len(features)}").isNotNull())
+    centres = rows.groupBy(key).agg(
+        F.count(F.lit(1)).alias("rows"), F.array(*[F.avg(f"__{i}") for i in range(len(columns))]).alias("centres")
+    )
+    centred = F.array(*[F.coalesce(F.col(f"__{i}") - F.col("centres")[i], F.lit(0.0)) for i in range(len(columns))])
+    salted = rows.join(centres.drop("rows"), key).select(key, centred.alias("centred"), F.pmod(F.xxhash64(centred), F.lit(SALTS)).alias("__salt"))
+    sums = f"{key} {kind}, products array<double>"
+    by_salt = salted.repartition(key, "__salt").drop("__salt").sortWithinPartitions(key).mapInPandas(_products(key), sums)
+    by_key = by_salt.repartition(key).sortWithinPartitions(key).mapInPandas(_added_up(key), sums)
 
     def solved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            made = [_solve(p, size, penalty) for p in batch["products"]]
+            means = [np.array(c, float)[:-1] for c in batch["centres"]]
+            made = [_solve(p, n, len(columns), np.nan_to_num(m), penalty) for p, n, m in zip(batch["products"], batch["rows"], means)]
             yield pd.DataFrame(
                 {
                     key: batch[key],
-                    "rows": [m[0] for m in made],
-                    "intercept": [m[1] for m in made],
-                    "weights": [m[2] for m in made],
-                    "means": [m[3] for m in made],
+                    "rows": batch["rows"],
+                    "intercept": [float(c[-1] - w @ np.nan_to_num(m)) for c, w, m in zip(batch["centres"], made, means)],
+                    "level": [float(c[-1]) for c in batch["centres"]],
+                    "weights": made,
+                    "means": [[None if np.isnan(x) else x for x in m] for m in means],
                 }
             )
 
-    salted = by_task.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
-    by_salt = (
-        salted.repartition(key, "__salt")
-        .drop("__salt")
-        .sortWithinPartitions(key)
-        .mapInPandas(_added_up(key), sums)
-    )
-    return (
-        by_salt.repartition(key)
-        .sortWithinPartitions(key)
-        .mapInPandas(_added_up(key), sums)
-        .mapInPandas(
-            solved,
-            f"{key} {dict(train.dtypes)[key]}, rows bigint, intercept double, "
-            "weights array<double>, means array<double>",
-        )
+    return by_key.join(centres, key).mapInPandas(
+        solved, f"{key} {kind}, rows bigint, intercept double, level double, weights array<double>, means array<double>"
     )
 
 
@@ -203,103 +192,30 @@ def predict_ridge(
     target: str,
     order: SeriesOrder = SeriesOrder(),
 ) -> DataFrame:
-    """Predictions as plain column arithmetic; a missing feature takes its
-    training mean."""
+    """Predictions as plain column arithmetic for every row of a fitted meter; a
+    missing feature takes the meter's training mean."""
     terms: list[Column] = [
-        F.coalesce(F.col(c).cast("double"), F.col("means")[i]) * F.col("weights")[i]
+        F.coalesce((finite(F.col(c).cast("double")) - F.col("means")[i]) * F.col("weights")[i], F.lit(0.0))
         for i, c in enumerate(features)
     ]
-    score = reduce(lambda a, b: a + b, terms, F.col("intercept"))
+    score = reduce(lambda a, b: a + b, terms, F.col("level"))
     return df.join(models.drop("rows"), order.key, "inner").select(
         order.key, order.time, F.col(target).alias("y_true"), score.alias("y_pred")
     )
 
 
-# -- a learner that needs all rows of a meter ---------------------------------
-
-Learner = Callable[[pd.DataFrame, pd.Series], Callable[[pd.DataFrame], np.ndarray]]
-
-
-def boosted_learner(**params) -> Learner:
-    """Gradient-boosted trees of an installed ``lightgbm``."""
-    try:
-        import lightgbm
-    except ImportError as missing:
-        raise RuntimeError("this learner needs lightgbm; use the ridge or fit_boosted_trees") from missing
-
-    def learn(x: pd.DataFrame, y: pd.Series):
-        return lightgbm.LGBMRegressor(**params).fit(x, y).predict
-
-    return learn
-
-
-# Parameters of the boosted trees.
-BOOSTED_PARAMETERS = {
-    "objective": "regression",
-    "boosting_type": "gbdt",
-    "metric": "mae",
-    "learning_rate": 0.05,
-    "num_leaves": 32,
-    "max_depth": 12,
-    "min_data_in_leaf": 50,
-    "n_estimators": 400,
-    "lambda_l1": 0.5,
-    "lambda_l2": 0.5,
-    "random_state": 42,
-}
-
-
 def forecast_per_customer(
     train: DataFrame,
     evaluation: DataFrame,
     features: Sequence[str],
     target: str,
     order: SeriesOrder = SeriesOrder(),
-    learner: Learner | None = None,
     penalty: float = 1.0,
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """(key, time, y_true, y_pred, model) for evaluation rows of meters that
-    have training rows."""
-    key = order.key
-    if learner is None:
-        models = fit_ridge(train, features, target, key, penalty)
-        return predict_ridge(models, evaluation, features, target, order).withColumn("model", F.lit("ridge"))
-
-    sizes = (
-        train.select(key).unionAll(evaluation.select(key)).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    )
-    small = sizes.where(F.col("__n") <= max_group_rows).select(key)
-    large = sizes.where(F.col("__n") > max_group_rows).select(key)
-    columns = [key, order.time, target, *features]
-
-    def fit_predict(rows: pd.DataFrame) -> pd.DataFrame:
-        past, future = rows[rows["__past"]], rows[~rows["__past"]]
-        if past.empty or future.empty:
-            return pd.DataFrame({key: [], order.time: [], "y_true": [], "y_pred": []})
-        predict = learner(past[list(features)], past[target])
-        return pd.DataFrame(
-            {
-                key: future[key],
-                order.time: future[order.time],
-                "y_true": future[target],
-                "y_pred": np.asarray(predict(future[list(features)]), dtype=float),
-            }
-        )
-
-    types = dict(evaluation.dtypes)
-    schema = f"{key} {types[key]}, {order.time} {types[order.time]}, y_true double, y_pred double"
-    by_learner = (
-        train.select(*columns, F.lit(True).alias("__past"))
-        .unionByName(evaluation.select(*columns, F.lit(False).alias("__past")))
-        .join(small, key, "left_semi")
-        .groupBy(key)
-        .applyInPandas(fit_predict, schema)
-        .withColumn("model", F.lit("learner"))
-    )
-    models = fit_ridge(train.join(large, key, "left_semi"), features, target, key, penalty)
-    by_ridge = predict_ridge(models, evaluation, features, target, order).withColumn("model", F.lit("ridge"))
-    return by_learner.unionByName(by_ridge)
+    """(key, time, y_true, y_pred, model) for all evaluation rows of meters that
+    have training rows with a target."""
+    models = fit_ridge(train, features, target, order.key, penalty)
+    return predict_ridge(models, evaluation, features, target, order).withColumn("model", F.lit("ridge"))
 
 
 # -- boosted trees over all meters --------------------------------------------

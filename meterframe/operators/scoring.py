@@ -5,17 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rounding import from_units, to_units
+from ..functions.rounding import from_units
 
 
 def _error(pred: str, actual: str, digits: int | None) -> Column:
+    """Absolute error; with ``digits`` in units of that decimal.  An error
+    within rounding of a whole number of units is that number, so sums over
+    values with so many decimals are exact; others stay as they are."""
+    error = F.abs(F.col(actual) - F.col(pred))
     if digits is None:
-        return F.abs(F.col(actual) - F.col(pred))
-    return F.abs(to_units(F.col(actual), digits) - to_units(F.col(pred), digits))
+        return error
+    scaled = error * F.lit(10.0**digits)
+    return F.when(F.abs(scaled - F.rint(scaled)) < 1e-6, F.rint(scaled)).otherwise(scaled)
 
 
 def mae(pred: str, actual: str, digits: int | None = None) -> Column:
-    """Mean absolute error.  With ``digits`` the sum is exact."""
+    """Mean absolute error.  ``digits`` says how many decimals values usually
+    have; predictions are not rounded to them."""
     error = _error(pred, actual, digits)
     if digits is None:
         return F.avg(error)

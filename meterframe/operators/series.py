@@ -30,7 +30,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ..functions.rounding import to_units
+from ..functions.rounding import finite, to_units
 from ..functions.timeparts import epoch_seconds
 from ..session import durable
 
@@ -145,8 +145,8 @@ class SeriesParts:
 
         sums = []
         for c in self.carried:
-            value = to_units(F.col(c), self.digits) if self.digits is not None else F.col(c)
-            sums += [F.sum(value).alias(carry_sum(c)), F.count(c).alias(carry_count(c))]
+            value = to_units(F.col(c), self.digits).cast("decimal(19,0)") if self.digits is not None else finite(F.col(c))
+            sums += [F.sum(value).alias(carry_sum(c)), F.count(value).alias(carry_count(c))]
 
         # Hot meters (at most total / limit of them) and the width of their bins.
         coarse = durable(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 from pathlib import Path
@@ -9,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import fresh_path
+from ..session import fresh_path, put_in_place, remove
 
 Bounds = Mapping[str, tuple[datetime, datetime]]
 
@@ -22,37 +23,29 @@ def _time(value: object) -> datetime:
 
 
 def check_bounds(raw: Mapping[str, Mapping[str, object]]) -> dict[str, tuple[datetime, datetime]]:
-    """Read and check split bounds: train and test are there, each starts
-    before it ends, and those present do not overlap in order."""
-    missing = {"train", "test"} - raw.keys()
-    if missing:
-        raise ValueError(f"missing required splits: {sorted(missing)}")
-    bounds = {}
-    for name, given in raw.items():
-        if "start" not in given or "end" not in given:
-            raise ValueError(f"split '{name}' must have start and end")
-        start, end = _time(given["start"]), _time(given["end"])
-        if start >= end:
-            raise ValueError(f"split '{name}' must start before it ends")
-        bounds[name] = (start, end)
-    present = [n for n in ORDERED if n in bounds]
-    for before, after in zip(present, present[1:]):
-        if bounds[after][0] < bounds[before][1]:
-            raise ValueError(f"splits '{before}' and '{after}' overlap")
-    return bounds
+    """Split bounds as times.  All that is wrong with them is reported at once:
+    train and test must be there, each split needs both ends and some length,
+    and none may begin before the one ahead of it is over."""
+    whole = {n: (_time(g["start"]), _time(g["end"])) for n, g in raw.items() if {"start", "end"} <= g.keys()}
+    in_order = [n for n in ORDERED if n in whole]
+    faults = [f"no {n} split" for n in ("train", "test") if n not in raw]
+    faults += [f"{n} has no start or no end" for n in raw if n not in whole]
+    faults += [f"{n} is empty" for n, (start, end) in whole.items() if not start < end]
+    faults += [f"{b} overlaps {a}" for a, b in zip(in_order, in_order[1:]) if whole[a][1] > whole[b][0]]
+    if faults:
+        raise ValueError("split bounds: " + "; ".join(faults))
+    return whole
 
 
 def load_splits(path: str | Path) -> tuple[dict[str, tuple[datetime, datetime]], str]:
-    """Bounds and name of a YAML file with a top-level ``splits`` key."""
+    """Bounds under ``splits`` in a YAML file, and the file's name."""
     import yaml
 
-    path = Path(path)
-    if not path.exists():
-        raise FileNotFoundError(f"splits not found: {path}")
-    given = yaml.safe_load(path.read_text(encoding="utf-8")) or {}
-    if "splits" not in given:
-        raise ValueError("the file must have a top-level 'splits' key")
-    return check_bounds(given["splits"]), path.stem
+    with open(path, encoding="utf-8") as text:  # no such file: FileNotFoundError
+        content = yaml.safe_load(text)
+    if not isinstance(content, dict) or "splits" not in content:
+        raise ValueError(f"{path} says nothing under 'splits'")
+    return check_bounds(content["splits"]), Path(path).stem
 
 
 def in_range(time: Column, start, end) -> Column:
@@ -122,16 +115,20 @@ def split_bounds_violations(bounds: DataFrame, by: str) -> DataFrame:
 
 def write_splits(df: DataFrame, path: str, expected: Sequence[str] | None = None) -> str:
     """One dataset partitioned by ``split``; a reader of one split lists and
-    reads that directory only.  An empty split is an error."""
+    reads that directory only.  An empty split is an error, and what was there
+    before stays: rows are written beside it and take its place only then."""
     from pyspark.sql import Observation
 
     names = list(expected or ORDERED)
     seen = Observation()
+    beside = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
     counted = df.observe(seen, *[F.count_if(F.col("split") == n).alias(n) for n in names])
-    counted.write.mode("overwrite").partitionBy("split").parquet(path)
+    counted.write.partitionBy("split").parquet(beside)
     empty = [n for n in names if not seen.get[n]]
     if empty:
+        remove(df.sparkSession, beside)
         raise ValueError(f"nothing to write for {empty}")
+    put_in_place(df.sparkSession, beside, path)
     return path
 
 

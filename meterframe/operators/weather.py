@@ -17,14 +17,6 @@ def join_region(df: DataFrame, metadata: DataFrame) -> DataFrame:
     return df.withColumn("object_id", F.col("object_id").cast("string")).join(regions, "object_id", "left")
 
 
-BROADCAST_ROWS = 500_000  # weather rows of about 60 bytes, so some 30 MB
-
-
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a frame has at most that many rows; stops counting beyond."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def join_hours(df: DataFrame, weather: DataFrame) -> DataFrame:
     """Left join of weather on (time, region).  Columns that occur on both
     sides get ``_x`` and ``_y``."""

@@ -25,6 +25,7 @@ class FeaturePlan:
     data_type: str | None = "historical"
     digits: int | None = None
     part_rows: int | None = None
+    downcast: str | None = None  # "float", or "half" for half precision where it fits
     order: SeriesOrder = field(default_factory=SeriesOrder)
 
     @property
@@ -69,27 +70,20 @@ def build_features(
 ) -> DataFrame:
     """Readings to the model's feature table.
 
-    With one data type the weather join keeps one row per reading, so it may
-    come before or after the history features.  Weather of a checked small
-    size is broadcast, and comes after: its columns are then never shuffled.
-    Larger weather is joined before, while rows are narrow, as that join
-    shuffles them.  Joining all data types repeats readings and comes last.
+    History is taken from readings alone: dimension or weather rows that occur
+    twice repeat finished rows and never a reading's past.  Region and weather
+    follow; Spark sizes both joins when it runs.
     """
     target = select_target(readings, plan.order.ties)
-    # The joins add no rows, so meters are measured without them.
-    parts = measure(target, plan)
-    table = weather.join_region(target, metadata)
+    table = calendar.add_calendar_features(history_features(target, plan))
     hours = weather_rows.drop("ingested_at")
     if plan.data_type is not None:
         hours = hours.where(F.col("data_type") == plan.data_type).drop("data_type")
-    small = weather.is_small(hours)
-    late = small or plan.data_type is None
-    if not late:
-        table = weather.join_hours(table, hours)
-    table = calendar.add_calendar_features(history_features(table, plan, parts))
-    if late:
-        table = weather.join_hours(table, F.broadcast(hours) if small else hours)
-    return encode.one_hot(encode.normalize_bool_columns(table), plan.categories)
+    table = weather.join_hours(weather.join_region(table, metadata), hours)
+    table = encode.one_hot(encode.normalize_bool_columns(table), plan.categories)
+    if plan.downcast:
+        table = encode.downcast_floats(table, half=plan.downcast == "half")
+    return table
 
 
 def make_splits(

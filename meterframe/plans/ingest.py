@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import cleaning, quality
+from ..schemas import TABLES
 from ..session import durable
 
 
@@ -41,6 +42,9 @@ def quality_report(
     }
     lines = []
     for table, frame in frames.items():
+        wrong = quality.schema_mismatches(frame, TABLES[table])
+        if wrong:  # there is nothing to count in a column that is not there
+            raise ValueError(f"{table}: {'; '.join(wrong)}")
         lines.append(_line(quality.schema_violations(frame, table), table, F.col("rule"), "violations"))
         lines.append(_line(quality.pk_violations(frame, table), table, "duplicate keys", "duplicate_keys"))
     fk = quality.fk_violations(frames)
@@ -51,7 +55,9 @@ def quality_report(
             F.col("orphan_rows").cast("bigint").alias("value"),
         )
     )
-    for table, frame, key in (("smart_meter", readings, "object_id"), ("weather", weather, "region_id")):
+    # Weather of each kind is a series of its own.
+    series = weather.withColumn("series", F.concat_ws(" ", F.col("region_id").cast("string"), "data_type"))
+    for table, frame, key in (("smart_meter", readings, "object_id"), ("weather", series, "series")):
         steps = quality.time_continuity(frame, key, ties=ties if table == "smart_meter" else ())
         lines.append(_line(steps.agg(F.coalesce(F.sum("gap"), F.lit(0)).alias("gap")), table, "gaps", "gap"))
     return reduce(DataFrame.unionByName, lines)

@@ -1,4 +1,4 @@
-"""Run results kept as appended Parquet tables."""
+"""Run results kept as Parquet tables with a folder per run."""
 
 from __future__ import annotations
 
@@ -22,31 +22,27 @@ def metrics_as_rows(metrics: DataFrame) -> DataFrame:
     return texts.unpivot([], texts.columns, "key", "value")
 
 
-def append_run(frame: DataFrame, root: str, table: str, marks: Mapping[str, str]) -> str:
-    """Append a run's rows to a ledger table, in a folder of their own, and
-    return that folder."""
+def write_run(frame: DataFrame, root: str, table: str, marks: Mapping[str, str]) -> str:
+    """Write a run's rows to a ledger table, in a folder of their own, and
+    return that folder.  A run that is written again replaces itself."""
     folder = "/".join([root.rstrip("/"), table, *[f"{k}={marks[k]}" for k in RUN_KEYS]])
-    frame.write.mode("append").parquet(folder)
+    frame.write.mode("overwrite").parquet(folder)
     return folder
 
 
-def save_run(
-    root: str,
-    category: str,
-    model: str,
-    run_id: str,
-    metrics: DataFrame,
-    per_customer: DataFrame,
-    forecasts: DataFrame,
-) -> dict[str, str]:
-    """Append one run to the three ledger tables and return its folders."""
-    marks = dict(zip(RUN_KEYS, (category, model, run_id)))
-    frames = {
-        "metrics": metrics_as_rows(metrics),
-        "per_customer": per_customer,
-        "forecasts": forecasts,
-    }
-    return {name: append_run(frame, root, name, marks) for name, frame in frames.items()}
+def settings_as_rows(spark: SparkSession, settings: Mapping[str, object]) -> DataFrame:
+    """A run's settings, a few dozen, as (param, value) texts.  The entries of
+    an inner mapping are named ``outer.inner``; lists are joined by commas; a
+    missing value is null."""
+
+    def text(value: object) -> str | None:
+        if isinstance(value, (list, tuple)):
+            return ",".join(map(str, value))
+        return None if value is None else str(value)
+
+    named = [((k, i), v) for k, inner in settings.items() if isinstance(inner, Mapping) for i, v in inner.items()]
+    named += [((k,), v) for k, v in settings.items() if not isinstance(v, Mapping)]
+    return spark.createDataFrame([(".".join(map(str, name)), text(v)) for name, v in named], "param string, value string")
 
 
 def read_runs(spark: SparkSession, path: str, **marks: str) -> DataFrame:
@@ -57,20 +53,9 @@ def read_runs(spark: SparkSession, path: str, **marks: str) -> DataFrame:
     return runs
 
 
-def conf_to_params(conf: Mapping[str, object]) -> dict[str, object]:
-    """Flatten a run's settings by one level: ``k.kk``, lists joined by ','."""
-    flat: dict[str, object] = {}
-    for key, value in conf.items():
-        if isinstance(value, Mapping):
-            flat.update({f"{key}.{inner}": v for inner, v in value.items()})
-        else:
-            flat[key] = ",".join(str(v) for v in value) if isinstance(value, list) else value
-    return flat
-
-
 def flatten_params(df: DataFrame, key: str) -> DataFrame:
-    """The same for settings stored as columns, as (key, param, value) rows:
-    a map column gives ``column.entry``, an array is joined by ','."""
+    """Settings stored as columns, one row a run, as (key, param, value) rows: a
+    map column gives ``column.entry``, an array is joined by ','."""
 
     def entries(field: T.StructField) -> Column:
         c = F.col(field.name)

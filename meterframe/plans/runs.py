@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.forecast import seasonal_naive_forecast
-from ..operators.models import Learner, forecast_per_customer
+from ..operators.models import forecast_per_customer
 from ..operators.scoring import average_errors, errors_per_id
 from ..operators.series import SeriesOrder
-from .ledger import RUN_KEYS, append_run, make_run_id, metrics_as_rows
+from .ledger import RUN_KEYS, make_run_id, metrics_as_rows, settings_as_rows, write_run
 
 
 @dataclass(frozen=True)
@@ -33,16 +33,18 @@ def _score_and_save(
     run_id: str | None,
     digits: int | None,
     key: str,
+    settings: Mapping[str, object],
 ) -> Run:
     """Forecasts are written first and scored from what was written, so the
     forecast is worked out once."""
     marks = dict(zip(RUN_KEYS, (category, model, run_id or make_run_id())))
-    stored = spark.read.parquet(append_run(forecast, root, "forecasts", marks))
+    stored = spark.read.parquet(write_run(forecast, root, "forecasts", marks))
     per_customer = spark.read.parquet(
-        append_run(errors_per_id(stored, key=key, digits=digits), root, "per_customer", marks)
+        write_run(errors_per_id(stored, key=key, digits=digits), root, "per_customer", marks)
     )
     overall = average_errors(per_customer)
-    append_run(metrics_as_rows(overall), root, "metrics", marks)
+    write_run(metrics_as_rows(overall), root, "metrics", marks)
+    write_run(settings_as_rows(spark, settings), root, "params", marks)
     return Run(marks["run_id"], overall, per_customer, stored)
 
 
@@ -59,7 +61,8 @@ def naive_run(
 ) -> Run:
     forecast = seasonal_naive_forecast(history, evaluation, target=target, order=order, season=season)
     return _score_and_save(
-        history.sparkSession, forecast, root, "baseline", "seasonal_naive_per_customer", run_id, digits, order.key
+        history.sparkSession, forecast, root, "baseline", "seasonal_naive_per_customer", run_id, digits, order.key,
+        {"season": season, "target": target, "digits": digits},
     )
 
 
@@ -71,11 +74,12 @@ def model_run(
     *,
     target: str = "energy_kwh",
     order: SeriesOrder = SeriesOrder(),
-    learner: Learner | None = None,
+    penalty: float = 1.0,
     run_id: str | None = None,
 ) -> Run:
-    forecast = forecast_per_customer(train, evaluation, features, target, order, learner)
+    forecast = forecast_per_customer(train, evaluation, features, target, order, penalty)
     return _score_and_save(
-        train.sparkSession, forecast, root, "model", "per_customer", run_id, None, order.key
+        train.sparkSession, forecast, root, "model", "per_customer", run_id, None, order.key,
+        {"features": list(features), "target": target, "ridge": {"penalty": penalty}},
     )
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -52,19 +55,51 @@ def get_session(
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A folder of our own is made only where the session names none, which is
-    the case in local tests.
+    Only a local session, whose tasks share the driver's disk, may leave it
+    unnamed: it gets a folder of its own, removed when Python ends.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(named)
         return named
+    master = spark.sparkContext.master
+    if not re.match(r"local($|\[)", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
     own = tempfile.mkdtemp(prefix="meterframe-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(own)
     return spark.sparkContext.getCheckpointDir() or own
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder in any file system that Spark reads."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def put_in_place(spark: SparkSession, new: str, path: str) -> None:
+    """Let a written folder take the place of another, if there is one.  The
+    other is moved aside first, and goes when the new one stands."""
+    files, place = _file_system(spark, path)
+    _, ready = _file_system(spark, new)
+    _, aside = _file_system(spark, f"{new}-old")
+    before = files.exists(place)
+    if before and not files.rename(place, aside):
+        raise OSError(f"{path} could not be moved aside")
+    if not files.rename(ready, place):
+        if before:
+            files.rename(aside, place)
+        raise OSError(f"{new} could not be moved to {path}")
+    if before:
+        files.delete(aside, True)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

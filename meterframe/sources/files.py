@@ -24,20 +24,38 @@ def _typed(name: str, kind: T.DataType) -> Column:
     return text.cast(kind).alias(name)
 
 
+def files_by_header(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """Header line -> files.  One job finds the line that stands first in each
+    file; what reaches the driver is a line per file, as a listing would."""
+    lines = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value"
+    )
+
+    def first_line(batches):
+        seen = set()
+        for batch in batches:
+            new = ~(batch["file"].isin(seen) | batch["file"].duplicated())
+            seen.update(batch.loc[new, "file"])
+            yield batch.loc[new, ["file", "value"]]
+
+    heads = lines.where("block = 0").select("file", "value").mapInPandas(first_line, "file string, value string")
+    found: dict[str, list[str]] = {}
+    for row in heads.collect():
+        found.setdefault(row["value"].removeprefix("\ufeff"), []).append(row["file"])
+    return {head: sorted(files) for head, files in sorted(found.items())}
+
+
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
-    """Files below each other, columns matched by the header's names; a column
-    that a file lacks is null.  Files that share a header are one scan."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        header = tuple(spark.read.option("header", True).csv(path).columns)
-        by_header.setdefault(header, []).append(path)
+    """Files, folders or globs below each other, columns matched by each file's
+    own header; a column that a file lacks is null.  Files that share a header
+    are one scan."""
     frames = []
-    for header, same in by_header.items():
-        text = spark.read.option("header", True).schema(
-            T.StructType([T.StructField(c, T.StringType()) for c in header])
-        ).csv(same)
-        frames.append(text.select(*[_typed(f.name, f.dataType) for f in schema.fields if f.name in header]))
+    for files in files_by_header(spark, [paths] if isinstance(paths, str) else paths).values():
+        # Names and places come from the header that all these files have.
+        text = spark.read.option("header", True).option("enforceSchema", False).csv(files)
+        frames.append(text.select(*[_typed(f.name, f.dataType) for f in schema.fields if f.name in text.columns]))
+    if not frames:
+        return spark.createDataFrame([], schema)
     whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     found = set(whole.columns)
     return nan_to_null(

@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.cleaning import nan_to_null
+
 # Layer folders below the data root.
 LAYERS = {"original": "original", "raw": "raw", "processed": "processed"}
 
@@ -22,7 +24,7 @@ def load_parquet(
 ) -> DataFrame:
     path = layer_path(root, layer, name, category)
     try:
-        return spark.read.parquet(path)
+        return nan_to_null(spark.read.parquet(path))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"'{path}' does not exist") from error

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.cleaning import nan_to_null
 from ..schemas import METADATA, READINGS, REGIONS, TABLES, WEATHER
 
 # Table names.
@@ -72,7 +73,7 @@ def validate_at_date(at_date: str) -> datetime:
     try:
         return datetime.strptime(at_date, TIME_FORMAT)
     except ValueError as error:
-        raise ValueError("at_date must follow YYYY-MM-DD HH:MM:SS, e.g. 2017-04-01 00:00:00") from error
+        raise ValueError(f"{at_date!r} is no time of the form {TIME_FORMAT}") from error
 
 
 def ingested_after(at_date: str) -> Column:
@@ -84,7 +85,7 @@ def _load(df: DataFrame, columns: list[str], at_date: str | None) -> DataFrame:
     """Explicit projection; later than ``at_date`` only, if one is given.
     Both reach the Parquet scan."""
     rows = df if at_date is None else df.where(ingested_after(at_date))
-    return rows.select(*columns)
+    return nan_to_null(rows.select(*columns))
 
 
 def load_sm_metadata(df: DataFrame) -> DataFrame:

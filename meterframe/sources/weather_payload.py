@@ -54,7 +54,7 @@ def first_hours(df: DataFrame, hours: int, key: str = "region_id", time: str = "
             lookback=0,
             order=order,
         )
-    return first.withColumn("forecast_start", F.min(time).over(Window.partitionBy(key)))
+    return with_start(first, key, time)
 
 
 def weather_by_region(
@@ -71,11 +71,21 @@ def weather_by_region(
     check_request(mode, start_date, end_date)
     known = payloads.join(regions.select("region_id"), "region_id", "left_semi")
     rows = explode_payload(known, ["region_id"], variables).withColumn("data_type", F.lit(mode))
-    if mode == "forecast" and horizon_hours is not None:
-        rows = first_hours(rows, horizon_hours)
+    if mode == "forecast":
+        if horizon_hours is not None:
+            rows = first_hours(rows, horizon_hours)
+        else:
+            rows = with_start(rows)
+        rows = rows.withColumn("horizon_hours", F.lit(horizon_hours).cast("int"))
     return rows
 
 
+def with_start(df: DataFrame, key: str = "region_id", time: str = "timestamp") -> DataFrame:
+    """``forecast_start``: each region's first time, from one row per region."""
+    starts = df.groupBy(key).agg(F.min(time).alias("forecast_start"))
+    return df.join(starts, key, "left")
+
+
 def pull_weather(
     mode: str, payloads: DataFrame, regions: DataFrame, variables: Sequence[str] = WEATHER_VARIABLES
 ) -> DataFrame | None:
@@ -86,6 +96,13 @@ def pull_weather(
 
 
 def write_weather(df: DataFrame, path: str) -> str:
-    """A folder per data type and region."""
-    df.write.mode("overwrite").partitionBy("data_type", "region_id").parquet(path)
+    """A folder per data type and region, and for forecasts per start and
+    horizon: a later forecast stands beside an earlier one, and one that is
+    written again replaces itself."""
+    for name in ("forecast_start", "horizon_hours"):
+        if name not in df.columns:
+            df = df.withColumn(name, F.lit(None).cast("string"))
+    text = df.withColumn("forecast_start", F.date_format(F.col("forecast_start").cast("timestamp_ntz"), "yyyy-MM-dd'T'HH-mm"))
+    folders = ("data_type", "region_id", "forecast_start", "horizon_hours")
+    text.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(path)
     return path

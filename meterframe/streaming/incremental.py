@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.cleaning import nan_to_null
 from ..sources.tables import ingested_after
 
 
@@ -19,6 +20,7 @@ def readings_stream(
     """New files of a Parquet folder as a stream; the file list already read
     is kept in the query's checkpoint."""
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+    rows = nan_to_null(rows)
     return rows if at_date is None else rows.where(ingested_after(at_date))
 
 

@@ -69,9 +69,8 @@ def test_bools_and_one_hot(spark):
         encode.one_hot(df, ["absent"])
 
 
-def test_too_many_categories(spark):
-    with pytest.raises(ValueError, match="categories"):
-        encode.one_hot(spark.range(1500).withColumnRenamed("id", "kind"), ["kind"])
+def test_many_categories(spark):
+    assert len(encode.one_hot(spark.range(1001).withColumnRenamed("id", "kind"), ["kind"]).columns) == 1002
 
 
 def test_zscore(spark):
@@ -131,10 +130,10 @@ def test_bounds_without_dev(panel):
 @pytest.mark.parametrize(
     "change, message",
     [
-        ({"test": None}, "missing"),
+        ({"test": None}, "no test split"),
         ({"dev": {"start": "2020-01-01 03:00:00", "end": "2020-01-01 07:00:00"}}, "overlap"),
-        ({"dev": {"start": "2020-01-01 07:00:00", "end": "2020-01-01 07:00:00"}}, "before it ends"),
-        ({"dev": {"start": "2020-01-01 07:00:00"}}, "start and end"),
+        ({"dev": {"start": "2020-01-01 07:00:00", "end": "2020-01-01 07:00:00"}}, "dev is empty"),
+        ({"dev": {"start": "2020-01-01 07:00:00"}}, "no start or no end"),
     ],
 )
 def test_wrong_bounds(change, message):
@@ -153,7 +152,7 @@ def test_bounds_file(tmp_path):
     with pytest.raises(FileNotFoundError):
         splits.load_splits(tmp_path / "none.yaml")
     (tmp_path / "odd.yaml").write_text("other: 1\n")
-    with pytest.raises(ValueError, match="top-level"):
+    with pytest.raises(ValueError, match="nothing under"):
         splits.load_splits(tmp_path / "odd.yaml")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from meterframe.operators import forecast, models, scoring
 from meterframe.operators.series import SeriesOrder
 from meterframe.plans import runs
-from meterframe.plans.ledger import conf_to_params, make_run_id, read_runs
+from meterframe.plans.ledger import make_run_id, read_runs, settings_as_rows
 
 
 @pytest.fixture
@@ -148,31 +148,31 @@ def test_only_trained_meters_are_predicted(learnable):
     assert [r[0] for r in out.select("object_id").distinct().collect()] == ["m"]
 
 
-def mean_learner():
-    def learn(x, y):
-        mean = y.mean()
-        return lambda later: [mean] * len(later)
+def test_a_meter_that_never_has_a_feature_is_kept(learnable):
+    """Meter n has no x at all: its other features still give a model."""
+    gap = learnable.withColumn("x", F.when(F.col("object_id") != "n", F.col("x")))
+    out = models.forecast_per_customer(gap, gap, FEATURES, "energy_kwh")
+    assert out.count() == learnable.count() and out.where("y_pred is null").count() == 0
 
-    return learn
 
-
-def test_plugged_in_learner(learnable):
-    train = learnable.where("timestamp < timestamp_ntz'2020-01-10 00:00:00'")
-    later = learnable.where("timestamp >= timestamp_ntz'2020-01-10 00:00:00'")
-    out = models.forecast_per_customer(train, later, FEATURES, "energy_kwh", learner=mean_learner())
-    means = {r[0]: r[1] for r in train.groupBy("object_id").agg(F.avg("energy_kwh")).collect()}
-    assert out.count() == later.count()
-    for r in out.select("object_id", "y_pred", "model").distinct().collect():
-        assert r["y_pred"] == pytest.approx(means[r["object_id"]]) and r["model"] == "learner"
+def test_features_far_from_zero(spark):
+    rows = [("a", h, 1e9 + h, 2.0 * h) for h in range(7)]
+    df = spark.createDataFrame(rows, "object_id string, h int, x double, energy_kwh double").withColumn(
+        "timestamp", F.expr("timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(0, h)")
+    )
+    fitted = models.fit_ridge(df, ["x"], "energy_kwh", penalty=0.0).first()
+    assert fitted["weights"][0] == pytest.approx(2.0) and fitted["rows"] == 7
 
 
-def test_large_meters_take_the_ridge(learnable):
-    more = learnable.where("object_id = 'm'").withColumn("object_id", F.lit("big"))
-    df = learnable.unionByName(more).unionByName(more)
-    out = models.forecast_per_customer(df, df, FEATURES, "energy_kwh", learner=mean_learner(), max_group_rows=700)
-    found = {r[0]: r[1] for r in out.groupBy("object_id").agg(F.first("model")).collect()}
-    assert found == {"m": "learner", "n": "learner", "big": "ridge"}
-    assert out.count() == df.count()
+def test_rows_with_missing_features_are_learned_from(spark):
+    rows = [("a", h, float(h) if h < 5 else None, 3.0 * h if h < 5 else 100.0) for h in range(10)]
+    df = spark.createDataFrame(rows, "object_id string, h int, x double, energy_kwh double")
+    fitted = models.fit_ridge(df, ["x"], "energy_kwh", penalty=0.0).first()
+    # the missing x stand at the mean, 2: by least squares over all ten rows
+    x = [0, 1, 2, 3, 4] + [2] * 5
+    y = [0, 3, 6, 9, 12] + [100] * 5
+    slope = sum((a - 2) * (b - sum(y) / 10) for a, b in zip(x, y)) / sum((a - 2) ** 2 for a in x)
+    assert fitted["weights"][0] == pytest.approx(slope) and fitted["rows"] == 10
 
 
 def test_boosted_trees(learnable):
@@ -183,27 +183,25 @@ def test_boosted_trees(learnable):
     assert out.where("y_pred is null").count() == 0
 
 
-def test_lightgbm_is_optional():
-    try:
-        import lightgbm  # noqa: F401
-    except ImportError:
-        with pytest.raises(RuntimeError, match="lightgbm"):
-            models.boosted_learner(**models.BOOSTED_PARAMETERS)
-
-
-def test_run_ids_and_params():
+def test_run_ids_and_settings(spark):
     from datetime import datetime
 
     assert make_run_id(datetime(2024, 5, 6, 7, 8, 9)) == "run_20240506_070809"
-    flat = conf_to_params({"a": 1, "f": ["x", "y"], "p": {"rate": 0.1, "deep": {"k": 1}}, "none": None})
-    assert flat == {"a": 1, "f": "x,y", "p.rate": 0.1, "p.deep": {"k": 1}, "none": None}
+    rows = settings_as_rows(spark, {"a": 1, "f": ["x", "y"], "p": {"rate": 0.1}, "none": None}).collect()
+    assert {r["param"]: r["value"] for r in rows} == {"a": "1", "f": "x,y", "p.rate": "0.1", "none": None}
+
+
+def test_predictions_are_not_rounded(spark):
+    df = spark.createDataFrame([("a", 1.0, 1.004)], "object_id string, y_true double, y_pred double")
+    row = scoring.errors_per_id(df, digits=2).first()
+    assert row["MAE"] == pytest.approx(0.004) and row["RMSE"] == pytest.approx(0.004)
 
 
 def test_naive_run_is_kept(panel, spark, tmp_path):
     past = panel([("a", h, float(h)) for h in range(10)])
     future = panel([("a", h, float(h)) for h in range(10, 20)])
     root = str(tmp_path / "runs")
-    for run_id in ("run_1", "run_2"):
+    for run_id in ("run_1", "run_2", "run_2"):
         run = runs.naive_run(past, future, root, season=2, run_id=run_id)
         assert run.metrics.first()["MAE_average"] == 2.0
     kept = read_runs(spark, f"{root}/metrics", run_id="run_2")

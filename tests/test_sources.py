@@ -3,8 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from meterframe.operators import quality
-from meterframe.operators import weather as weather_joins
+from meterframe.operators import quality, splits
 from meterframe.plans import ingest as ingestion
 from meterframe.plans.features import FeaturePlan, build_features, make_splits
 from meterframe.schemas import METADATA, READINGS, REGIONS, WEATHER
@@ -48,7 +47,7 @@ def test_layers(spark, tmp_path):
 def test_at_date():
     assert tables.validate_at_date("2017-04-01 00:00:00") == datetime(2017, 4, 1)
     for wrong in ("2017-04-01", "01.04.2017 00:00:00", "2017-04-01T00:00:00"):
-        with pytest.raises(ValueError, match="YYYY"):
+        with pytest.raises(ValueError, match="no time of the form"):
             tables.validate_at_date(wrong)
 
 
@@ -211,7 +210,7 @@ def test_ingest_stops_on_a_gap(world):
     }
 
 
-def test_feature_table(world, spark, tmp_path, monkeypatch):
+def test_feature_table(world, spark, tmp_path):
     readings, metadata, regions, weather = world
     done = ingestion.ingest(readings, metadata, regions, weather)
     table = build_features(done.readings, done.metadata, done.weather, FeaturePlan(digits=2))
@@ -234,12 +233,10 @@ def test_feature_table(world, spark, tmp_path, monkeypatch):
         done.weather.withColumn("data_type", F.lit("forecast"))), FeaturePlan(digits=2, data_type=None))
     assert every.count() == 2 * table.count()
 
-    # Weather that is too large to broadcast is joined first; the rows are the same.
-    plan = table._jdf.queryExecution().executedPlan().toString()
-    assert plan.index("BroadcastHashJoin [timestamp") < plan.index("Window [")
-    monkeypatch.setattr(weather_joins, "is_small", lambda df: False)
-    early = build_features(done.readings, done.metadata, done.weather, FeaturePlan(digits=2))
-    assert early.select(table.columns).exceptAll(table).count() == 0 and early.count() == table.count()
+    # Rows that occur twice in a dimension repeat finished rows, never a past.
+    twice = build_features(done.readings, done.metadata.unionAll(done.metadata), done.weather, FeaturePlan(digits=2))
+    assert twice.columns == table.columns
+    assert twice.count() == 2 * table.count() and twice.distinct().exceptAll(table).count() == 0
 
     bounds = {
         "train": (datetime(2018, 10, 22), datetime(2018, 10, 28)),
@@ -248,3 +245,44 @@ def test_feature_table(world, spark, tmp_path, monkeypatch):
     path = make_splits(done.readings, done.metadata, done.weather, bounds, str(tmp_path / "s"), FeaturePlan(digits=2))
     found = {r[0]: r[1] for r in spark.read.parquet(path).groupBy("split").count().collect()}
     assert found == {"train": 288, "test": 96}
+
+
+def test_folder_of_files_with_other_column_orders(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "a.csv").write_text("region_id,center_latitude,center_longitude\n1,10.0,20.0\n")
+    (folder / "b.csv").write_text("center_longitude,region_id,center_latitude\n21.0,2,11.0\n")
+    (folder / "c.csv").write_text("region_id,center_longitude\n3,NaN\n")
+    rows = {r["region_id"]: (r["center_latitude"], r["center_longitude"]) for r in files.read_regions(spark, str(folder)).collect()}
+    by = {str(k): v for k, v in rows.items()}
+    assert by == {"1": (10.0, 20.0), "2": (11.0, 21.0), "3": (None, None)}
+
+
+def test_refused_splits_leave_the_dataset(spark, tmp_path):
+    path = str(tmp_path / "splits")
+    rows = spark.range(10).withColumn("split", F.when(F.col("id") < 5, "train").otherwise("test"))
+    splits.write_splits(rows, path, ["train", "test"])
+    with pytest.raises(ValueError):
+        splits.write_splits(rows.where("split = 'train'"), path, ["train", "test"])
+    assert spark.read.parquet(path).count() == 10
+    splits.write_splits(rows.where("id between 4 and 5"), path, ["train", "test"])
+    assert spark.read.parquet(path).count() == 2 and len(list(tmp_path.iterdir())) == 1
+
+
+def test_all_faults_of_bounds_are_told():
+    with pytest.raises(ValueError, match="no test split.*train is empty"):
+        splits.check_bounds({"train": {"start": "2020-01-02", "end": "2020-01-01"}})
+
+
+def test_not_a_number_is_missing_in_parquet(spark, tmp_path):
+    spark.createDataFrame([(float("nan"),), (float("inf"),), (1.0,)], "x double").write.parquet(str(tmp_path / "raw" / "t.parquet"))
+    got = layers.load_parquet(spark, str(tmp_path), "raw", "t").collect()
+    assert sorted((r["x"] is None, r["x"]) for r in got if r["x"] is not None) == [(False, 1.0)] and len(got) == 3
+
+
+def test_later_forecast_stands_beside_an_earlier(spark, tmp_path):
+    path = str(tmp_path / "weather")
+    for day in (1, 2, 2):
+        rows = spark.range(3).selectExpr("'forecast' AS data_type", "1 AS region_id", f"timestamp_ntz'2020-01-0{day} 00:00:00' AS forecast_start", "24 AS horizon_hours", "id")
+        weather_payload.write_weather(rows, path)
+    assert spark.read.parquet(path).count() == 6
