@@ -332,13 +332,33 @@ def _comparable(df):
     return plain(df.withColumns({c: rounded(F.col(c), 6) for c in cycles}), digits=None)
 
 
-def _table(spark, sf, plan):
-    built = features.build_features(
-        views.hourly(spark, sf), views.metadata(spark, sf), views.weather(spark, sf), plan
-    )
+def _table(spark, sf, plan, metadata_copies=1, weather_copies=1):
+    metadata, hours = views.metadata(spark, sf), views.weather(spark, sf)
+    if metadata_copies == 2:
+        metadata = metadata.unionAll(metadata)
+    if weather_copies == 2:
+        hours = hours.unionAll(hours)
+    built = features.build_features(views.hourly(spark, sf), metadata, hours, plan)
     return _comparable(splits.assign_split(built, BOUNDS))
 
 
+# A dimension row that occurs twice gives each finished row twice; the past of a
+# meter is what it was.
+@query("build_features_duplicate_metadata", f"SELECT t.* FROM ({TABLE}) t, range(2)")
+def build_features_duplicate_metadata(spark, sf):
+    return _table(spark, sf, PLAN, metadata_copies=2)
+
+
+# Hours without weather stay single rows.
+@query(
+    "build_features_duplicate_weather",
+    f"""SELECT t.* FROM ({TABLE}) t
+    UNION ALL SELECT t.* FROM ({TABLE}) t JOIN weather_hours w ON w.{T} = t.{T} AND w.region_id = t.region_id""",
+)
+def build_features_duplicate_weather(spark, sf):
+    return _table(spark, sf, PLAN, weather_copies=2)
+
+
 @query("build_features", TABLE)
 def build_features(spark, sf):
     return _table(spark, sf, PLAN)

@@ -184,6 +184,28 @@ def expanding_mean(spark, sf):
         history.add_customer_averages(views.energy_gaps(spark, sf), 24, (), order=ORDER, digits=2), digits=None)
 
 
+def _spoiled(spark, sf):
+    """Missing readings as NaN and infinity, as a source without the rule gives them."""
+    odd = F.when(F.col("event_id") % 2 == 0, float("nan")).otherwise(float("inf"))
+    return views.energy_gaps(spark, sf).withColumn("energy_kwh", F.coalesce("energy_kwh", odd))
+
+
+@query("trailing_means_missing", averages_sql("energy_gaps", KEY, IDS, (1, 2)))
+def trailing_means_missing(spark, sf):
+    made = history.add_customer_averages(_spoiled(spark, sf), 24, (1, 2), order=ORDER, digits=2)
+    return plain(cleaning.nan_to_null(made), digits=None)
+
+
+@query(
+    "trailing_means_plain_doubles",
+    f"""SELECT * REPLACE ({", ".join(f"round({c}, 9) AS {c}" for c in ("customer_mean_energy_kwh", "customer_1d_mean_energy_kwh", "customer_2d_mean_energy_kwh"))})
+    FROM ({averages_sql("energy_gaps", KEY, IDS, (1, 2))})""",
+)
+def trailing_means_plain_doubles(spark, sf):
+    made = history.add_customer_averages(_spoiled(spark, sf), 24, (1, 2), order=ORDER)
+    return plain(cleaning.nan_to_null(made), 9)  # fewer decimals would meet ties
+
+
 @query("trailing_day_means", averages_sql("series_hour", HOUR_KEY, 'object_id, "timestamp"', (1, 7, 30, 90)))
 def trailing_day_means(spark, sf):
     return plain(

@@ -477,6 +477,19 @@ def fk_violations(spark, sf):
     return quality.fk_violations(frames)
 
 
+@query(
+    "time_continuity_weather_types",
+    f"""SELECT region_id || ' ' || data_type AS series, count(*) FILTER (WHERE h IS NULL OR h BETWEEN 0 AND 1) AS ok,
+      count(*) FILTER (WHERE h > 1) AS gap, count(*) FILTER (WHERE h < 0) AS time_reversal
+    FROM (SELECT region_id, data_type, epoch({T} - lag({T}) OVER (PARTITION BY region_id, data_type ORDER BY {T})) / 3600 AS h FROM weather)
+    GROUP BY ALL""",
+)
+def time_continuity_weather_types(spark, sf):
+    """Each kind of weather is a series of its own."""
+    rows = views.weather(spark, sf).withColumn("series", F.concat_ws(" ", F.col("region_id").cast("string"), "data_type"))
+    return quality.time_continuity(rows, "series")
+
+
 # -- ingestion --------------------------------------------------------------------------
 
 
