@@ -429,22 +429,21 @@ def schema_violations(spark, sf):
     return reduce(DataFrame.unionByName, found)
 
 
+# Readings without a tariff stand in for metadata that lacks it.
 @query(
     "not_null_violations",
     " UNION ALL ".join(
-        f"SELECT 'smart_meter' AS table_name, '{c}' AS rule, count(*) FILTER (WHERE \"{c}\" IS NULL) AS violations FROM doubled"
-        for c in TABLES["smart_meter"].not_null
-    )
-    + " UNION ALL SELECT 'customer_metadata', 'tariff_code', count(*) FILTER (WHERE tariff_code IS NULL) FROM readings",
+        [f"SELECT '{t}' AS table_name, '{c}' AS rule, count(*) FILTER (WHERE \"{c}\" IS NULL) AS violations FROM {source}"
+         for t, source in SOURCES.items() for c in TABLES[t].not_null]
+        + [f"SELECT 'tariffs of readings', '{c}', count(*) FILTER (WHERE {c} IS NULL) FROM readings" for c in ("object_id", "tariff_code")]
+    ),
 )
 def not_null_violations(spark, sf):
-    doubled, rows = views.doubled(spark, sf), views.readings(spark, sf)
-    as_metadata = rows.select(
-        *[F.col(c) if c in rows.columns else F.lit("").alias(c) for c in TABLES["customer_metadata"].not_null]
-    )
-    return quality.not_null_violations(doubled, "smart_meter").unionByName(
-        quality.not_null_violations(as_metadata, "customer_metadata").where("rule = 'tariff_code'")
-    )
+    found = [quality.not_null_violations(df, t) for t, df in _frames(spark, sf).items()]
+    rows = views.readings(spark, sf)
+    rules = [quality._rule(c, F.col(c).isNull()) for c in ("object_id", "tariff_code")]
+    found.append(quality._report(rows, "tariffs of readings", rules))
+    return reduce(DataFrame.unionByName, found)
 
 
 @query(
@@ -461,10 +460,11 @@ def pk_violations(spark, sf):
     return reduce(DataFrame.unionByName, found)
 
 
-# Metadata of one market segment only, so that readings of others are orphans.
+# Meters outside one market segment have moved ids in the metadata, so their
+# readings are orphans.
 @query(
     "fk_violations",
-    """WITH known AS (SELECT * FROM metadata WHERE tariff_code = 'BUILDING'),
+    """WITH known AS (SELECT CASE WHEN tariff_code = 'BUILDING' THEN object_id ELSE 'moved ' || object_id END AS object_id FROM metadata),
       orphans AS (SELECT object_id, count(*) AS n FROM doubled
                   WHERE object_id NOT IN (SELECT object_id FROM known) GROUP BY 1)
     SELECT 'customer_metadata.region_id -> region' AS foreign_key, 0 AS missing_keys, 0 AS orphan_rows
@@ -473,7 +473,8 @@ def pk_violations(spark, sf):
 )
 def fk_violations(spark, sf):
     frames = _frames(spark, sf)
-    frames["customer_metadata"] = frames["customer_metadata"].where("tariff_code = 'BUILDING'")
+    moved = F.when(F.col("tariff_code") == "BUILDING", F.col("object_id")).otherwise(F.concat(F.lit("moved "), "object_id"))
+    frames["customer_metadata"] = frames["customer_metadata"].withColumn("object_id", moved)
     return quality.fk_violations(frames)
 
 
