@@ -311,6 +311,21 @@ def hot_series_averages(spark, sf):
         ), digits=None)
 
 
+# All readings of a month share one time; event numbers order them.
+MONTH_KEY = 'PARTITION BY object_id ORDER BY "timestamp", event_id'
+
+
+@query(
+    "hot_series_same_second",
+    f"""SELECT object_id, "timestamp", event_id, energy_kwh, lag(energy_kwh, 1) OVER ({MONTH_KEY}) AS lagged_1_energy_kwh,
+      lag(energy_kwh, 6) OVER ({MONTH_KEY}) AS lagged_6_energy_kwh
+    FROM (SELECT * REPLACE (date_trunc('month', "timestamp") AS "timestamp") FROM energy)""",
+)
+def hot_series_same_second(spark, sf):
+    df = views.energy(spark, sf).withColumn("timestamp", F.date_trunc("month", "timestamp").cast("timestamp_ntz"))
+    return history.add_lags(df, (1, 6), order=ORDER, part_rows=60)
+
+
 @query(
     "hot_series_positions",
     f"SELECT {IDS}, energy_kwh, (row_number() OVER ({KEY}) - 1) % 24 AS horizon_index_24 FROM energy",

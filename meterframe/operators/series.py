@@ -12,7 +12,8 @@ The cut is found from counts only, before any row is shuffled:
 
 1. rows per meter; hot is a meter above ``limit`` rows;
 2. hot meters: rows per time bin (bins that are still too full are cut once
-   more), then a running count over the bins;
+   more, and what is then still too full, such as many rows in one second, at
+   quantiles of (time, ties)), then a running count over the bins;
 3. bins are put together into parts; a bin is also a halo of the parts that
    look back into it.
 
@@ -87,13 +88,29 @@ def _binned(
     )
 
 
+def _cut_at(df: DataFrame, bounds: DataFrame | None, order: SeriesOrder) -> DataFrame:
+    """Place of a row among the bounds of its bin, as ``__cut``."""
+    if bounds is None:
+        return df.withColumn("__cut", F.lit(0))
+    keys = [order.key, "__bin", "__sub"]
+    mark = F.struct(*[F.col(c) for c in order.sort])
+    return (
+        df.join(F.broadcast(bounds), keys, "left")
+        .withColumn("__cut", F.coalesce(F.size(F.filter("__bounds", lambda b: b <= mark)), F.lit(0)))
+        .drop("__bounds")
+    )
+
+
+BIN = ("__bin", "__sub", "__cut")
+
+
 @dataclass(frozen=True)
 class SeriesParts:
     order: SeriesOrder
     lookback: int
     digits: int | None = None
     carried: tuple[str, ...] = ()
-    bins: tuple[DataFrame, DataFrame | None, DataFrame] | None = field(default=None, repr=False)
+    bins: tuple[DataFrame, DataFrame | None, DataFrame | None, DataFrame] | None = field(default=None, repr=False)
 
     # -- measuring ---------------------------------------------------------
 
@@ -159,7 +176,7 @@ class SeriesParts:
             .where(F.col("n") > lim)
             .select(F.col(key), *grid("lo", F.col("hi") - F.col("lo") + 1))
         )
-        narrow = df.select(key, seconds.alias("__t"), *self.carried)
+        narrow = df.select(*dict.fromkeys([key, *self.order.sort, *self.carried]), seconds.alias("__t"))
         hot = _binned(narrow, coarse, key)
         filled = durable(
             hot.groupBy(key, "__bin").agg(F.count(F.lit(1)).alias("n"), *sums).join(coarse, key)
@@ -181,15 +198,16 @@ class SeriesParts:
                 .groupBy(key, "__bin", "__sub")
                 .agg(F.count(F.lit(1)).alias("n"), *sums)
             )
+        counted, bounds = self._cut_bursts(narrow, coarse, fine, counted, sums, limit)
         # One row per bin from here on.  Bins of one meter: at most MAX_PARTS
         # times a small constant.
-        w = Window.partitionBy(key).orderBy("__bin", "__sub").rowsBetween(Window.unboundedPreceding, -1)
+        w = Window.partitionBy(key).orderBy(*BIN).rowsBetween(Window.unboundedPreceding, -1)
         running = {BASE: F.coalesce(F.sum("n").over(w), F.lit(0))}
         for c in self.carried:
             for name in (carry_sum(c), carry_count(c)):
                 running[name] = F.coalesce(F.sum(name).over(w), F.lit(0))
         placed = (
-            counted.select(F.col(key), "__bin", "__sub", "n", *[v.alias(k) for k, v in running.items()])
+            counted.select(F.col(key), *BIN, "n", *[v.alias(k) for k, v in running.items()])
             .withColumn(PART, F.expr(f"{BASE} div {limit}"))
         )
         starts = placed.groupBy(key, PART).agg(F.min(BASE).alias("start"))
@@ -209,14 +227,33 @@ class SeriesParts:
         )
         facts = [F.first(name).over(before).alias(name) for name in running]
         uses = uses.select(
-            F.col(key), "__bin", "__sub", F.col(PART), (F.col(PART) != F.col("own")).alias(HALO), *facts
+            F.col(key), *BIN, F.col(PART), (F.col(PART) != F.col("own")).alias(HALO), *facts
         )
         targets = durable(
-            uses.groupBy(key, "__bin", "__sub").agg(
+            uses.groupBy(key, *BIN).agg(
                 F.collect_list(F.struct(PART, HALO, *running)).alias("__uses")
             )
         )
-        return coarse, fine, targets
+        return coarse, fine, bounds, targets
+
+    def _cut_bursts(self, narrow: DataFrame, coarse: DataFrame, fine: DataFrame | None, counted: DataFrame, sums, limit: int):
+        """Bins that time alone cannot cut any further, cut where Spark's range
+        partitioning puts its borders; the borders are kept, so that rows find
+        their place again."""
+        keys = [self.order.key, "__bin", "__sub"]
+        counted = durable(counted)
+        full = counted.where(F.col("n") > limit)
+        rows = full.agg(F.sum("n")).first()[0]
+        if not rows:
+            return counted.withColumn("__cut", F.lit(0)), None
+        binned = _binned(narrow, coarse, self.order.key, fine)
+        mark = F.struct(*[F.col(c) for c in self.order.sort]).alias("__mark")
+        crowd = binned.join(F.broadcast(full.select(*keys)), keys, "left_semi").select(*keys, mark)
+        dealt = crowd.repartitionByRange(-(-rows * 2 // limit), *keys, "__mark")  # about half a part each
+        firsts = dealt.groupBy(*keys, F.spark_partition_id().alias("__piece")).agg(F.min("__mark").alias("__mark"))
+        bounds = durable(firsts.groupBy(*keys).agg(F.sort_array(F.collect_list("__mark")).alias("__bounds")))
+        cut = _cut_at(binned, bounds, self.order).groupBy(*keys, "__cut").agg(F.count(F.lit(1)).alias("n"), *sums)
+        return durable(cut), bounds
 
     # -- using -------------------------------------------------------------
 
@@ -229,7 +266,7 @@ class SeriesParts:
         if not self.is_cut:
             return df
         key = self.order.key
-        coarse, fine, targets = self.bins
+        coarse, fine, bounds, targets = self.bins
         uses = targets.schema["__uses"].dataType.elementType
         whole = F.struct(
             *[
@@ -239,8 +276,8 @@ class SeriesParts:
         )
         timed = df.withColumn("__t", epoch_seconds(F.col(self.order.time)))
         placed = (
-            _binned(timed, coarse, key, fine, "left")
-            .join(F.broadcast(targets), [key, "__bin", "__sub"], "left")
+            _cut_at(_binned(timed, coarse, key, fine, "left"), bounds, self.order)
+            .join(F.broadcast(targets), [key, *BIN], "left")
             .withColumn("__use", F.explode(F.coalesce(F.col("__uses"), F.array(whole))))
         )
         return placed.select(

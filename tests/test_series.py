@@ -62,7 +62,24 @@ def test_burst_is_cut_again(panel):
     parts = SeriesParts.measure(df, lookback=5, part_rows=50)
     assert parts.bins[1] is not None
     own = parts.open(df).where(~F.col(layout.HALO)).groupBy(layout.PART).count()
-    assert own.agg(F.max("count")).first()[0] < 500
+    assert own.agg(F.max("count")).first()[0] <= 100
+
+
+def test_one_second_is_cut_by_ties(spark):
+    """5,000 rows of one meter in one second, fifty to a part."""
+    order = SeriesOrder(ties=("event_id",))
+    df = spark.range(5000).select(
+        F.lit("hot").alias("object_id"),
+        (F.col("id") * 7919 % 5000).alias("event_id"),
+        F.expr("timestamp_ntz'2020-01-01 00:00:00'").alias("timestamp"),
+        (F.col("id") % 97).cast("double").alias("energy_kwh"),
+    )
+    whole = SeriesParts.measure(df, order, 26, ["energy_kwh"], 2)
+    cut = SeriesParts.measure(df, order, 26, ["energy_kwh"], 2, part_rows=50)
+    own = cut.open(df).where(~F.col(layout.HALO)).groupBy(layout.PART).count()
+    assert own.agg(F.max("count")).first()[0] <= 100 and own.agg(F.sum("count")).first()[0] == 5000
+    expected, got = features(whole.open(df), whole), cut.close(features(cut.open(df), cut))
+    assert got.count() == 5000 and got.exceptAll(expected).count() == 0
 
 
 def test_missing_keys_are_refused(panel):
