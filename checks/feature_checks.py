@@ -364,6 +364,26 @@ def build_features(spark, sf):
     return _table(spark, sf, PLAN)
 
 
+@query(
+    "model_run_stored_splits",
+    f"""SELECT object_id, TRUE AS scored, count(*) AS forecasts FROM ({TABLE})
+    WHERE split = 'test' AND object_id IN (SELECT object_id FROM ({TABLE}) WHERE split = 'train') GROUP BY object_id""",
+)
+def model_run_stored_splits(spark, sf):
+    """The model run on the written feature table, with all its features."""
+    from meterframe.plans.ledger import read_runs
+    from meterframe.plans.runs import model_run
+    from meterframe.session import fresh_path
+
+    path = features.make_splits(
+        views.hourly(spark, sf), views.metadata(spark, sf), views.weather(spark, sf), BOUNDS, fresh_path(spark, "features"), PLAN
+    )
+    train, test = (spark.read.parquet(path).where(F.col("split") == n) for n in ("train", "test"))
+    run = model_run(train, test, features.model_features(train), fresh_path(spark, "ledger"), order=HOURLY)
+    per_meter = run.forecasts.groupBy("object_id").agg(F.count_if(F.abs("y_pred") < float("inf")).alias("forecasts"))
+    return per_meter.join(run.per_customer, "object_id").select("object_id", (F.col("MAE") >= 0).alias("scored"), "forecasts")
+
+
 @query("make_splits", TABLE)
 def make_splits(spark, sf):
     from meterframe.session import fresh_path

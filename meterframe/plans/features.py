@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import calendar, encode, history, splits, weather
 from ..operators.series import SeriesOrder, SeriesParts
@@ -86,6 +87,13 @@ def build_features(
     return table
 
 
+def model_features(table: DataFrame, target: str = "energy_kwh") -> list[str]:
+    """The columns of a feature table that a model may learn from: its numbers
+    without the target itself, its frozen copy, ids and the region's number."""
+    left_out = {target, f"{target}_frozen", "object_id", "region_id", "event_id"}
+    return [f.name for f in table.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in left_out]
+
+
 def make_splits(
     readings: DataFrame,
     metadata: DataFrame,
