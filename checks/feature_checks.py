@@ -135,6 +135,21 @@ def downcast_float32(spark, sf):
     return plain(encode.downcast_floats(_measures(spark, sf), exclude=("l_tax",)), digits=None)
 
 
+def _half_sql(column: str) -> str:
+    step = f"pow(2.0::DOUBLE, greatest(floor(log2(nullif(abs({column}), 0))), -14) - 10)"
+    return f"""CASE WHEN (SELECT max(abs({column})) FROM lineitem) > 65504 THEN CAST(CAST({column} AS FLOAT) AS DOUBLE)
+      WHEN {column} = 0 THEN 0 ELSE round_even({column} / {step}, 0) * {step} END AS {column}"""
+
+
+@query(
+    "downcast_half",
+    f"SELECT l_orderkey, l_linenumber, {_half_sql('l_extendedprice')}, {_half_sql('l_quantity')}, l_tax FROM lineitem",
+)
+def downcast_half(spark, sf):
+    """Half precision where all values of a column fit it, else FLOAT."""
+    return plain(encode.downcast_floats(_measures(spark, sf), exclude=("l_tax",), half=True), digits=None)
+
+
 @query(
     "quantize_half",
     f"""SELECT {IDS}, energy_kwh,

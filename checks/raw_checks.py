@@ -239,6 +239,18 @@ def export_raw_layer(spark, sf):
     return reduce(DataFrame.unionByName, counted)
 
 
+@query(
+    "export_raw_readings",
+    f"""SELECT {", ".join(f'"{c}"' for c in READING_COLUMNS)}, strftime({T}, '%Y-%m') AS "month" FROM readings""",
+)
+def export_raw_readings(spark, sf):
+    """The rows of the exported readings, with the folder they lie in."""
+    paths = layers.export_raw_layer(
+        fresh_path(spark, "data"), views.metadata(spark, sf), views.readings(spark, sf).select(*READING_COLUMNS), views.weather(spark, sf)
+    )
+    return plain(spark.read.parquet(paths["smart_meter_readings"]), digits=None)
+
+
 def _table_names(spark):
     where = fresh_path(spark, "tables")
     prefix = f"t{where.rsplit('-', 1)[1]}_"
