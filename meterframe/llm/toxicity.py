@@ -2,8 +2,11 @@
 
 A sentence's score is a logistic function of its words and word beginnings; a
 document is toxic if one of its sentences is, so its score is the noisy-or
-``1 - prod(1 - s)`` of theirs.  Only documents carry labels; the weights are
-trained on the noisy-or by gradient steps, which puts the blame on sentences.
+``1 - (1 - leak) * prod(1 - s)`` over the sentences with a feature that has a
+weight.  Other sentences say nothing, however many they are; the leak is the
+chance that a document is labelled toxic without a sign in its text.  Only
+documents carry labels; weights and leak are trained on the noisy-or by
+gradient steps, which puts the blame on sentences.
 
 ``fit`` reads at most ``SAMPLE_ROWS`` labelled rows, those of least hash of
 their id, each cut into sentence features inside Spark tasks (at most
@@ -49,6 +52,7 @@ WORD = re.compile(r"[^\W\d_]+")
 class Model:
     weights: np.ndarray  # of 2 ** BITS features
     bias: float
+    leak: float = 0.0  # of a document
 
     def squash(self, z: float) -> float:
         return 1 / (1 + math.exp(-min(max(z + self.bias, -30.0), 30.0)))
@@ -96,8 +100,13 @@ def sentences(text: str):
 def score_text(text: str | None, weights: Weights) -> tuple[float, list[tuple[int, int, float]]]:
     """The document's score and (start, end, score) of its sentences."""
     squash = weights.model.squash
-    found = [(a, b, squash(sum(map(weights.__getitem__, sorted(words))))) for a, b, words in sentences(text or "")]
-    return noisy_or([s for _, _, s in found] or [squash(0.0)]), found
+    found, signs = [], [weights.model.leak]
+    for a, b, words in sentences(text or ""):
+        adds = [weights[w] for w in sorted(words)]
+        found.append((a, b, squash(sum(adds))))
+        if any(adds):
+            signs.append(found[-1][2])
+    return noisy_or(signs if found else [squash(0.0)]), found
 
 
 def noisy_or(scores: list[float]) -> float:
@@ -164,24 +173,27 @@ def train_noisy_or(feature: np.ndarray, sentence: np.ndarray, doc: np.ndarray, y
     sentence ``sentence`` i, sentence j to document ``doc`` j.  Weights start at,
     and are drawn to, how much likelier the feature is in toxic documents."""
     used, feature = np.unique(feature, return_inverse=True)
+    said, sentence = np.unique(sentence, return_inverse=True)  # sentences without features say nothing
+    doc = doc[said]
     n_sentences, n_docs = len(doc), len(y)
-    prior = np.append(odds[used], -6.0)  # the last is the bias
+    prior = np.append(odds[used], [-6.0, -6.0])  # the last are the bias and the leak's
     w, m, v = prior.copy(), np.zeros_like(prior), np.zeros_like(prior)
     for step in range(1, STEPS + 1):
-        z = np.bincount(sentence, w[:-1][feature], n_sentences) + w[-1]
+        z = np.bincount(sentence, w[:-2][feature], n_sentences) + w[-2]
         s = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        none = np.bincount(doc, np.log1p(-np.minimum(s, 1 - 1e-9)), n_docs)  # log chance of no toxic sentence
+        leak = 1 / (1 + math.exp(-min(max(w[-1], -30.0), 30.0)))
+        none = np.bincount(doc, np.log1p(-np.minimum(s, 1 - 1e-9)), n_docs) + math.log1p(-leak)  # log chance of no toxic sentence
         p = np.clip(-np.expm1(none), 1e-9, 1 - 1e-9)
         # d loss / d z of a sentence: s for a clean document, -s (1 - p) / p for a toxic one
         by_doc = np.where(y > 0, -(1 - p) / p, 1.0) / n_docs
         g_sentence = s * by_doc[doc]
-        g = np.append(np.bincount(feature, g_sentence[sentence], len(used)), g_sentence.sum())
+        g = np.append(np.bincount(feature, g_sentence[sentence], len(used)), [g_sentence.sum(), leak * by_doc.sum()])
         g += DECAY * (w - prior)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     weights = np.zeros(1 << BITS)
-    weights[used] = w[:-1]
-    return Model(weights, float(w[-1]))
+    weights[used] = w[:-2]
+    return Model(weights, float(w[-2]), float(1 / (1 + np.exp(-np.clip(w[-1], -30, 30)))))
 
 
 def score(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:

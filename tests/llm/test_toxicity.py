@@ -99,3 +99,16 @@ def test_long_runs_of_text_do_not_learn_from_held_out_rows(spark):
     flipped = known.withColumn("toxic", F.when(train, F.col("toxic")).otherwise(1 - F.col("toxic")))
     a, b = toxicity.fit(frame, known, train), toxicity.fit(frame, flipped, train)
     assert np.allclose(a.weights, b.weights) and math.isclose(a.bias, b.bias, rel_tol=1e-9)
+
+
+def test_length_alone_is_not_toxic(spark):
+    """Some toxic labels have no sign in the text, as in the given tables."""
+    docs, labels = corpus(1500, 1)
+    labels = [(i, int(bad or i % 20 == 3)) for i, bad in labels]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, score double")
+    model = toxicity.fit(frame, spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
+    long = "balan mer. " * 30000
+    rows = spark.createDataFrame([(1, long), (2, "balan mer. "), (3, long + "you grolk.")], "doc_id long, text string")
+    scores = {r.doc_id: r.score for r in toxicity.score(rows, model).collect()}
+    assert scores[1] == scores[2] < 0.5 < scores[3]
+    assert {r.doc_id for r in toxicity.without_toxic(rows, model).collect()} == {1, 2}
