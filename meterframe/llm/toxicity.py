@@ -8,15 +8,18 @@ chance that a document is labelled toxic without a sign in its text.  Only
 documents carry labels; weights and leak are trained on the noisy-or by
 gradient steps, which puts the blame on sentences.
 
-``fit`` reads at most ``SAMPLE_ROWS`` labelled rows, those of least hash of
-their id, each cut into sentence features inside Spark tasks (at most
-``SAMPLE_FEATURES`` feature numbers of the sample come to the driver).  Features
+``fit`` learns from at most ``SAMPLE_ROWS`` labelled documents, those of least
+hash of their id, each cut into sentence features inside Spark tasks.  Features
 that fewer than ``LEAST_DOCS`` sample documents hold, or whose documents are
-toxic about as often as others, have no weight.  The
-model has a fixed size, ``2 ** BITS`` weights.  ``score`` reads every whole text.
+toxic about as often as others, have no weight; this is counted over whole
+texts.  Only the other features come to the driver, sentences with the same ones
+once with their number.  A document sends at most ``DOC_FEATURES`` of them: of a
+text with more, the sentences of least hash.  The model has a fixed size,
+``2 ** BITS`` weights.  ``score`` reads every whole text.
 
 Texts that are null or empty have no sentence and score the sentence bias
-alone.  Rows are answered one by one, also repeated ones; ``label``s that are
+alone.  Rows are answered one by one, also repeated ones; of rows with the same
+``doc_id`` one is learned from, that of the least text hash; ``label``s that are
 null, and label rows without a document, are not learned from; several label
 rows of one document count as the largest.  Without both labels among the rows
 the model scores every text 0.  Other columns are ignored.
@@ -36,10 +39,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterframe.session import durable
+
 BITS = 18
 BEGINNINGS = (4,)  # letters; words of at least so many have these features too
 SAMPLE_ROWS = 6_000
-SAMPLE_FEATURES = 8_000_000
+DOC_FEATURES = 1_333  # 8 million for all sample rows
 LEAST_DOCS = 6
 LEAST_Z = 4.5  # standard deviations between a feature's toxic documents and chance
 STEPS, RATE, DECAY = 200, 0.1, 1e-3
@@ -114,67 +119,96 @@ def noisy_or(scores: list[float]) -> float:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, train: Column) -> DataFrame:
-    """(text, toxic) of the bounded sample.  ``train`` is over doc_id."""
+    """(doc_id, toxic, text) of the bounded sample.  ``train`` is over doc_id."""
     known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic is not null")
     known = known.groupBy("_id").agg(F.max("toxic").alias("toxic")).withColumnRenamed("_id", "doc_id").where(train)
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS).withColumnRenamed("doc_id", "_id")
-    # The sample has a fixed bound, so the documents need not move.
-    return docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("text", "toxic", "doc_id")
+    # The sample has a fixed bound, so the other documents need not move.
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
+    return rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
-def sample_features(sample: DataFrame) -> DataFrame:
-    """Per sample row: toxic, and its sentences' features one after the other
-    with their counts."""
+def feature_counts(sample: DataFrame) -> DataFrame:
+    """Per feature the sample documents that hold it, and the toxic ones among
+    them; as feature -1, all documents with a sentence."""
 
     def run(batches):
         table = Features()
+        n, bad = np.zeros((1 << BITS) + 1, np.int64), np.zeros((1 << BITS) + 1, np.int64)
         for batch in batches:
-            toxic, flat, counts = [], [], []
             for text, label in zip(batch.column("text"), batch.column("toxic").to_pylist()):
-                found = [[f for w in sorted(words) for f in table[w]] for _, _, words in sentences(text.as_py() or "")]
-                if found:
-                    toxic.append(label)
-                    flat.append(np.array([f for fs in found for f in fs], "<i4").tobytes())
-                    counts.append(np.array([len(fs) for fs in found], "<i4").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array(flat, pa.binary()), pa.array(counts, pa.binary())], ["toxic", "flat", "counts"])
+                words = {w for _, _, ws in sentences(text.as_py() or "") for w in ws}
+                if words:
+                    held = list({f + 1 for w in words for f in table[w]} | {0})
+                    n[held] += 1
+                    bad[held] += label > 0
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at - 1), pa.array(n[at]), pa.array(bad[at])], ["feature", "n", "toxic"])
+
+    counts = sample.select("text", "toxic").mapInArrow(run, "feature bigint, n bigint, toxic bigint")
+    return counts.groupBy("feature").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+
+
+def sample_features(sample: DataFrame, keep: np.ndarray) -> DataFrame:
+    """Per sample document with a sentence: doc_id, toxic, and the kept features
+    of its sentences one after the other, with their counts and how many
+    sentences have just these."""
+    shared = sample.sparkSession.sparkContext.broadcast(keep)
+    names = ["doc_id", "toxic", "flat", "counts", "times"]
+
+    def share(found: dict[bytes, int]) -> list[bytes]:
+        sets = sorted(found, key=lambda b: (xxhash.xxh3_64_intdigest(b), b))
+        ends = np.cumsum([len(b) // 4 for b in sets])
+        return sets[: max(int(np.searchsorted(ends, DOC_FEATURES, "right")), 1)]
 
-    return sample.select("text", "toxic").mapInArrow(run, "toxic int, flat binary, counts binary")
+    def run(batches):
+        table, keep = Features(), shared.value
+        for batch in batches:
+            out = []
+            for doc_id, label, text in zip(batch.column("doc_id").to_pylist(), batch.column("toxic").to_pylist(), batch.column("text")):
+                found, any_sentence = {}, False
+                for _, _, words in sentences(text.as_py() or ""):
+                    any_sentence = True
+                    fs = np.sort(np.array([f for w in words for f in table[w] if keep[f]], "<i4")).tobytes()
+                    if fs:
+                        found[fs] = found.get(fs, 0) + 1
+                if any_sentence:
+                    sets = share(found)
+                    counts, times = [len(b) // 4 for b in sets], [found[b] for b in sets]
+                    out.append((doc_id, label, b"".join(sets), np.array(counts, "<i4").tobytes(), np.array(times, "<i4").tobytes()))
+            columns = list(zip(*out)) or [()] * 5
+            types = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+    rows = sample.select(F.col("doc_id").cast("bigint").alias("doc_id"), "toxic", "text")
+    return rows.mapInArrow(run, "doc_id bigint, toxic int, flat binary, counts binary, times binary")
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column) -> Model:
-    rows, held = [], 0
-    for row in sample_features(labelled(docs, labels, train)).toLocalIterator():
-        held += len(row["flat"]) // 4
-        if held > SAMPLE_FEATURES:
-            break
-        rows.append(row)
+    sample = durable(labelled(docs, labels, train), "sample")  # at most SAMPLE_ROWS texts
+    counted = feature_counts(sample).toArrow()  # at most 2 ** BITS + 1 rows
+    n, toxic = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
+    at = counted.column("feature").to_numpy() + 1
+    n[at], toxic[at] = counted.column("n").to_numpy(), counted.column("toxic").to_numpy()
     empty = Model(np.zeros(1 << BITS), -30.0)
-    y = np.array([r["toxic"] for r in rows], float)
-    if not 0 < y.sum() < len(y):
+    if not 0 < toxic[0] < n[0]:
         return empty
-    flat = np.concatenate([np.frombuffer(r["flat"], "<i4") for r in rows]).astype(np.int64)
-    counts = [np.frombuffer(r["counts"], "<i4") for r in rows]
-    per_sentence = np.concatenate(counts)
-    sentence_of = np.repeat(np.arange(len(per_sentence)), per_sentence)
-    doc_of = np.repeat(np.arange(len(rows)), [len(c) for c in counts])
-    pairs = np.unique(doc_of[sentence_of] * (1 << BITS) + flat)  # a feature counts once a document
-    in_docs, of = pairs & ((1 << BITS) - 1), pairs >> BITS
-    n = np.bincount(in_docs, minlength=1 << BITS)
-    toxic = np.bincount(in_docs, y[of], 1 << BITS)
-    rate = y.mean()
+    rate, n, toxic = toxic[0] / n[0], n[1:], toxic[1:]
     z = np.abs(toxic - n * rate) / np.sqrt(np.maximum(n, 1) * rate * (1 - rate))
-    keep = ((n >= LEAST_DOCS) & (z >= LEAST_Z))[flat]
     odds = np.log((toxic + 1) / (n - toxic + 1)) - np.log(rate / (1 - rate))
-    return train_noisy_or(flat[keep], sentence_of[keep], doc_of, y, odds)
+    rows = sorted(sample_features(sample, (n >= LEAST_DOCS) & (z >= LEAST_Z)).toArrow().to_pylist(), key=lambda r: r["doc_id"])
+    y = np.array([r["toxic"] > 0 for r in rows], float)
+    flat, per_sentence, times = [np.concatenate([np.frombuffer(r[c], "<i4") for r in rows]).astype(np.int64) for c in ("flat", "counts", "times")]
+    doc_of = np.repeat(np.arange(len(rows)), [len(r["counts"]) // 4 for r in rows])
+    return train_noisy_or(flat, np.repeat(np.arange(len(per_sentence)), per_sentence), doc_of, times, y, odds)
 
 
-def train_noisy_or(feature: np.ndarray, sentence: np.ndarray, doc: np.ndarray, y: np.ndarray, odds: np.ndarray) -> Model:
+def train_noisy_or(feature: np.ndarray, sentence: np.ndarray, doc: np.ndarray, times: np.ndarray, y: np.ndarray, odds: np.ndarray) -> Model:
     """Adam on the mean log loss of the noisy-or.  ``feature`` i belongs to
-    sentence ``sentence`` i, sentence j to document ``doc`` j.  Weights start at,
-    and are drawn to, how much likelier the feature is in toxic documents."""
+    sentence ``sentence`` i, sentence j stands ``times`` j times in document
+    ``doc`` j; all have features.  Weights start at, and are drawn to, how much
+    likelier the feature is in toxic documents."""
     used, feature = np.unique(feature, return_inverse=True)
-    said, sentence = np.unique(sentence, return_inverse=True)  # sentences without features say nothing
-    doc = doc[said]
     n_sentences, n_docs = len(doc), len(y)
     prior = np.append(odds[used], [-6.0, -6.0])  # the last are the bias and the leak's
     w, m, v = prior.copy(), np.zeros_like(prior), np.zeros_like(prior)
@@ -182,11 +216,11 @@ def train_noisy_or(feature: np.ndarray, sentence: np.ndarray, doc: np.ndarray, y
         z = np.bincount(sentence, w[:-2][feature], n_sentences) + w[-2]
         s = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         leak = 1 / (1 + math.exp(-min(max(w[-1], -30.0), 30.0)))
-        none = np.bincount(doc, np.log1p(-np.minimum(s, 1 - 1e-9)), n_docs) + math.log1p(-leak)  # log chance of no toxic sentence
+        none = np.bincount(doc, times * np.log1p(-np.minimum(s, 1 - 1e-9)), n_docs) + math.log1p(-leak)  # log chance of no toxic sentence
         p = np.clip(-np.expm1(none), 1e-9, 1 - 1e-9)
         # d loss / d z of a sentence: s for a clean document, -s (1 - p) / p for a toxic one
         by_doc = np.where(y > 0, -(1 - p) / p, 1.0) / n_docs
-        g_sentence = s * by_doc[doc]
+        g_sentence = s * times * by_doc[doc]
         g = np.append(np.bincount(feature, g_sentence[sentence], len(used)), [g_sentence.sum(), leak * by_doc.sum()])
         g += DECAY * (w - prior)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g

@@ -112,3 +112,25 @@ def test_length_alone_is_not_toxic(spark):
     scores = {r.doc_id: r.score for r in toxicity.score(rows, model).collect()}
     assert scores[1] == scores[2] < 0.5 < scores[3]
     assert {r.doc_id for r in toxicity.without_toxic(rows, model).collect()} == {1, 2}
+
+
+def test_large_and_repeated_rows_do_not_end_the_sample(spark):
+    docs, labels = corpus(600, 3)
+    huge = [(600, "Balan mer ron ton. " * 1_700_000, 0.5)]  # over eight million features
+    again = [(5, f"nutus kepix. {i}", 0.5) for i in range(3000)]
+    known = spark.createDataFrame(labels + [(600, 0)], "doc_id long, toxic int")
+    frame = spark.createDataFrame(huge + again + docs, "doc_id long, text string, score double").coalesce(1)
+    model = toxicity.fit(frame, known, F.lit(True))
+    rows = toxicity.score(spark.createDataFrame(docs, "doc_id long, text string, score double"), model).collect()
+    assert sum((r.score >= 0.5) == (r.doc_id % 4 == 0) for r in rows) / len(rows) > 0.97
+    sample = toxicity.labelled(frame, known, F.lit(True))
+    assert sample.count() == sample.select("doc_id").distinct().count() == 601
+
+
+def test_a_document_sends_a_bounded_share(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "DOC_FEATURES", 20)
+    texts = [(1, 1, ". ".join(f"{a} {b}" for a in WORDS[:9] for b in WORDS[9:20])), (2, 0, "balan. " * 500 + "mer"), (3, 0, "...")]
+    sample = spark.createDataFrame(texts, "doc_id long, toxic int, text string")
+    rows = {r.doc_id: r for r in toxicity.sample_features(sample, np.ones(1 << toxicity.BITS, bool)).collect()}
+    assert set(rows) == {1, 2} and 0 < len(rows[1].flat) <= 4 * 20
+    assert sorted(np.frombuffer(rows[2].times, "<i4").tolist()) == [1, 500]
