@@ -33,6 +33,7 @@ SHARD_NUMBERS = 1 << 20  # components of a shard's vectors, on average (8 MB)
 BLOCK_NUMBERS = 1 << 19  # of a block of queries
 FACTOR = 1.0  # exact; 0.6 still found 99.9 % of the neighbours on the given tables
 SLACK = 1e-7  # of an angle
+FOUND_POINTS = 1 << 20  # found at a time for a part of a block's queries
 BROADCAST_SIZES = 20_000  # lengths of vectors
 
 FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
@@ -156,21 +157,37 @@ def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
     points, point_of = np.unique(vectors, axis=0, return_inverse=True)
     order = np.lexsort((ids, point_of.ravel()))
     ids, point_of = ids[order], point_of.ravel()[order]
+    new = np.append(True, (ids[1:] != ids[:-1]) | (point_of[1:] != point_of[:-1])) if len(ids) else np.zeros(0, bool)
+    ids, point_of = ids[new], point_of[new]  # a point's ids are distinct
     starts = np.searchsorted(point_of, np.arange(len(points) + 1))
+    tree = Tree(points)
+    out = ([], [], [])
     # One more than k: the query's own vector may be among them.  Points as near
     # as the last one, but for rounding, could also be listed; three more are kept.
-    found = Search(Tree(points), queries, min(k + 4, len(points)), factor)
-    found.run()
-    who, column = np.nonzero(found.point >= 0)
-    at = found.point[who, column]
-    score = cosines(queries[who], points[at])
-    out = ([], [], [])
-    for q, p, s in zip(who.tolist(), at.tolist(), score.tolist()):
-        mine = ids[starts[p] : starts[p + 1]][: k + 1]  # the smallest ids of equal vectors
-        for i in mine[mine != query_ids[q]][:k].tolist():
-            out[0].append(q)
-            out[1].append(i)
-            out[2].append(s)
+    # Points may share ids: queries with fewer than k ids so far ask for more points.
+    asked, width = np.arange(len(queries)), min(k + 4, len(points))
+    while len(asked):
+        missing = []
+        step = max(FOUND_POINTS // max(width, 1), 1)
+        for part in [asked[i : i + step] for i in range(0, len(asked), step)]:
+            found = Search(tree, queries[part], width, factor)
+            found.run()
+            who, column = np.nonzero(found.point >= 0)
+            at = found.point[who, column]
+            score = cosines(queries[part[who]], points[at])
+            best: list[dict[int, float]] = [{} for _ in part]
+            for q, p, s in zip(who.tolist(), at.tolist(), score.tolist()):
+                mine = ids[starts[p] : starts[p + 1]][: k + 1]  # the smallest ids of equal vectors
+                for i in mine[mine != query_ids[part[q]]][:k].tolist():
+                    best[q][i] = max(s, best[q].get(i, -2.0))
+            for q, listed in zip(part.tolist(), best):
+                if len(listed) < k and width < len(points):
+                    missing.append(q)
+                    continue
+                out[0].extend([q] * len(listed))
+                out[1].extend(listed)
+                out[2].extend(listed.values())
+        asked, width = np.array(missing, np.int64), min(2 * width, len(points))
     return np.array(out[0], np.int64), np.array(out[1], np.int64), np.array(out[2])
 
 

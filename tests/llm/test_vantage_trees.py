@@ -80,6 +80,23 @@ def test_repeated_rows(spark):
     same(searched(spark, rows), brute(rows, 3))
 
 
+def test_many_rows_of_one_id(spark):
+    """k + 2 copies of rows and more, and one id with many near vectors."""
+    rows = [(i, [1.0, 0.1]) for i in (7, 8, 9, 10, 11) for _ in range(5)] + [(0, [1.0, 0.1])] * 6 + [(5, [1.0, 0.0])] * 5
+    rows += [(3, [1.0, 0.001 * i]) for i in range(1, 40)] + [(5, [1.0, -0.0001 * i]) for i in range(1, 20)] + [(4, [0.3, 1.0]), (6, [0.0, 1.0])]
+    for k in (3, 5):
+        same(searched(spark, rows, k), brute_of_greatest(rows, k))
+
+
+def brute_of_greatest(rows, k):
+    """As ``brute``; as a query the greatest vector of an id counts."""
+    out = {}
+    for q in {i for i, _ in rows if i % 5 == 0}:
+        asked = max(v for i, v in rows if i == q)
+        out |= {q: brute([(i, v) for i, v in rows if i != q] + [(q, asked)], k)[q]}
+    return out
+
+
 def test_empty_table_and_factor(spark):
     assert searched(spark, []) == {}
     with pytest.raises(ValueError):
