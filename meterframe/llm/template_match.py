@@ -9,7 +9,8 @@ a window must hold at least as many plain words as placeholders.
 Windows of a document that hit one item at one offset belong together.  Over
 them, each value in the item must stand for one value in the document and the
 other way round; then the item is found: ``exact`` if all values are the same,
-else ``reparameterised``.  Otherwise the slots do not fit and nothing is found.
+else ``reparameterised``.  If slots do not fit, the windows that agree with one
+such assignment count; the item is found if they cover more than ``SHARE`` percent of it.
 
 A bit table of fixed size (``2 ** TABLE_BITS`` bits), filled from all windows of
 the benchmark, is sent to the tasks; windows it does not know cannot join and
@@ -23,11 +24,12 @@ searched; items with a null id are answered under it.  Rows of equal
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterframe.llm.shingles import mixed
@@ -35,6 +37,7 @@ from meterframe.session import durable
 
 WINDOW = 8
 LEAST_WORDS = 5
+SHARE = 80  # percent of an item's words
 TABLE_BITS = 24
 CACHED_WORDS = 400_000  # per task
 BROADCAST_ROWS = 200_000
@@ -125,9 +128,10 @@ WINDOW_ARROW = pa.schema([("key", pa.int64()), ("at", pa.int32()), ("hash", pa.i
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, at, hash, slots and width of all windows of the items."""
+    """item_id, at, hash, slots and width of all windows of the items, and the
+    items' numbers of words."""
     rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    schema = WINDOW_ARROW.append(pa.field("width", pa.int32()))
+    schema = WINDOW_ARROW.append(pa.field("width", pa.int32())).append(pa.field("words", pa.int32()))
 
     def run(batches):
         words = Words()
@@ -137,10 +141,10 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
                 width = min(WINDOW, len(template))
                 if width >= LEAST_WORDS:
                     hashes, good = window_hashes(template, kind, width)
-                    found = [{**r, "width": width} for r in _rows(item, np.flatnonzero(good), hashes, width, kind, value)]
+                    found = [{**r, "width": width, "words": len(template)} for r in _rows(item, np.flatnonzero(good), hashes, width, kind, value)]
                     yield pa.RecordBatch.from_pylist(found, schema=schema)
 
-    return rows.mapInArrow(run, WINDOWS + ", width int").withColumnRenamed("key", "item_id")
+    return rows.mapInArrow(run, WINDOWS + ", width int, words int").withColumnRenamed("key", "item_id")
 
 
 def bit_table(windows: DataFrame) -> np.ndarray:
@@ -176,34 +180,66 @@ def doc_windows(docs: DataFrame, table: np.ndarray, widths: list[int]) -> DataFr
     return rows.mapInArrow(run, WINDOWS + ", doc_id bigint").withColumnRenamed("key", "text_hash")
 
 
+AGREEING = "n_windows bigint, n_slots bigint, same boolean, covered int"
+
+
+def agreeing(windows, width):
+    """Of windows (at, slots) whose slots do not fit together: those that agree
+    with one assignment of values, and the words they cover.  Tried are equal
+    values and, if each value of the item stands for one in the document, pairs
+    taken by the number of windows that hold them."""
+    if windows is None:
+        return None
+    held = [(w["at"], {(p["kind"], p["item"], p["doc"]) for p in w["slots"]}) for w in windows]
+    counts = Counter(p for _, pairs in held for p in pairs)
+    equal = {p for p in counts if p[1] == p[2]}
+    taken, items, values = set(), set(), set()
+    for kind, item, doc in sorted(counts, key=lambda p: (-counts[p], p[1] != p[2], p)):
+        if (kind, item) not in items and (kind, doc) not in values:
+            taken.add((kind, item, doc))
+            items.add((kind, item))
+            values.add((kind, doc))
+    best = None
+    of_item = len({p[:2] for p in counts})
+    for chosen in (equal, taken) if of_item == len(counts) else (equal,):
+        mine = [(at, pairs) for at, pairs in held if pairs <= chosen]
+        pairs = set().union(*[p for _, p in mine])
+        covered = len({at + i for at, _ in mine for i in range(width)})
+        found = (len(mine), len(pairs), all(p[1] == p[2] for p in pairs), covered)
+        if best is None or found[3] > best[3]:
+            best = found
+    return best
+
+
 def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text_hash, item_id, n_windows, n_slots, kind) of items found."""
     items = durable(item_windows(benchmark), "items")
     widths = sorted(r["width"] for r in items.select("width").distinct().collect())  # at most WINDOW
     windows = durable(doc_windows(docs, bit_table(items), widths), "windows").dropDuplicates(["doc_id", "text_hash", "at", "hash"])
-    there = items.select("item_id", "hash", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"))
+    there = items.select("item_id", "hash", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), "width", "words")
     hits = windows.join(there, "hash").select(
-        "doc_id", "text_hash", "item_id", (F.col("at") - F.col("item_at")).alias("offset"), "at",
+        "doc_id", "text_hash", "item_id", "width", "words", (F.col("at") - F.col("item_at")).alias("offset"), "at",
         F.zip_with("item_slots", "slots", lambda i, d: F.struct(i["kind"].alias("kind"), i["value"].alias("item"), d["value"].alias("doc"))).alias("slots"),
     )
-    together = hits.groupBy("doc_id", "text_hash", "item_id", "offset").agg(
-        F.countDistinct("at").alias("n_windows"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("pairs")
-    )
+    together = hits.groupBy("doc_id", "text_hash", "item_id", "offset", "width", "words").agg(F.collect_set(F.struct("at", "slots")).alias("windows"))
+    together = together.withColumns({"n_windows": F.size("windows").cast("bigint"), "pairs": F.array_distinct(F.flatten("windows.slots"))})
 
     def distinct(*names: str):
         return F.size(F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"].alias("k"), *[p[n].alias(n) for n in names]))))
 
     fits = (distinct("item") == F.size("pairs")) & (distinct("doc") == F.size("pairs"))
     same = F.forall("pairs", lambda p: p["item"] == p["doc"])
+    judged = together.withColumns({"fits": fits, "same": same}).withColumn("part", F.udf(agreeing, AGREEING)(F.when(~F.col("fits"), F.col("windows")), "width"))
+
+    def of(name: str, whole: Column) -> Column:
+        return F.when(F.col("fits"), whole).otherwise(F.col(f"part.{name}")).alias(name)
+
     return (
-        together.where(fits)
-        .withColumns({"same": same, "n_slots": F.size("pairs")})
+        judged.where(F.col("fits") | (100 * F.col("part.covered") > SHARE * F.col("words")))
+        .select("doc_id", "text_hash", "item_id", of("n_windows", F.col("n_windows")), of("n_slots", F.size("pairs").cast("bigint")), of("same", F.col("same")))
         .groupBy("doc_id", "text_hash", "item_id")
-        .agg(
-            F.max("n_windows").alias("n_windows"), F.max("n_slots").cast("bigint").alias("n_slots"),
-            F.when(F.max("same"), "exact").otherwise("reparameterised").alias("kind"),
-        )
-    )
+        .agg(F.max("n_windows").alias("n_windows"), F.max("n_slots").alias("n_slots"), F.when(F.max("same"), "exact").otherwise("reparameterised").alias("kind"))
+    )
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

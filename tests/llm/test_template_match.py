@@ -74,3 +74,12 @@ def test_table_of_words_is_bounded(monkeypatch):
     small = tm.Words()
     small.template("other words fill it up now")
     assert [x.tolist() for x in small.template(text)] == plain
+
+
+LONG = "On the first day Maria has 12 apples in a basket and the baker has 30 rolls on a shelf. On the next day she sells 5 apples at the market while the baker keeps all of the rolls for Tom, who visits the two of them after 7 days and asks how many apples are left in the basket."
+
+
+def test_one_slot_that_does_not_fit(spark):
+    changed = LONG.replace("5 apples", "12 apples")  # also the first number
+    other = LONG.replace("12", "9").replace("30", "9").replace("Maria", "Anna")  # two new numbers are equal
+    assert found(spark, [(1, filler(1) + changed), (2, filler(2) + other)], [(1, LONG)]) == [(1, 1, "exact"), (2, 1, "reparameterised")]
