@@ -12,6 +12,11 @@ other way round; then the item is found: ``exact`` if all values are the same,
 else ``reparameterised``.  If slots do not fit, the windows that agree with one
 such assignment count; the item is found if they cover more than ``SHARE`` percent of it.
 
+A word counts by what stands before it, so the first window of an item may look
+different in a document.  An item without a window behind the first that says
+enough also has windows of its plain words, with no placeholders; it is
+``exact`` where all of them stand together.
+
 A bit table of fixed size (``2 ** TABLE_BITS`` bits), filled from all windows of
 the benchmark, is sent to the tasks; windows it does not know cannot join and
 stay where they are.  All others are joined exactly.
@@ -52,6 +57,7 @@ UNITS = frozenset(
     "euro euros degree degrees mph kmh kb mb gb tb hz khz mhz w kw kwh v volt volts joule joules".split()
 )
 
+PLAIN_KEY = np.uint64(0x5851F42D4C957F2D)  # sets the hashes of plain windows apart
 WINDOWS = "key bigint, at int, hash bigint, slots array<struct<place:int,kind:int,value:bigint>>"
 SLOT = pa.struct([("place", pa.int32()), ("kind", pa.int32()), ("value", pa.int64())])
 
@@ -114,6 +120,10 @@ def window_hashes(template: np.ndarray, kind: np.ndarray, width: int) -> tuple[n
     return mixed(total), 2 * (plain[width:] - plain[:n]) >= width
 
 
+def plain_hashes(value: np.ndarray, width: int) -> np.ndarray:
+    return window_hashes(value, np.zeros(len(value), np.int8), width)[0] ^ PLAIN_KEY
+
+
 def _rows(key: int, at: np.ndarray, hashes: np.ndarray, width: int, kind: np.ndarray, value: np.ndarray) -> list[dict]:
     out = []
     for p, h in zip(at.tolist(), hashes[at].astype(np.int64).tolist()):
@@ -131,7 +141,7 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     """item_id, at, hash, slots and width of all windows of the items, and the
     items' numbers of words."""
     rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    schema = WINDOW_ARROW.append(pa.field("width", pa.int32())).append(pa.field("words", pa.int32()))
+    schema = WINDOW_ARROW.append(pa.field("width", pa.int32())).append(pa.field("words", pa.int32())).append(pa.field("plain", pa.bool_()))
 
     def run(batches):
         words = Words()
@@ -141,10 +151,14 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
                 width = min(WINDOW, len(template))
                 if width >= LEAST_WORDS:
                     hashes, good = window_hashes(template, kind, width)
-                    found = [{**r, "width": width, "words": len(template)} for r in _rows(item, np.flatnonzero(good), hashes, width, kind, value)]
+                    found = [{**r, "width": width, "words": len(template), "plain": False} for r in _rows(item, np.flatnonzero(good), hashes, width, kind, value)]
+                    if not good[1:].any():
+                        hashes = plain_hashes(value, width)
+                        of = _rows(item, np.arange(len(hashes)), hashes, width, np.zeros_like(kind), value)
+                        found += [{**r, "width": width, "words": len(template), "plain": True} for r in of]
                     yield pa.RecordBatch.from_pylist(found, schema=schema)
 
-    return rows.mapInArrow(run, WINDOWS + ", width int, words int").withColumnRenamed("key", "item_id")
+    return rows.mapInArrow(run, WINDOWS + ", width int, words int, plain boolean").withColumnRenamed("key", "item_id")
 
 
 def bit_table(windows: DataFrame) -> np.ndarray:
@@ -157,8 +171,8 @@ def bit_table(windows: DataFrame) -> np.ndarray:
     return table
 
 
-def doc_windows(docs: DataFrame, table: np.ndarray, widths: list[int]) -> DataFrame:
-    """Windows of documents that the bit table knows: doc_id, text_hash, at, hash, slots."""
+def doc_windows(docs: DataFrame, table: np.ndarray, widths: list[tuple[int, bool]]) -> DataFrame:
+    """Windows, by width and whether of plain words, that the bit table knows: doc_id, text_hash, at, hash, slots."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.coalesce("text", F.lit("")).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(table)
     schema = WINDOW_ARROW.append(pa.field("doc_id", pa.int64()))
@@ -168,13 +182,18 @@ def doc_windows(docs: DataFrame, table: np.ndarray, widths: list[int]) -> DataFr
         for batch in batches:
             for doc_id, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist(), batch.column("text")):
                 template, kind, value = words.template(text.as_py())
-                for width in widths:
-                    hashes, good = window_hashes(template, kind, width)
+                for width, plain in widths:
+                    if plain:
+                        hashes, good, slots = plain_hashes(value, width), True, np.zeros_like(kind)
+                        if len(value) < width:
+                            continue
+                    else:
+                        (hashes, good), slots = window_hashes(template, kind, width), kind
                     place = hashes >> np.uint64(64 - TABLE_BITS)
                     hit = (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)
                     at = np.flatnonzero(good & (hit > 0))
                     if len(at):
-                        found = [{**r, "doc_id": doc_id} for r in _rows(key, at, hashes, width, kind, value)]
+                        found = [{**r, "doc_id": doc_id} for r in _rows(key, at, hashes, width, slots, value)]
                         yield pa.RecordBatch.from_pylist(found, schema=schema)
 
     return rows.mapInArrow(run, WINDOWS + ", doc_id bigint").withColumnRenamed("key", "text_hash")
@@ -214,16 +233,18 @@ def agreeing(windows, width):
 def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text_hash, item_id, n_windows, n_slots, kind) of items found."""
     items = durable(item_windows(benchmark), "items")
-    widths = sorted(r["width"] for r in items.select("width").distinct().collect())  # at most WINDOW
+    widths = sorted((r["width"], r["plain"]) for r in items.select("width", "plain").distinct().collect())  # at most 2 * WINDOW
     windows = durable(doc_windows(docs, bit_table(items), widths), "windows").dropDuplicates(["doc_id", "text_hash", "at", "hash"])
-    there = items.select("item_id", "hash", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), "width", "words")
+    there = items.select("item_id", "hash", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), "width", "words", "plain")
     hits = windows.join(there, "hash").select(
-        "doc_id", "text_hash", "item_id", "width", "words", (F.col("at") - F.col("item_at")).alias("offset"), "at",
+        "doc_id", "text_hash", "item_id", "width", "words", "plain", (F.col("at") - F.col("item_at")).alias("offset"), "at",
         F.zip_with("item_slots", "slots", lambda i, d: F.struct(i["kind"].alias("kind"), i["value"].alias("item"), d["value"].alias("doc"))).alias("slots"),
     )
-    together = hits.groupBy("doc_id", "text_hash", "item_id", "offset", "width", "words").agg(F.collect_set(F.struct("at", "slots")).alias("windows"))
+    together = hits.groupBy("doc_id", "text_hash", "item_id", "offset", "width", "words", "plain").agg(F.collect_set(F.struct("at", "slots")).alias("windows"))
     together = together.withColumns({"n_windows": F.size("windows").cast("bigint"), "pairs": F.array_distinct(F.flatten("windows.slots"))})
 
+    together = together.where(~F.col("plain") | (F.col("n_windows") == F.col("words") - F.col("width") + 1))
+
     def distinct(*names: str):
         return F.size(F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"].alias("k"), *[p[n].alias(n) for n in names]))))
 

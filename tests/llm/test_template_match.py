@@ -83,3 +83,9 @@ def test_one_slot_that_does_not_fit(spark):
     changed = LONG.replace("5 apples", "12 apples")  # also the first number
     other = LONG.replace("12", "9").replace("30", "9").replace("Maria", "Anna")  # two new numbers are equal
     assert found(spark, [(1, filler(1) + changed), (2, filler(2) + other)], [(1, LONG)]) == [(1, 1, "exact"), (2, 1, "reparameterised")]
+
+
+def test_exact_copies_of_short_and_slot_heavy_items(spark):
+    items = [(1, "What is the capital city of France?"), (2, "5 km 6 km 7 km 8 km 9 km 10 km"), (3, "Anna Otto Karl Maria Tom Paul Eva Lena Nora")]
+    docs = [(1, "Q7 " + items[0][1]), (2, "a heading\n" + items[0][1]), (3, filler(3) + items[1][1]), (4, "seen: " + items[2][1] + " there"), (5, "5 km 6 km 7 km 8 km 9 km 11 km")]
+    assert found(spark, docs, items) == [(1, 1, "exact"), (2, 1, "exact"), (3, 2, "exact"), (4, 3, "exact")]
