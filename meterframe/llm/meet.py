@@ -1,0 +1,34 @@
+"""Joins of many rows with facts about their keys, where one key may hold a
+large share of the rows.
+
+``facts`` has one row per key and says how many rows hold the key.  At most
+``HEAVY`` keys can hold more than a share of 1 / HEAVY of the rows: their facts
+are broadcast and the rows stay where they are.  All other rows meet their
+facts by a shuffle, in which no key is larger than that share.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+HEAVY = 256
+BROADCAST_ROWS = 200_000  # of about 100 bytes; more are joined by shuffles
+
+
+def meet(rows: DataFrame, facts: DataFrame, on: list[str], count: str = "n") -> DataFrame:
+    """Inner join.  ``facts`` is a written table; keys are not null."""
+    seen = facts.agg(F.sum(count).alias("total"), F.max(count).alias("most")).first()
+    border = (seen["total"] or 0) // HEAVY
+    if (seen["most"] or 0) <= max(border, 1):
+        return rows.join(facts, on)
+    heavy = facts.where(F.col(count) > border)
+    light = facts.where(F.col(count) <= border)
+    others = rows.join(F.broadcast(heavy.select(*on)), on, "left_anti")
+    return rows.join(F.broadcast(heavy), on).unionByName(others.join(light, on))
+
+
+def small(rows: DataFrame) -> DataFrame:
+    """A hint to broadcast a written table whose rows were counted; the joined
+    rows are the same either way."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows

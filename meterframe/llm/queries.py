@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterframe.llm import bit_planes, chat_format, mixing, near_dedup, ngram_automaton, secret_scan, template_match, token_trees, toxicity, vantage_trees
+from meterframe.llm import (
+    bit_planes,
+    chat_format,
+    filter_audit,
+    mixing,
+    near_dedup,
+    ngram_automaton,
+    secret_scan,
+    source_divergence,
+    suffix_dedup,
+    template_match,
+    token_trees,
+    toxicity,
+    vantage_trees,
+)
 from meterframe.llm.folds import is_training
 from meterframe.session import durable, fresh_path
 
@@ -112,6 +126,18 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -228,6 +254,102 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum(length('<|im_start|>') + length(role) + 1 + length(put) + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
 FROM written GROUP BY conv_id
+""",
+    "op11_source_divergence": f"""
+WITH texts AS (
+    SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS row,
+           {LOWER} AS text FROM documents
+), words AS (
+    SELECT lang, source, row, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM texts
+), kept AS (
+    SELECT lang, term, count(*)::HUGEINT AS n FROM words GROUP BY ALL HAVING count(DISTINCT row) >= 3
+), used AS (
+    SELECT lang, source, term, count(*)::HUGEINT AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), groups AS (
+    SELECT g.*, coalesce((SELECT sum(n) FROM used u WHERE u.lang = g.lang AND u.source = g.source), 0)::HUGEINT AS total,
+           coalesce((SELECT sum(n) FROM kept k WHERE k.lang = g.lang), 0)::HUGEINT AS lang_total,
+           (SELECT count(*) FROM kept k WHERE k.lang = g.lang)::HUGEINT AS v
+    FROM (SELECT DISTINCT lang, source FROM texts) g
+), shares AS (
+    SELECT g.lang, g.source, k.term, coalesce(u.n, 0) AS n, 1 + (1000000000 * (coalesce(u.n, 0) + 1)) // (g.total + g.v) AS p,
+           1 + (1000000000 * (k.n + 1)) // (g.lang_total + g.v) AS q
+    FROM groups g JOIN kept k USING (lang) LEFT JOIN used u ON u.lang = g.lang AND u.source = g.source AND u.term = k.term
+), values_of AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+           coalesce((SELECT sum((x.p - y.p) * (x.p - y.p) // y.p) FROM shares x JOIN shares y ON x.term = y.term AND x.lang = y.lang
+                     WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+FROM values_of QUALIFY part = 'pair' OR rank <= 200
+""",
+    "op12_suffix_dedup": """
+WITH texts AS (
+    SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), pieces AS (
+    SELECT row, p, substr(h, 512 * p + 1, 910) AS h FROM texts, unnest(range(0, len(h) // 512 + 1)) t(p)
+), strings AS (
+    SELECT row, 256 * p + i AS place, md5_number(substr(h, 2 * i + 1, 400)) AS name FROM pieces, unnest(range(0, least(len(h) // 2 - 199, 256))) t(i)
+), hits AS (
+    SELECT row, place FROM strings QUALIFY count(*) OVER (PARTITION BY name) > 1
+), opened AS (
+    SELECT row, place, coalesce(place > 200 + lag(place) OVER (PARTITION BY row ORDER BY place), true)::INTEGER AS opens FROM hits
+), numbered AS (
+    SELECT row, place, sum(opens) OVER (PARTITION BY row ORDER BY place) AS span FROM opened
+), spans AS (
+    SELECT row, span, min(place) AS a, max(place) + 200 AS b FROM numbered GROUP BY ALL
+), placed AS (
+    SELECT row, a, b, coalesce(lag(b) OVER (PARTITION BY row ORDER BY a), 0) AS before,
+           row_number() OVER (PARTITION BY row ORDER BY a DESC) = 1 AS last FROM spans
+), cut AS (
+    SELECT row, sum(b - a) AS n_removed, count(*) AS n_spans,
+           string_agg(substr(h, 2 * before + 1, 2 * (a - before)) || CASE WHEN last THEN substr(h, 2 * b + 1) ELSE '' END, '' ORDER BY a) AS kept
+    FROM placed JOIN texts USING (row) GROUP BY row
+)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM texts LEFT JOIN cut USING (row)
+""",
+    "op13_filter_audit": f"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACES}'), lambda x: x <> '') AS w
+    FROM documents
+), marks AS (
+    SELECT doc_id, max((quality = 1)::INTEGER) AS good, max((toxic = 1)::INTEGER) AS toxic FROM labels GROUP BY doc_id
+), judged AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+           (len(w) < 100)::INTEGER + 2 * (100 * list_unique(w) < 80 * len(w))::INTEGER
+           + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t))::INTEGER
+           + 8 * regexp_matches(t, '[#$%&*|]')::INTEGER
+           + 16 * coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false)::INTEGER AS fails
+    FROM texts LEFT JOIN marks USING (doc_id)
+), cells AS (
+    SELECT part, good, toxic, fails, count(*) AS n FROM judged GROUP BY ALL
+), orders AS (
+    SELECT '' AS o UNION ALL
+    SELECT o || f FROM orders, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) t(f) WHERE NOT contains(o, f)
+), steps AS (
+    SELECT o AS filter_order, step, o[step] AS f, (1 << (ascii(o[step]) - 65)) AS bit,
+           coalesce(list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(o[i]) - 65))), 0)::INTEGER AS earlier
+    FROM orders, range(1, 6) t(step) WHERE len(o) = 5
+), counted AS (
+    SELECT part, filter_order, step::INTEGER AS step, f,
+           sum(n) FILTER (fails & (earlier | bit) = 0) AS kept,
+           sum(n) FILTER (fails & bit <> 0 AND fails & earlier = 0) AS removed,
+           sum(n) FILTER (fails & bit <> 0 AND fails & earlier <> 0) AS redundant,
+           sum(n) FILTER (fails = bit) AS unique_fails,
+           sum(n) FILTER (fails & bit <> 0 AND fails & earlier = 0 AND good = 1) AS good_lost,
+           sum(n) FILTER (fails & bit <> 0 AND fails & earlier = 0 AND toxic = 1) AS toxic_lost
+    FROM steps, cells GROUP BY ALL
+)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       sum(coalesce(removed, 0)) OVER (PARTITION BY part, f)::BIGINT AS shapley
+FROM counted
 """,
 }
 
@@ -250,6 +372,9 @@ def queries() -> dict[str, Query]:
         "op8_template_match": op8_template_match,
         "op9_bit_planes": op9_bit_planes,
         "op10_secret_scan": op10_secret_scan,
+        "op11_source_divergence": op11_source_divergence,
+        "op12_suffix_dedup": op12_suffix_dedup,
+        "op13_filter_audit": op13_filter_audit,
         "pipeline": pipeline,
     }
 
