@@ -41,15 +41,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterframe.llm.meet import meet, small
+from meterframe.llm.meet import BROADCAST_ROWS, meet, small
 from meterframe.llm.shingles import mixed
 from meterframe.llm.suffix_array import common_prefixes, suffix_array
 from meterframe.session import durable
 
 LENGTH = 200
-STEP = 1 << 19  # starts that are hashed at once
-SHARD_BYTES = 2_000_000  # of contexts, on average
-GROUP_BYTES = SHARD_BYTES // 8  # of one gram's contexts in a shard
+STEP = 1 << 18  # starts that are hashed at once
+SHARD_BYTES = 1_000_000  # of contexts, on average
+GROUP_BYTES = SHARD_BYTES // 4  # of one gram's contexts in a shard
 
 BASE = 0x9E3779B97F4A7C15
 BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
@@ -131,8 +131,9 @@ def profile(docs: DataFrame, length: int, step: int = STEP) -> DataFrame:
     def run(batches):
         hashes = Hashes(step + length)
         for batch in batches:
-            column = batch.column("text").cast(pa.large_string())
-            borders = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
+            column = batch.column("text")
+            wide = np.dtype(np.int64 if pa.types.is_large_string(column.type) else np.int32)
+            borders = np.frombuffer(column.buffers()[1], wide, len(column) + 1, column.offset * wide.itemsize).astype(np.int64)
             data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[borders[0] : borders[-1]]
             borders = borders - borders[0]
             found = []
@@ -169,10 +170,14 @@ def profile(docs: DataFrame, length: int, step: int = STEP) -> DataFrame:
     return durable(rows.mapInArrow(run, types).withColumn("rid", F.monotonically_increasing_id()), "profile")
 
 
-def with_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Columns of ``wanted`` (doc_id, text_hash, ...) with the text.  Rows of one
-    doc_id and one text are wanted once."""
+def with_texts(docs: DataFrame, wanted: DataFrame, listed: str) -> DataFrame:
+    """Columns of ``wanted`` (doc_id, text_hash, ..., a written table) with the
+    text.  Rows of one doc_id and one text are wanted once.  ``listed`` is its
+    array column; with few elements in all the texts need not move."""
+    elements = wanted.agg(F.sum(F.size(listed))).first()[0] or 0
     wanted = wanted.withColumnsRenamed({"doc_id": "_doc", "text_hash": "_hash"})
+    if elements <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     same = texts["doc_id"].eqNullSafe(wanted["_doc"]) & (F.xxhash64(texts["text"]) == wanted["_hash"])
     return texts.join(wanted, same).drop("doc_id", "_doc", "_hash")
@@ -203,7 +208,7 @@ def context_bytes(docs: DataFrame, rows: DataFrame, contexts: DataFrame, length:
             numbers = [pa.array(np.concatenate(x) if x else [], pa.int64()) for x in out[:4]]
             yield pa.RecordBatch.from_arrays([*numbers, pa.array(out[4], pa.binary())], ["g", "c", "n", "off", "ctx"])
 
-    found = with_texts(docs, small(durable(named, "wanted"))).select("text", "text_key", "wants").mapInArrow(
+    found = with_texts(docs, durable(named, "wanted"), "wants").select("text", "text_key", "wants").mapInArrow(
         run, "g bigint, c bigint, n bigint, off bigint, ctx binary"
     )
     repeated = rows.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -363,7 +368,7 @@ def kept_parts(docs: DataFrame, rows: DataFrame, spans: DataFrame) -> DataFrame:
                 kept.append(b"".join(data[a:b] for a, b in zip(starts, ends)))
             yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(kept, pa.binary())], ["rid", "kept"])
 
-    found = with_texts(docs, small(durable(partly, "partly")))
+    found = with_texts(docs, durable(partly, "partly"), "spans")
     return found.select("rid", "text", "text_key", "spans").mapInArrow(run, "rid bigint, kept binary")
 
 
@@ -386,7 +391,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     untouched = rows.join(spans.select("rid"), "rid", "left_anti").groupBy("doc_id", "text_hash").agg(
         F.collect_list("rid").alias("rids"), F.first("text_key").alias("text_key")
     )
-    whole = with_texts(docs, small(durable(untouched.select("doc_id", "text_hash", "rids"), "whole")))
+    whole = with_texts(docs, durable(untouched.select("doc_id", "text_hash", "rids"), "whole"), "rids")
     whole = whole.select(F.explode("rids").alias("rid"), "text").dropDuplicates(["rid"])
 
     @F.pandas_udf("string")
