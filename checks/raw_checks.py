@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterframe.operators import cleaning, quality
+from meterframe.operators import cleaning, continuity, quality
 from meterframe.plans import ingest as ingestion
 from meterframe.schemas import TABLES
 from meterframe.session import fresh_path
@@ -389,6 +389,17 @@ def hot_series_continuity(spark, sf):
     )
 
 
+@query("continuity_runs", CONTINUITY.format(key="object_id", source="readings", step=1))
+def continuity_by_runs(spark, sf):
+    return continuity.continuity_runs(views.readings(spark, sf))
+
+
+@query("continuity_runs_steps", CONTINUITY.format(key="object_id", source="doubled", step=6))
+def continuity_runs_steps(spark, sf):
+    """Hours that occur several times, and gaps of up to six hours allowed."""
+    return continuity.continuity_runs(views.doubled(spark, sf), expected_step_hours=6)
+
+
 @query("stamp_ingestion", 'SELECT * REPLACE ("timestamp" AS ingested_at) FROM doubled')
 def stamp_ingestion(spark, sf):
     return cleaning.add_ingestion_time(views.doubled(spark, sf), "smart_meter_backtest")
