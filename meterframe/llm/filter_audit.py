@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterframe.llm.meet import meet
+from meterframe.joins import meet
 from meterframe.session import durable
 
 LEAST_WORDS = 100

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterframe.llm.meet import small
+from meterframe.joins import small
 from meterframe.session import durable
 
 LEAST_DOCS = 3

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterframe.llm.meet import BROADCAST_ROWS, meet, small
+from meterframe.joins import BROADCAST_ROWS, meet, small
 from meterframe.llm.shingles import mixed
 from meterframe.llm.suffix_array import common_prefixes, suffix_array
 from meterframe.session import durable
