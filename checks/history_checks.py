@@ -8,7 +8,7 @@ from meterframe.operators import cleaning, history
 from meterframe.operators.series import SeriesParts
 
 from . import views
-from .registry import plain, query
+from .registry import plain, query, rounded
 from .views import HOURLY, ORDER
 
 KEY = 'PARTITION BY object_id ORDER BY "timestamp", event_id'
@@ -287,6 +287,69 @@ def drop_warmup(spark, sf):
     return cleaning.drop_warmup(views.energy(spark, sf), 24, order=ORDER)
 
 
+# Long windows: the same definitions over a week and a quarter of hourly rows.
+LONG_AGGS = {"min": "min(energy_kwh) OVER {f}", "max": "max(energy_kwh) OVER {f}"}
+SERIES_IDS = 'object_id, "timestamp"'
+
+
+def long_sql(names: dict[str, str], n: int) -> str:
+    columns = ", ".join(f"{full(sql, n, HOUR_KEY)} AS rolling_{name}_energy_kwh_{n}" for name, sql in names.items())
+    return f"SELECT {SERIES_IDS}, energy_kwh, {columns} FROM series_hour"
+
+
+def _long(spark, sf, aggs, n, **options):
+    return plain(history.add_rolling_stats(views.series_hour(spark, sf), (n,), aggs, order=HOURLY, **options), None)
+
+
+@query("rolling_min_max_week", long_sql(LONG_AGGS, 168))
+def rolling_min_max_week(spark, sf):
+    return _long(spark, sf, ["min", "max"], 168)
+
+
+# Series of the given tables have a month; their rows eight times over, a month
+# apart, make up more than a quarter.
+EIGHT = """(SELECT object_id, "timestamp" + to_days(31 * CAST(k AS INTEGER)) AS "timestamp", round(energy_kwh * (1 + k * 0.125), 2) AS energy_kwh
+           FROM series_hour, range(8) t(k))"""
+
+
+@query(
+    "rolling_min_max_quarter",
+    f"""SELECT {SERIES_IDS}, energy_kwh, {", ".join(f"{full(sql, 2160, HOUR_KEY)} AS rolling_{name}_energy_kwh_2160" for name, sql in LONG_AGGS.items())} FROM {EIGHT}""",
+)
+def rolling_min_max_quarter(spark, sf):
+    times = views.series_hour(spark, sf).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(7))))
+    df = times.select(
+        "object_id",
+        (F.col("timestamp") + F.make_dt_interval(F.col("k") * 31)).alias("timestamp"),
+        rounded(F.col("energy_kwh") * (1 + F.col("k") * 0.125), 2).alias("energy_kwh"),
+    )
+    return plain(history.add_rolling_stats(df, (2160,), ["min", "max"], order=HOURLY), None)
+
+
+@query("rolling_median_week", f"SELECT {SERIES_IDS}, energy_kwh, round({full('quantile_cont(energy_kwh, 0.5) OVER {f}', 168, HOUR_KEY)}, 6) AS rolling_median_energy_kwh_168 FROM series_hour")
+def rolling_median_week(spark, sf):
+    return plain(_long(spark, sf, ["median"], 168), 6)
+
+
+@query(
+    "rolling_rank_week",
+    f"""WITH placed AS (SELECT {SERIES_IDS}, energy_kwh, row_number() OVER ({HOUR_KEY}) AS rn FROM series_hour)
+    SELECT a.object_id, a."timestamp", any_value(a.energy_kwh) AS energy_kwh,
+      CASE WHEN count(b.energy_kwh) = 168 THEN count(CASE WHEN b.energy_kwh < c.energy_kwh THEN 1 END)
+        + (count(CASE WHEN b.energy_kwh = c.energy_kwh THEN 1 END) + 1) / 2.0::DOUBLE END AS rolling_rank_energy_kwh_168
+    FROM placed a LEFT JOIN placed c ON c.object_id = a.object_id AND c.rn = a.rn - 1
+    LEFT JOIN placed b ON b.object_id = a.object_id AND b.rn BETWEEN a.rn - 168 AND a.rn - 1
+    GROUP BY a."timestamp", a.object_id""",
+)
+def rolling_rank_week(spark, sf):
+    return _long(spark, sf, ["rank"], 168)
+
+
+@query("hot_series_long_windows", long_sql(LONG_AGGS | {"median": "0.5::DOUBLE * quantile_disc(energy_kwh, 0.5) OVER {f} + 0.5::DOUBLE * -quantile_disc(-energy_kwh, 0.5) OVER {f}"}, 48))
+def hot_series_long_windows(spark, sf):
+    return _long(spark, sf, ["min", "max", "median"], 48, part_rows=60)
+
+
 # The same results where every meter counts as hot and is cut into parts.
 
 

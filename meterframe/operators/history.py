@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import frames
+from ..functions import frames, long_windows
 from ..functions.frames import WIDE
 from ..functions.rounding import finite, from_units, to_units
 from .series import SeriesOrder, SeriesParts, energy_columns, over_series
@@ -48,7 +48,8 @@ def add_rolling_stats(
     **measured,
 ) -> DataFrame:
     """``rolling_{agg}_{column}_{n}`` over the n rows before the current row;
-    null unless all n hold a value.
+    null unless all n hold a value.  Minima, maxima, medians and ranks of more
+    than ``long_windows.LONG`` rows cost as much as those of a few.
 
     ``digits`` says how many decimals readings have.  Sums, means and spreads
     are then exact, the same on every run, and taken from running totals.
@@ -58,9 +59,16 @@ def add_rolling_stats(
     exact = [a for a in aggs if digits is not None and a in frames.FROM_TOTALS]
     squares = any(a in ("var", "std", "sem") for a in exact)
 
+    long = [n for n in windows if n > long_windows.LONG]
+    extrema = [a for a in aggs if a in long_windows.EXTREMA]
+    ordered = [a for a in aggs if a in long_windows.ORDERED]
+
     def build(frame: DataFrame, p: SeriesParts) -> DataFrame:
         w = p.window()
         columns = energy_columns(frame)
+        names = frame.columns
+        if extrema and long:
+            frame = long_windows.with_block_ends(frame, columns, long, extrema, p.backward())
         helpers = {
             f"__{total}_{c}": value
             for c in columns
@@ -69,21 +77,24 @@ def add_rolling_stats(
         }
         if "count" in aggs:
             helpers["__place"] = p.position()
+        if extrema and long:
+            helpers |= long_windows.block_starts(columns, long, extrema, w)
 
         def feature(agg: str, c: str, n: int) -> Column:
             if agg in exact:
                 return frames.from_totals(agg, c, w, n, digits)
+            if agg in extrema and n in long:
+                return long_windows.from_blocks(agg, c, w, n)
             return frames.rolling(agg, F.col(c), w, n, F.col("__place") if agg == "count" else None)
 
-        return frame.select("*", *[v.alias(k) for k, v in helpers.items()]).select(
-            *frame.columns,
-            *[
-                feature(agg, c, n).alias(f"rolling_{agg}_{c}_{n}")
-                for n in windows
-                for agg in aggs
-                for c in columns
-            ],
+        wanted = [(n, agg, c) for n in windows for agg in aggs for c in columns]
+        plain = [(n, agg, c) for n, agg, c in wanted if not (agg in ordered and n in long)]
+        out = frame.select("*", *[v.alias(k) for k, v in helpers.items()]).select(
+            *names, *[feature(agg, c, n).alias(f"rolling_{agg}_{c}_{n}") for n, agg, c in plain]
         )
+        if ordered and long:
+            out = long_windows.with_ordered(out, p.keys, columns, long, ordered, w)
+        return out.select(*names, *[f"rolling_{agg}_{c}_{n}" for n, agg, c in wanted])
 
     return over_series(df, parts, build, lookback=max(windows), order=order, **measured)
 

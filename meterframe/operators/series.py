@@ -293,9 +293,16 @@ class SeriesParts:
             extra += [carry_sum(c), carry_count(c)]
         return df.where(~F.col(HALO)).drop(*extra)
 
+    @property
+    def keys(self) -> list[str]:
+        return [self.order.key, PART] if self.is_cut else [self.order.key]
+
     def window(self) -> WindowSpec:
-        keys = [self.order.key, PART] if self.is_cut else [self.order.key]
-        return Window.partitionBy(*keys).orderBy(*self.order.sort)
+        return Window.partitionBy(*self.keys).orderBy(*self.order.sort)
+
+    def backward(self) -> WindowSpec:
+        """The same rows from the last to the first."""
+        return Window.partitionBy(*self.keys).orderBy(*[F.desc(c) for c in self.order.sort])
 
     def position(self) -> Column:
         """Zero-based place of the row in its whole series."""
