@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from meterframe.functions.rounding import quantize_half as half
@@ -10,7 +12,7 @@ from meterframe.operators.cleaning import null_counts
 from meterframe.plans import features
 
 from . import views
-from .history_checks import HOUR_KEY, IDS, KEY, MEAN, STD, full
+from .history_checks import HOUR_KEY, IDS, KEY, MEAN, ODD, STD, full
 from .registry import plain, query, rounded
 from .views import BOUNDS, HOURLY, ORDER
 
@@ -379,6 +381,16 @@ def build_features(spark, sf):
     return _table(spark, sf, PLAN)
 
 
+ROUGH = [*FROZEN[: -len(PLAN.lags)], *[f"{c}_frozen" for c in FROZEN[: -len(PLAN.lags)]], "customer_mean_energy_kwh", *[f"customer_{d}d_mean_energy_kwh" for d in PLAN.average_days]]
+
+
+@query("build_features_any_digits", f"SELECT * REPLACE ({', '.join(f'round({c} * {ODD}::DOUBLE, 6) AS {c}' for c in ROUGH)}) FROM ({TABLE})")
+def build_features_any_digits(spark, sf):
+    """The plan as it is by default: readings with digits of any number."""
+    made = _table(spark, sf, replace(PLAN, digits=None))
+    return made.withColumns({c: rounded(F.col(c) * ODD, 6) for c in ROUGH})
+
+
 @query(
     "model_run_stored_splits",
     f"""SELECT object_id, TRUE AS scored, count(*) AS forecasts FROM ({TABLE})

@@ -287,6 +287,41 @@ def drop_warmup(spark, sf):
     return cleaning.drop_warmup(views.energy(spark, sf), 24, order=ORDER)
 
 
+# Readings from 1e-9 to 1e16, as whole cents times powers of two, so that SQL can
+# add them up exactly as whole numbers of 2^-30.  Means are compared times ODD:
+# they often end in a 5, which the two engines round differently.
+ODD = 0.577215664901
+POWERS = "CAST(event_id % 70 AS DOUBLE)"
+ANY = f"(SELECT {IDS}, CAST(cents AS DOUBLE) * pow(2.0::DOUBLE, {POWERS} - 30) AS energy_kwh, cents * CAST(pow(2.0::DOUBLE, {POWERS}) AS HUGEINT) AS units FROM energy)"
+
+
+def any_doubles_sql() -> str:
+    columns = []
+    for start, name in [("UNBOUNDED", "customer_mean_energy_kwh"), (47, "customer_1d_mean_energy_kwh"), (95, "customer_3d_mean_energy_kwh")]:
+        frame = f"({KEY} ROWS BETWEEN {start} PRECEDING AND 24 PRECEDING)"
+        mean = f"CAST(sum(units) OVER {frame} AS DOUBLE) / pow(2.0::DOUBLE, 30) / nullif(count(units) OVER {frame}, 0)"
+        columns.append(f"printf('%.9e', {mean} * {ODD}::DOUBLE) AS {name}")
+    return f"SELECT {IDS}, {', '.join(columns)} FROM {ANY}"
+
+
+def _any_doubles(spark, sf, **options):
+    cents = F.rint(F.col("energy_kwh") * 100)
+    df = views.energy(spark, sf).withColumn("energy_kwh", cents * F.pow(F.lit(2.0), F.col("event_id") % 70 - 30))
+    made = history.add_customer_averages(df, 24, (1, 3), order=ORDER, **options)
+    names = [c for c in made.columns if c.startswith("customer_")]
+    return made.select("object_id", "timestamp", "event_id", *[F.when(F.col(c).isNotNull(), F.format_string("%.9e", F.col(c) * ODD)).alias(c) for c in names])
+
+
+@query("trailing_means_any_doubles", any_doubles_sql())
+def trailing_means_any_doubles(spark, sf):
+    return _any_doubles(spark, sf)
+
+
+@query("hot_series_any_doubles", any_doubles_sql())
+def hot_series_any_doubles(spark, sf):
+    return _any_doubles(spark, sf, part_rows=120)
+
+
 # Long windows: the same definitions over a week and a quarter of hourly rows.
 LONG_AGGS = {"min": "min(energy_kwh) OVER {f}", "max": "max(energy_kwh) OVER {f}"}
 SERIES_IDS = 'object_id, "timestamp"'

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions import frames, long_windows
 from ..functions.frames import WIDE
-from ..functions.rounding import finite, from_units, to_units
 from .series import SeriesOrder, SeriesParts, energy_columns, over_series
 
 HOURS_PER_DAY = 24
@@ -116,59 +115,42 @@ def add_customer_averages(
     ``customer_mean_{column}`` over the whole past and
     ``customer_{d}d_mean_{column}`` over d * 24 rows, from one value on.
 
-    With ``digits`` the running sum and count are whole numbers, taken once, and
-    a trailing mean is the difference of two of them, so a 90-day mean costs no
-    more than a short one.  Without, each mean adds up its own frame: differences
-    of running doubles would cancel, and 1e16 once would spoil what follows.
+    The running sum is held in whole numbers (``functions.exact``) and taken once,
+    and a trailing mean is the difference of two of them: a 90-day mean costs no
+    more than a short one, and does not depend on the order of rows or on how a
+    series was cut.  ``digits``, if known, makes it one number instead of a few.
     Readings that are not finite count as missing.
     """
 
     def build(frame: DataFrame, p: SeriesParts) -> DataFrame:
-        if digits != p.digits and p.is_cut:
+        if digits != p.digits and p.carried:
             raise ValueError("parts were measured with other digits")
         w = p.window()
-        columns = energy_columns(frame)
-        return _framed(frame, p, w, columns) if digits is None else _from_running(frame, p, w, columns)
-
-    def _framed(frame: DataFrame, p: SeriesParts, w, columns) -> DataFrame:
-        features = []
-        for c in columns:
-            value, before = finite(F.col(c)), w.rowsBetween(Window.unboundedPreceding, -shift_hours)
-            sum0, count0 = p.carry(c)
-            count = F.count(value).over(before) + count0
-            total = F.coalesce(F.sum(value).over(before), F.lit(0.0)) + sum0
-            features.append(F.when(count > 0, total / count).alias(f"customer_mean_{c}"))
-            for d in windows_days:
-                span = w.rowsBetween(1 - shift_hours - d * HOURS_PER_DAY, -shift_hours)
-                features.append(F.avg(value).over(span).alias(f"customer_{d}d_mean_{c}"))
-        return frame.select("*", *features)
-
-    def _from_running(frame: DataFrame, p: SeriesParts, w, columns) -> DataFrame:
         so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         helpers, features = [], []
-        for c in columns:
-            units = to_units(F.col(c), digits)
-            total, count = f"__total_{c}", f"__n_{c}"
-            helpers += [
-                F.coalesce(F.sum(units.cast("decimal(19,0)")).over(so_far), F.lit(0)).cast(WIDE).alias(total),
-                F.count(units).over(so_far).alias(count),
-            ]
+        for c in energy_columns(frame):
+            scale = p.scale(c, digits)
+            limbs = scale.limbs(F.col(c))
+            kind = WIDE if digits is not None else "bigint"
+            totals, count = [f"__total_{i}_{c}" for i in range(len(limbs))], f"__n_{c}"
+            helpers += [F.coalesce(F.sum(x).over(so_far), F.lit(0)).cast(kind).alias(t) for x, t in zip(limbs, totals)]
+            helpers.append(scale.count(F.col(c)).over(so_far).alias(count))
 
-            def mean(sums, counts, name):
-                return F.when(counts > 0, from_units(sums.cast("double") / counts, digits)).alias(name)
+            def mean(sums, counts, name, scale=scale):
+                return F.when(counts > 0, scale.ratio(sums, counts)).alias(name)
 
             def at(name, rows):
                 return F.coalesce(F.lag(name, rows).over(w), F.lit(0))
 
-            sum0, count0 = p.carry(c)
+            before, count0 = p.carry(c, len(limbs))
             # With a cut series the carry stands for rows before this part,
             # and a lag that ends before the part has nothing to add.
-            features.append(mean(at(total, shift_hours) + sum0, at(count, shift_hours) + count0, f"customer_mean_{c}"))
+            near = [at(t, shift_hours) for t in totals]
+            features.append(mean([x + y for x, y in zip(near, before)], at(count, shift_hours) + count0, f"customer_mean_{c}"))
             for d in windows_days:
                 back = shift_hours + d * HOURS_PER_DAY
-                features.append(
-                    mean(at(total, shift_hours) - at(total, back), at(count, shift_hours) - at(count, back), f"customer_{d}d_mean_{c}")
-                )
+                gone = [x - at(t, back) for x, t in zip(near, totals)]
+                features.append(mean(gone, at(count, shift_hours) - at(count, back), f"customer_{d}d_mean_{c}"))
         return frame.select("*", *helpers).select(*frame.columns, *features)
 
     return over_series(

@@ -31,7 +31,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ..functions.rounding import finite, to_units
+from ..functions.exact import Limbs, Units, sizes
 from ..functions.timeparts import epoch_seconds
 from ..session import durable
 
@@ -46,8 +46,8 @@ GROUP_LIMIT = 1000
 PART, HALO, BASE = "__part", "__halo", "__base"
 
 
-def carry_sum(column: str) -> str:
-    return f"__before_sum_{column}"
+def carry_sum(column: str, limb: int = 0) -> str:
+    return f"__before_sum_{limb}_{column}"
 
 
 def carry_count(column: str) -> str:
@@ -110,6 +110,7 @@ class SeriesParts:
     lookback: int
     digits: int | None = None
     carried: tuple[str, ...] = ()
+    scales: tuple[Units | Limbs, ...] = ()
     bins: tuple[DataFrame, DataFrame | None, DataFrame | None, DataFrame] | None = field(default=None, repr=False)
 
     # -- measuring ---------------------------------------------------------
@@ -127,19 +128,26 @@ class SeriesParts:
         """One aggregate job over two columns decides whether a cut is needed.
 
         ``lookback`` is the number of earlier rows a feature may read;
-        ``carried`` names columns whose running sums must go on across parts.
+        ``carried`` names columns whose running sums must go on across parts; with
+        ``digits`` they are sums of units, else of limbs, for which the smallest
+        and largest reading are taken as well.
         Rows earlier than all that were measured open into a meter's first part.
         """
-        base = cls(order, lookback, digits, tuple(carried))
         key, time = F.col(order.key), F.col(order.time)
+        open_ = list(carried) if digits is None else []
+        sized = [c.alias(f"__{k}{i}") for i, name in enumerate(open_) for k, c in zip(("least", "most"), sizes(F.col(name)))]
         per_meter = df.groupBy(key).agg(
-            F.count(F.lit(1)).alias("n"), F.count_if(time.isNull()).alias("untimed")
+            F.count(F.lit(1)).alias("n"), F.count_if(time.isNull()).alias("untimed"), *sized
         )
         seen = per_meter.agg(
             F.sum("n").alias("total"),
             F.max("n").alias("hottest"),
             F.sum(F.when(key.isNull(), F.col("n")).otherwise(F.col("untimed"))).alias("unusable"),
+            *[F.min(f"__least{i}").alias(f"__least{i}") for i in range(len(open_))],
+            *[F.max(f"__most{i}").alias(f"__most{i}") for i in range(len(open_))],
         ).first()
+        scales = tuple(Limbs.between(seen[f"__least{i}"], seen[f"__most{i}"]) for i in range(len(open_))) or tuple(Units(digits) for _ in carried)
+        base = cls(order, lookback, digits, tuple(carried), scales)
         if seen["unusable"]:
             raise ValueError(
                 f"{seen['unusable']} rows have no {order.key} or no {order.time}; "
@@ -149,7 +157,7 @@ class SeriesParts:
         limit = max(part_rows or PART_ROWS, lookback, -(-total // MAX_PARTS), 1)
         if (seen["hottest"] or 0) <= limit:
             return base
-        return cls(order, lookback, digits, tuple(carried), base._cut(df, limit))
+        return cls(order, lookback, digits, tuple(carried), scales, base._cut(df, limit))
 
     def _cut(self, df: DataFrame, limit: int):
         key = self.order.key
@@ -161,9 +169,10 @@ class SeriesParts:
             return [F.col(lo), F.greatest(F.ceil(width / pieces), F.lit(1)).alias("width")]
 
         sums = []
-        for c in self.carried:
-            value = to_units(F.col(c), self.digits).cast("decimal(19,0)") if self.digits is not None else finite(F.col(c))
-            sums += [F.sum(value).alias(carry_sum(c)), F.count(value).alias(carry_count(c))]
+        for c, scale in zip(self.carried, self.scales):
+            limbs = scale.limbs(F.col(c))
+            sums += [F.sum(x.cast("decimal(19,0)")).alias(carry_sum(c, i)) for i, x in enumerate(limbs)]
+            sums.append(scale.count(F.col(c)).alias(carry_count(c)))
 
         # Hot meters (at most total / limit of them) and the width of their bins.
         coarse = durable(
@@ -203,9 +212,11 @@ class SeriesParts:
         # times a small constant.
         w = Window.partitionBy(key).orderBy(*BIN).rowsBetween(Window.unboundedPreceding, -1)
         running = {BASE: F.coalesce(F.sum("n").over(w), F.lit(0))}
-        for c in self.carried:
-            for name in (carry_sum(c), carry_count(c)):
-                running[name] = F.coalesce(F.sum(name).over(w), F.lit(0))
+        for c, scale in zip(self.carried, self.scales):
+            names = [carry_sum(c, i) for i in range(len(scale.limbs(F.col(c))))]
+            before = [F.coalesce(F.sum(name).over(w), F.lit(0)) for name in names]
+            running |= dict(zip(names, scale.carried(before)))
+            running[carry_count(c)] = F.coalesce(F.sum(carry_count(c)).over(w), F.lit(0))
         placed = (
             counted.select(F.col(key), *BIN, "n", *[v.alias(k) for k, v in running.items()])
             .withColumn(PART, F.expr(f"{BASE} div {limit}"))
@@ -289,8 +300,8 @@ class SeriesParts:
         if not self.is_cut:
             return df
         extra = [PART, HALO, BASE]
-        for c in self.carried:
-            extra += [carry_sum(c), carry_count(c)]
+        for c, scale in zip(self.carried, self.scales):
+            extra += [*[carry_sum(c, i) for i in range(len(scale.limbs(F.col(c))))], carry_count(c)]
         return df.where(~F.col(HALO)).drop(*extra)
 
     @property
@@ -309,13 +320,19 @@ class SeriesParts:
         place = F.row_number().over(self.window()).cast("bigint") - 1
         return place + F.col(BASE) if self.is_cut else place
 
-    def carry(self, column: str) -> tuple[Column, Column]:
-        """Sum and count of ``column`` over the rows before this part."""
-        if not self.is_cut:
-            return F.lit(0), F.lit(0)
-        if column not in self.carried:
+    def scale(self, column: str, digits: int | None) -> Units | Limbs:
+        """How ``column`` is added up.  Units need no measure of the readings."""
+        if column in self.carried:
+            return self.scales[self.carried.index(column)]
+        if self.is_cut or digits is None:
             raise ValueError(f"running sums of {column} were not measured")
-        return F.col(carry_sum(column)), F.col(carry_count(column))
+        return Units(digits)
+
+    def carry(self, column: str, size: int) -> tuple[list[Column], Column]:
+        """Limbs of the sum, and count, of ``column`` over the rows before this part."""
+        if not self.is_cut:
+            return [F.lit(0)] * size, F.lit(0)
+        return [F.col(carry_sum(column, i)) for i in range(size)], F.col(carry_count(column))
 
 
 def over_series(
