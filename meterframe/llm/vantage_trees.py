@@ -33,6 +33,7 @@ SHARD_NUMBERS = 1 << 20  # components of a shard's vectors, on average (8 MB)
 BLOCK_NUMBERS = 1 << 19  # of a block of queries
 FACTOR = 1.0  # exact; 0.6 still found 99.9 % of the neighbours on the given tables
 SLACK = 1e-7  # of an angle
+ROUNDING = 1e-10  # of a cosine
 FOUND_POINTS = 1 << 20  # found at a time for a part of a block's queries
 BROADCAST_SIZES = 20_000  # lengths of vectors
 
@@ -151,6 +152,41 @@ class Search:
         self.best[who], self.point[who] = np.take_along_axis(cosine, rank, 1), np.take_along_axis(point, rank, 1)
 
 
+def within(tree: Tree, queries: np.ndarray, floors: np.ndarray, factor: float):
+    """(queries, points) of each leaf whose cosine is not below the query's floor,
+    but for rounding; the tree is walked with the same pruning."""
+    unit = queries / np.sqrt((queries * queries).sum(axis=1))[:, None]
+    reach = factor * angle(floors) + SLACK
+    open_ = [(0, np.arange(len(unit)))]
+    while open_:
+        number, who = open_.pop()
+        vantage, border, lo, _, hi = tree.nodes[number]
+        if vantage < 0:
+            points = tree.order[lo:hi]
+            near = unit[who] @ tree.unit[points].T >= floors[who, None] - ROUNDING
+            at, point = np.nonzero(near)
+            if len(at):
+                yield who[at], points[point]
+            continue
+        d = angle(unit[who] @ tree.unit[vantage])
+        for child, near in zip(tree.children[number], (d - reach[who] <= border, d + reach[who] >= border)):
+            if near.any():
+                open_.append((child, who[near]))
+
+
+def best_of(query: np.ndarray, found: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """Of each query the k ids with the largest scores, the smaller of equal ones;
+    an id counts once."""
+    order = np.lexsort((-score, found, query))
+    query, found, score = query[order], found[order], score[order]
+    first = np.append(True, (query[1:] != query[:-1]) | (found[1:] != found[:-1])) if len(query) else np.zeros(0, bool)
+    query, found, score = query[first], found[first], score[first]
+    order = np.lexsort((found, -score, query))
+    query, found, score = query[order], found[order], score[order]
+    rank = np.arange(len(query)) - np.searchsorted(query, query)
+    return query[rank < k], found[rank < k], score[rank < k]
+
+
 def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, id, score) of the k nearest ids of a shard, by place of the query."""
     vectors, queries = scaled(vectors), scaled(queries)
@@ -162,9 +198,9 @@ def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
     starts = np.searchsorted(point_of, np.arange(len(points) + 1))
     tree = Tree(points)
     out = ([], [], [])
-    # One more than k: the query's own vector may be among them.  Points as near
-    # as the last one, but for rounding, could also be listed; three more are kept.
-    # Points may share ids: queries with fewer than k ids so far ask for more points.
+    # More than k: the query's own vector may be among them, and points may share
+    # ids; queries with fewer than k ids so far ask for more points.  This gives
+    # the k-th score; which ids tie with it follows.
     asked, width = np.arange(len(queries)), min(k + 4, len(points))
     while len(asked):
         missing = []
@@ -188,7 +224,30 @@ def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
                 out[1].extend(listed)
                 out[2].extend(listed.values())
         asked, width = np.array(missing, np.int64), min(2 * width, len(points))
-    return np.array(out[0], np.int64), np.array(out[1], np.int64), np.array(out[2])
+    best = best_of(np.array(out[0], np.int64), np.array(out[1], np.int64), np.array(out[2], float), k)
+    full, last = np.unique(best[0][::-1], return_index=True)  # place of each query's last score
+    last = len(best[0]) - 1 - last
+    full, floors = full[last - np.searchsorted(best[0], full) == k - 1], best[2][last[last - np.searchsorted(best[0], full) == k - 1]]
+    # Every point as near as the last, however many there are: ties go by id.
+    step = max(FOUND_POINTS // (LEAF * max(vectors.shape[1], 1)), 1)
+    done = [tuple(c[~np.isin(best[0], full)] for c in best)]
+    for i in range(0, len(full), step):
+        part, floor = full[i : i + step], floors[i : i + step]
+        held, size = [], 0
+        for who, at in within(tree, queries[part], floor, factor):
+            score = cosines(queries[part[who]], points[at])
+            many = np.minimum(starts[at + 1] - starts[at], k + 1)  # the smallest ids of equal vectors
+            place = np.repeat(starts[at], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            query, score = np.repeat(part[who], many), np.repeat(score, many)
+            other = ids[place] != query_ids[query]
+            held.append((query[other], ids[place][other], score[other]))
+            size += len(held[-1][0])
+            if size > 4 * k * step:
+                held = [best_of(*[np.concatenate(c) for c in zip(*held)], k)]
+                size = len(held[0][0])
+        if held:
+            done.append(best_of(*[np.concatenate(c) for c in zip(*held)], k))
+    return tuple(np.concatenate(c) for c in zip(*done))
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 5, factor: float = FACTOR) -> DataFrame:

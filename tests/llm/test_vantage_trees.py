@@ -88,6 +88,19 @@ def test_many_rows_of_one_id(spark):
         same(searched(spark, rows, k), brute_of_greatest(rows, k))
 
 
+def test_ties_go_to_the_smaller_id_however_many(spark, monkeypatch):
+    """Vectors of one direction, and small whole numbers with many equal cosines."""
+    line = [(i, [2.0 * i + 1.0, 0.0]) for i in range(60)]
+    got = searched(spark, line, 5)
+    for q in (0, 5, 55):
+        assert [i for i, _ in got[q]] == [i for i in range(6) if i != q][:5]
+    rng = np.random.default_rng(9)
+    bits = [(i, v.tolist()) for i, v in enumerate(rng.integers(0, 2, (700, 12)).astype(float)) if v.any()]
+    same(searched(spark, bits, 5), brute(bits, 5))
+    monkeypatch.setattr(vantage_trees, "SHARD_NUMBERS", 800)
+    same(searched(spark, bits, 5), brute(bits, 5))
+
+
 def brute_of_greatest(rows, k):
     """As ``brute``; as a query the greatest vector of an id counts."""
     out = {}
