@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterframe.llm.boxed import boxed, own, unboxed
+
 MAX_RATE = 8.0  # of one Poisson number
 STEPS = 60  # the chance of a larger number at this rate is below 1e-30
 BROADCAST_SOURCES = 20_000  # rows of about 100 bytes
@@ -81,11 +83,11 @@ def mix(docs: DataFrame, weights: Column, seed: int = 1, total: float | None = N
     """The mixture, in global order of ``mix_key``."""
     kept = docs.drop("copy_no", "mix_key")  # replaced by the mixture's own
     rate, sources = rates(kept, weights, total)
-    rate = rate.select(F.col("source").alias("_source"), F.col("rate").alias("_rate"))
+    rate = rate.select(F.col("source").alias("of"), "rate")
     if sources <= BROADCAST_SOURCES:  # counted; same rows either way, but documents need not move
         rate = F.broadcast(rate)
-    rows = kept.join(rate, kept["source"].eqNullSafe(rate["_source"]))
-    numbered = rows.withColumn("_n", copies(kept["doc_id"], F.col("_rate"), seed)).where("_n > 0")
-    repeated = numbered.withColumn("copy_no", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    keyed = repeated.withColumn("mix_key", uniform(F.lit(seed), F.lit("o"), F.col("copy_no"), F.col("doc_id")))
-    return keyed.select(*kept.columns, "copy_no", "mix_key").sort("mix_key", "doc_id", "copy_no")
+    rows = boxed(kept).join(rate, own("source").eqNullSafe(F.col("of")))
+    numbered = rows.withColumn("n", copies(own("doc_id"), F.col("rate"), seed)).where("n > 0")
+    repeated = numbered.select("row", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("copy_no"))
+    keyed = repeated.withColumn("mix_key", uniform(F.lit(seed), F.lit("o"), F.col("copy_no"), own("doc_id")))
+    return unboxed(keyed.sort("mix_key", own("doc_id"), "copy_no"), kept.columns, "copy_no", "mix_key")

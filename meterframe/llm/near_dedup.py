@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterframe.llm.boxed import boxed, own, unboxed
 from meterframe.llm.components import components
 from meterframe.llm.shingles import WordHashes, mixed, set_key, shingles
 from meterframe.session import durable
@@ -270,18 +271,19 @@ def without_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     chosen = worded.groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "cls")).alias("one")
     ).select("one.doc_id", "one.cls")
-    twice = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").select(F.col("doc_id").alias("_id"))
+    twice = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").select(F.col("doc_id").alias("gone"))
     twice = durable(twice, "ids")
-    gone = worded.where("not (doc_id <=> least)").where("doc_id is not null").select(F.col("doc_id").alias("_id"))
+    gone = worded.where("not (doc_id <=> least)").where("doc_id is not null").select(F.col("doc_id").alias("gone"))
+    rows, doc_id = boxed(docs), own("doc_id")
     if twice.isEmpty():
-        return docs.join(_small(durable(gone, "gone")), docs["doc_id"] == F.col("_id"), "left_anti")
-    single = docs.join(_small(durable(gone.join(twice, "_id", "left_anti"), "gone")), docs["doc_id"] == F.col("_id"), "left_anti")
-    single = single.join(_small(twice), single["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
-    several = docs.join(_small(twice), docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi").withColumn("_cls", class_of(F.col("text")))
-    chosen = chosen.select(F.col("doc_id").alias("_doc_id"), F.col("cls").alias("_chosen"))
-    one = several.join(chosen, several["doc_id"].eqNullSafe(F.col("_doc_id")) & (F.col("_cls") == F.col("_chosen")), "left_semi")
-    one = one.dropDuplicates(["doc_id", "_cls"])
-    return single.union(one.drop("_cls")).union(several.where("_cls is null").drop("_cls"))
+        return unboxed(rows.join(_small(durable(gone, "gone")), doc_id == F.col("gone"), "left_anti"), docs.columns)
+    single = rows.join(_small(durable(gone.join(twice, "gone", "left_anti"), "gone")), doc_id == F.col("gone"), "left_anti")
+    single = single.join(_small(twice), doc_id.eqNullSafe(F.col("gone")), "left_anti")
+    several = rows.join(_small(twice), doc_id.eqNullSafe(F.col("gone")), "left_semi").withColumn("cls", class_of(own("text")))
+    chosen = chosen.select(F.col("doc_id").alias("id"), F.col("cls").alias("of"))
+    one = several.join(chosen, doc_id.eqNullSafe(F.col("id")) & (F.col("cls") == F.col("of")), "left_semi")
+    one = one.withColumn("id", doc_id).dropDuplicates(["id", "cls"])
+    return unboxed(single.unionByName(one.select("row")).unionByName(several.where("cls is null").select("row")), docs.columns)
 
 
 def class_of(text: Column) -> Column:

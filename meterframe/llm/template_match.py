@@ -37,6 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterframe.llm.boxed import boxed, own, unboxed
 from meterframe.llm.shingles import mixed
 from meterframe.session import durable
 
@@ -265,8 +266,8 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs in which no item was found."""
-    found = durable(find(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text")).distinct(), "found")
+    found = durable(find(docs, benchmark).select(F.col("doc_id").alias("id"), "text_hash").distinct(), "found")
     if found.count() <= BROADCAST_ROWS:  # counted; same rows either way, but texts need not move
         found = F.broadcast(found)
-    hit = docs["doc_id"].cast("bigint").eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_text"))
-    return docs.join(found, hit, "left_anti")
+    hit = own("doc_id").cast("bigint").eqNullSafe(F.col("id")) & (F.xxhash64(own("text")) == F.col("text_hash"))
+    return unboxed(boxed(docs).join(found, hit, "left_anti"), docs.columns)
