@@ -42,6 +42,7 @@ LEAST_VALUE, LEAST_ACCESS = 6, 20
 GITHUB = re.compile(r"gh[pousr]_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 NPM = re.compile(r"npm_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 JWT = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)")
+JWT_RUN = re.compile(r"[A-Za-z0-9_-]*")
 KEY = re.compile(r"-----BEGIN ([A-Z ]*)PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END \1PRIVATE KEY-----")
 KEYWORDS = {
     **dict.fromkeys(("password", "passwd", "secret", "token", "apikey", "api_key"), "assign"),
@@ -121,6 +122,8 @@ class Scanner:
                     free = m.end()
                     if passes(m):
                         found.append((kind, start, free))
+                elif kind == "jwt" and start >= free and text.startswith("eyJ", start):
+                    free = JWT_RUN.match(text, start).end()  # what follows the run decides for all starts in it
         return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

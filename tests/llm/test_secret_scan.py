@@ -1,5 +1,6 @@
 import base64
 import json
+import time
 import zlib
 
 from hypothesis import given, settings
@@ -54,3 +55,25 @@ def test_rows(spark):
 
 def test_empty_table(spark):
     assert secret_scan.digest(secret_scan.scan(spark.createDataFrame([], "doc_id long, text string"))).collect() == []
+
+
+TOKENS = st.sampled_from(["eyJ", "eyj", "eyJhbGciOiAibm9uZSJ9", ".", "..", "e30", "-", "_", " ", "ghp_", "npm_", with_crc("ghp_", "a1B2" * 7 + "zz"), "Q" * 30, "-----BEGIN PRIVATE KEY-----", "\nTUlJ\n", "-----END PRIVATE KEY-----"])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(TOKENS, max_size=12).map("".join))
+def test_added_kinds_match_their_patterns_over_the_whole_text(text):
+    plain = []
+    for kind in ("github", "npm", "jwt", "key"):
+        pattern, passes = secret_scan.RULES[kind]
+        plain += [(kind, *m.span()) for m in pattern.finditer(text) if passes(m)]
+    assert sorted(s for s in SCANNER.spans(text) if s[0] in ("github", "npm", "jwt", "key")) == sorted(plain)
+
+
+def test_time_grows_with_the_text():
+    head = "eyJhbGciOiAibm9uZSJ9"
+    for text in ("eyJ" * 1_000_000, "eyJ" * 300_000 + "." + "eyJ" * 300_000, "eyJa." * 200_000 + " "):
+        start = time.perf_counter()
+        SCANNER.spans(text)
+        assert time.perf_counter() - start < 5
+    assert [s[0] for s in SCANNER.spans("eyJ" * 1000 + f" {head}.e30.c2ln")] == ["jwt"]
