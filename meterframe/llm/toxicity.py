@@ -10,12 +10,14 @@ gradient steps, which puts the blame on sentences.
 
 ``fit`` learns from at most ``SAMPLE_ROWS`` labelled documents, those of least
 hash of their id, each cut into sentence features inside Spark tasks.  Features
-that fewer than ``LEAST_DOCS`` sample documents hold, or whose documents are
-toxic about as often as others, have no weight; this is counted over whole
-texts.  Only the other features come to the driver, sentences with the same ones
-once with their number.  A document sends at most ``DOC_FEATURES`` of them: of a
-text with more, the sentences of least hash.  The model has a fixed size,
-``2 ** BITS`` weights.  ``score`` reads every whole text.
+that fewer than ``least_docs`` sample documents hold (one in a thousand, at least
+two), or whose documents are toxic about as often as others, have no weight; this
+is counted over whole texts.  Only the other features come to the driver, sentences
+with the same ones once with their number.  A document is learned from whole or not
+at all: in the order of the hash, those are taken with which the sample has at most
+``SAMPLE_FEATURES`` features, so that one that does not fit does not end it.  (With
+``DOC_FEATURES`` set, longer ones send their sentences of least hash instead.)
+The model has a fixed size, ``2 ** BITS`` weights.  ``score`` reads every whole text.
 
 Texts that are null or empty have no sentence and score the sentence bias
 alone.  Rows are answered one by one, also repeated ones; of rows with the same
@@ -44,8 +46,8 @@ from meterframe.session import durable
 BITS = 18
 BEGINNINGS = (4,)  # letters; words of at least so many have these features too
 SAMPLE_ROWS = 6_000
-DOC_FEATURES = 1_333  # 8 million for all sample rows
-LEAST_DOCS = 6
+SAMPLE_FEATURES = 8_000_000
+DOC_FEATURES: int | None = None
 LEAST_Z = 4.5  # standard deviations between a feature's toxic documents and chance
 STEPS, RATE, DECAY = 200, 0.1, 1e-3
 CACHED_WORDS = 200_000
@@ -128,6 +130,10 @@ def labelled(docs: DataFrame, labels: DataFrame, train: Column) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
+def least_docs(rows: float) -> float:
+    return max(2, rows / 1000)
+
+
 def feature_counts(sample: DataFrame) -> DataFrame:
     """Per feature the sample documents that hold it, and the toxic ones among
     them; as feature -1, all documents with a sentence."""
@@ -158,6 +164,8 @@ def sample_features(sample: DataFrame, keep: np.ndarray) -> DataFrame:
 
     def share(found: dict[bytes, int]) -> list[bytes]:
         sets = sorted(found, key=lambda b: (xxhash.xxh3_64_intdigest(b), b))
+        if DOC_FEATURES is None:
+            return sets
         ends = np.cumsum([len(b) // 4 for b in sets])
         return sets[: max(int(np.searchsorted(ends, DOC_FEATURES, "right")), 1)]
 
@@ -184,6 +192,18 @@ def sample_features(sample: DataFrame, keep: np.ndarray) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, toxic int, flat binary, counts binary, times binary")
 
 
+def chosen(features: DataFrame) -> DataFrame:
+    """The rows of the sample, in the order of their ids' hash, with which it has at
+    most ``SAMPLE_FEATURES`` features."""
+    sizes = features.select("doc_id", F.xxhash64("doc_id").alias("h"), (F.length("flat") / 4).cast("bigint").alias("n"))
+    left, ids = SAMPLE_FEATURES, []
+    for r in sorted(sizes.collect(), key=lambda r: (r["h"], r["doc_id"])):  # at most SAMPLE_ROWS rows
+        if r["n"] <= left:
+            left -= r["n"]
+            ids.append((r["doc_id"],))
+    return features.join(F.broadcast(features.sparkSession.createDataFrame(ids, "doc_id long")), "doc_id")
+
+
 def fit(docs: DataFrame, labels: DataFrame, train: Column) -> Model:
     sample = durable(labelled(docs, labels, train), "sample")  # at most SAMPLE_ROWS texts
     counted = feature_counts(sample).toArrow()  # at most 2 ** BITS + 1 rows
@@ -193,10 +213,13 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column) -> Model:
     empty = Model(np.zeros(1 << BITS), -30.0)
     if not 0 < toxic[0] < n[0]:
         return empty
-    rate, n, toxic = toxic[0] / n[0], n[1:], toxic[1:]
+    rows_in_all, rate, n, toxic = n[0], toxic[0] / n[0], n[1:], toxic[1:]
     z = np.abs(toxic - n * rate) / np.sqrt(np.maximum(n, 1) * rate * (1 - rate))
     odds = np.log((toxic + 1) / (n - toxic + 1)) - np.log(rate / (1 - rate))
-    rows = sorted(sample_features(sample, (n >= LEAST_DOCS) & (z >= LEAST_Z)).toArrow().to_pylist(), key=lambda r: r["doc_id"])
+    features = durable(sample_features(sample, (n >= least_docs(rows_in_all)) & (z >= LEAST_Z)), "features")
+    rows = sorted(chosen(features).toArrow().to_pylist(), key=lambda r: r["doc_id"])
+    if not rows:
+        return empty
     y = np.array([r["toxic"] > 0 for r in rows], float)
     flat, per_sentence, times = [np.concatenate([np.frombuffer(r[c], "<i4") for r in rows]).astype(np.int64) for c in ("flat", "counts", "times")]
     doc_of = np.repeat(np.arange(len(rows)), [len(r["counts"]) // 4 for r in rows])

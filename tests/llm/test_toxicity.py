@@ -134,3 +134,62 @@ def test_a_document_sends_a_bounded_share(spark, monkeypatch):
     rows = {r.doc_id: r for r in toxicity.sample_features(sample, np.ones(1 << toxicity.BITS, bool)).collect()}
     assert set(rows) == {1, 2} and 0 < len(rows[1].flat) <= 4 * 20
     assert sorted(np.frombuffer(rows[2].times, "<i4").tolist()) == [1, 500]
+
+
+def test_rows_are_learned_from_whole_up_to_the_bound(spark, monkeypatch):
+    texts = [(1, 1, ". ".join(f"{a} {b}" for a in WORDS[:30] for b in WORDS[30:])), (2, 0, "balan mer. nutus"), (3, 0, "..."), (4, 1, "kepix ron")]
+    sample = spark.createDataFrame(texts, "doc_id long, toxic int, text string")
+    features = toxicity.sample_features(sample, np.ones(1 << toxicity.BITS, bool))
+    size = {r.doc_id: len(r.flat) // 4 for r in features.collect()}
+    assert set(size) == {1, 2, 4} and size[1] > 1333
+    assert {r.doc_id for r in toxicity.chosen(features).collect()} == {1, 2, 4}
+    monkeypatch.setattr(toxicity, "SAMPLE_FEATURES", size[2] + size[4])  # the long row does not fit, and ends nothing
+    assert {r.doc_id: len(r.flat) // 4 for r in toxicity.chosen(features).collect()} == {2: size[2], 4: size[4]}
+
+
+def test_few_toxic_rows_of_a_small_table(spark):
+    rng = random.Random(2)
+    docs = [(i, " ".join(rng.choice(WORDS) for _ in range(12)) + (". you grolk." if i < 5 else ".")) for i in range(200)]
+    known = spark.createDataFrame([(i, int(i < 5)) for i in range(200)], "doc_id long, toxic int")
+    model = toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string"), known, F.lit(True))
+    weights = toxicity.Weights(model)
+    assert toxicity.score_text("balan mer. you grolk", weights)[0] > 0.5 > toxicity.score_text("balan mer. you", weights)[0]
+
+
+def test_fit_against_a_dense_one(spark):
+    """The same objective with full matrices, one row per sentence of each document."""
+    docs, labels = corpus(400, 8)
+    model = toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string, score double"), spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
+    table, y = toxicity.Features(), np.array([b for _, b in labels], float)
+    parts = [[sorted({f for w in ws for f in table[w]}) for _, _, ws in toxicity.sentences(t)] for _, t, _ in docs]
+    raw = [[sorted(f for w in ws for f in table[w]) for _, _, ws in toxicity.sentences(t)] for _, t, _ in docs]
+    held = np.zeros((len(docs), 1 << toxicity.BITS), bool)
+    for i, sentences in enumerate(parts):
+        for fs in sentences:
+            held[i, fs] = True
+    n, bad, rate = held.sum(0), held[y > 0].sum(0), y.mean()
+    z = np.abs(bad - n * rate) / np.sqrt(np.maximum(n, 1) * rate * (1 - rate))
+    used = np.flatnonzero((n >= 2) & (z >= toxicity.LEAST_Z))
+    x = [[np.array([fs.count(f) for f in used], float) for fs in sentences] for sentences in raw]
+    of = np.array([i for i, sentences in enumerate(x) for r in sentences if r.any()])
+    x = np.array([r for sentences in x for r in sentences if r.any()])
+    prior = np.append(np.log((bad[used] + 1) / (n[used] - bad[used] + 1)) - np.log(rate / (1 - rate)), [-6.0, -6.0])
+    member = (of[None, :] == np.arange(len(docs))[:, None]).astype(float)
+
+    def loss_gradient(w):
+        s = 1 / (1 + np.exp(-(x @ w[:-2] + w[-2])))
+        leak = 1 / (1 + np.exp(-w[-1]))
+        clean = (1 - leak) * np.exp(member @ np.log1p(-np.minimum(s, 1 - 1e-9)))
+        p = np.clip(1 - clean, 1e-9, 1 - 1e-9)
+        d_none = np.where(y > 0, (1 - p) / p, -1.0) / len(y)  # of the loss, by the log of ``clean``, with a minus
+        d_z = -s * (member.T @ d_none)
+        return np.concatenate([x.T @ d_z, [d_z.sum(), -leak * d_none.sum()]]) + toxicity.DECAY * (w - prior)
+
+    w, m, v = prior.copy(), np.zeros_like(prior), np.zeros_like(prior)
+    for step in range(1, toxicity.STEPS + 1):
+        g = loss_gradient(w)
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g**2
+        w = w - toxicity.RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    assert set(np.flatnonzero(model.weights)) == set(used)
+    assert np.allclose(model.weights[used], w[:-2], atol=1e-6)
+    assert math.isclose(model.bias, w[-2], abs_tol=1e-6) and math.isclose(model.leak, 1 / (1 + math.exp(-w[-1])), abs_tol=1e-6)
