@@ -102,7 +102,7 @@ def op6_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_template_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = template_match.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = template_match.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), least_words=1)
     return found.groupBy("doc_id", "item_id").agg(
         F.max("n_windows").alias("n_windows"), F.max("n_slots").alias("n_slots"), F.min("kind").alias("kind")
     )

@@ -15,14 +15,15 @@ such assignment count; the item is found if they cover more than ``SHARE`` perce
 A word counts by what stands before it, so the first window of an item may look
 different in a document.  An item without a window behind the first that says
 enough also has windows of its plain words, with no placeholders; it is
-``exact`` where all of them stand together.
+``exact`` where all of them stand together.  Items below ``LEAST_WORDS`` words have
+only that one window, and count where it stands between sentence or line marks.
 
 A bit table of fixed size (``2 ** TABLE_BITS`` bits), filled from all windows of
 the benchmark, is sent to the tasks; windows it does not know cannot join and
 stay where they are.  All others are joined exactly.
 
-Null and empty texts hold nothing; items below ``LEAST_WORDS`` words are not
-searched; items with a null id are answered under it.  Rows of equal
+Null and empty texts hold nothing; items below ``least_words`` words (1 for whole
+benchmarks) or of marks alone are not searched; items with a null id are answered under it.  Rows of equal
 ``doc_id`` and text are answered once.  Other columns are ignored.
 """
 
@@ -43,7 +44,8 @@ from meterframe.session import durable
 
 WINDOW = 8
 LEAST_WORDS = 5
-SHARE = 80  # percent of an item's words
+SHARE = 80  # percent of an item's words, if slots do not fit
+REMOVE_SHARE, PASSAGE = 50, 50  # percent; words
 TABLE_BITS = 24
 CACHED_WORDS = 400_000  # per task
 BROADCAST_ROWS = 200_000
@@ -58,6 +60,7 @@ UNITS = frozenset(
     "euro euros degree degrees mph kmh kb mb gb tb hz khz mhz w kw kwh v volt volts joule joules".split()
 )
 
+NOTHING = np.uint64(xxhash.xxh3_64_intdigest(""))  # a word of marks alone
 PLAIN_KEY = np.uint64(0x5851F42D4C957F2D)  # sets the hashes of plain windows apart
 WINDOWS = "key bigint, at int, hash bigint, slots array<struct<place:int,kind:int,value:bigint>>"
 SLOT = pa.struct([("place", pa.int32()), ("kind", pa.int32()), ("value", pa.int64())])
@@ -121,6 +124,15 @@ def window_hashes(template: np.ndarray, kind: np.ndarray, width: int) -> tuple[n
     return mixed(total), 2 * (plain[width:] - plain[:n]) >= width
 
 
+def between_marks(text: str, ends: np.ndarray, width: int) -> np.ndarray:
+    """Whether the window that begins at each word has a sentence or line mark,
+    or an end of the text, on either side.  ``ends``: a sentence ends behind the word."""
+    cut = np.append(True, ends)
+    cut[np.cumsum([len(line.split()) for line in text.splitlines()])] = True
+    cut[-1] = True
+    return cut[:-width] & cut[width:]
+
+
 def plain_hashes(value: np.ndarray, width: int) -> np.ndarray:
     return window_hashes(value, np.zeros(len(value), np.int8), width)[0] ^ PLAIN_KEY
 
@@ -138,7 +150,7 @@ def _rows(key: int, at: np.ndarray, hashes: np.ndarray, width: int, kind: np.nda
 WINDOW_ARROW = pa.schema([("key", pa.int64()), ("at", pa.int32()), ("hash", pa.int64()), ("slots", pa.list_(SLOT))])
 
 
-def item_windows(benchmark: DataFrame) -> DataFrame:
+def item_windows(benchmark: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """item_id, at, hash, slots and width of all windows of the items, and the
     items' numbers of words."""
     rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -150,8 +162,9 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
             for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text")):
                 template, kind, value = words.template(text.as_py())
                 width = min(WINDOW, len(template))
-                if width >= LEAST_WORDS:
+                if width >= max(least_words, 1) and (value != NOTHING).any():
                     hashes, good = window_hashes(template, kind, width)
+                    good &= width >= LEAST_WORDS
                     found = [{**r, "width": width, "words": len(template), "plain": False} for r in _rows(item, np.flatnonzero(good), hashes, width, kind, value)]
                     if not good[1:].any():
                         hashes = plain_hashes(value, width)
@@ -182,12 +195,15 @@ def doc_windows(docs: DataFrame, table: np.ndarray, widths: list[tuple[int, bool
         words, bits = Words(), shared.value
         for batch in batches:
             for doc_id, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist(), batch.column("text")):
-                template, kind, value = words.template(text.as_py())
+                text = text.as_py()
+                template, kind, value = words.template(text)
                 for width, plain in widths:
+                    if len(value) < width:
+                        continue
                     if plain:
                         hashes, good, slots = plain_hashes(value, width), True, np.zeros_like(kind)
-                        if len(value) < width:
-                            continue
+                        if width < LEAST_WORDS:
+                            good = between_marks(text, words.ends[words.numbers(text.split())], width)
                     else:
                         (hashes, good), slots = window_hashes(template, kind, width), kind
                     place = hashes >> np.uint64(64 - TABLE_BITS)
@@ -200,16 +216,14 @@ def doc_windows(docs: DataFrame, table: np.ndarray, widths: list[tuple[int, bool
     return rows.mapInArrow(run, WINDOWS + ", doc_id bigint").withColumnRenamed("key", "text_hash")
 
 
-AGREEING = "n_windows bigint, n_slots bigint, same boolean, covered int"
+AGREEING = "n_windows bigint, n_slots bigint, same boolean, places array<int>"
 
 
 def agreeing(windows, width):
     """Of windows (at, slots) whose slots do not fit together: those that agree
-    with one assignment of values, and the words they cover.  Tried are equal
+    with one assignment of values, and where they begin.  Tried are equal
     values and, if each value of the item stands for one in the document, pairs
     taken by the number of windows that hold them."""
-    if windows is None:
-        return None
     held = [(w["at"], {(p["kind"], p["item"], p["doc"]) for p in w["slots"]}) for w in windows]
     counts = Counter(p for _, pairs in held for p in pairs)
     equal = {p for p in counts if p[1] == p[2]}
@@ -225,20 +239,19 @@ def agreeing(windows, width):
         mine = [(at, pairs) for at, pairs in held if pairs <= chosen]
         pairs = set().union(*[p for _, p in mine])
         covered = len({at + i for at, _ in mine for i in range(width)})
-        found = (len(mine), len(pairs), all(p[1] == p[2] for p in pairs), covered)
-        if best is None or found[3] > best[3]:
-            best = found
-    return best
+        if best is None or covered > best[0]:
+            best = covered, (len(mine), len(pairs), all(p[1] == p[2] for p in pairs), [at for at, _ in mine])
+    return best[1]
 
 
-def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, item_id, n_windows, n_slots, kind) of items found."""
-    items = durable(item_windows(benchmark), "items")
+def find(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """(doc_id, text_hash, item_id, n_windows, n_slots, kind, covered, words) of items found."""
+    items = durable(item_windows(benchmark, least_words), "items")
     widths = sorted((r["width"], r["plain"]) for r in items.select("width", "plain").distinct().collect())  # at most 2 * WINDOW
     windows = durable(doc_windows(docs, bit_table(items), widths), "windows").dropDuplicates(["doc_id", "text_hash", "at", "hash"])
     there = items.select("item_id", "hash", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), "width", "words", "plain")
     hits = windows.join(there, "hash").select(
-        "doc_id", "text_hash", "item_id", "width", "words", "plain", (F.col("at") - F.col("item_at")).alias("offset"), "at",
+        "doc_id", "text_hash", "item_id", "width", "words", "plain", (F.col("at") - F.col("item_at")).alias("offset"), F.col("item_at").alias("at"),
         F.zip_with("item_slots", "slots", lambda i, d: F.struct(i["kind"].alias("kind"), i["value"].alias("item"), d["value"].alias("doc"))).alias("slots"),
     )
     together = hits.groupBy("doc_id", "text_hash", "item_id", "offset", "width", "words", "plain").agg(F.collect_set(F.struct("at", "slots")).alias("windows"))
@@ -250,23 +263,36 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return F.size(F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"].alias("k"), *[p[n].alias(n) for n in names]))))
 
     fits = (distinct("item") == F.size("pairs")) & (distinct("doc") == F.size("pairs"))
-    same = F.forall("pairs", lambda p: p["item"] == p["doc"])
-    judged = together.withColumns({"fits": fits, "same": same}).withColumn("part", F.udf(agreeing, AGREEING)(F.when(~F.col("fits"), F.col("windows")), "width"))
+    judged = durable(together.withColumn("fits", fits), "judged")
 
-    def of(name: str, whole: Column) -> Column:
-        return F.when(F.col("fits"), whole).otherwise(F.col(f"part.{name}")).alias(name)
+    def places(begins: Column) -> Column:  # words of the item below windows that begin there
+        return F.array_distinct(F.flatten(F.transform(begins, lambda a: F.sequence(a, a + F.col("width") - 1)))).alias("places")
 
+    facts = ("doc_id", "text_hash", "item_id", "words")
+    whole = judged.where("fits").select(
+        *facts, "n_windows", F.size("pairs").cast("bigint").alias("n_slots"), F.forall("pairs", lambda p: p["item"] == p["doc"]).alias("same"), places(F.col("windows.at"))
+    )
+    # Few windows do not fit; only they are sent to Python.
+    parts = judged.where("not fits").withColumn("part", F.udf(agreeing, AGREEING)("windows", "width"))
+    parts = parts.select(*facts, "part.n_windows", "part.n_slots", "part.same", places(F.col("part.places")))
     return (
-        judged.where(F.col("fits") | (100 * F.col("part.covered") > SHARE * F.col("words")))
-        .select("doc_id", "text_hash", "item_id", of("n_windows", F.col("n_windows")), of("n_slots", F.size("pairs").cast("bigint")), of("same", F.col("same")))
-        .groupBy("doc_id", "text_hash", "item_id")
-        .agg(F.max("n_windows").alias("n_windows"), F.max("n_slots").alias("n_slots"), F.when(F.max("same"), "exact").otherwise("reparameterised").alias("kind"))
+        whole.unionByName(parts.where(100 * F.size("places") > SHARE * F.col("words")))
+        .groupBy(*facts)
+        .agg(
+            F.max("n_windows").alias("n_windows"),
+            F.max("n_slots").alias("n_slots"),
+            F.when(F.max("same"), "exact").otherwise("reparameterised").alias("kind"),
+            F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("covered"),
+        )
+        .select("doc_id", "text_hash", "item_id", "n_windows", "n_slots", "kind", "covered", "words")
     )
 
 
-def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs in which no item was found."""
-    found = durable(find(docs, benchmark).select(F.col("doc_id").alias("id"), "text_hash").distinct(), "found")
+def without_benchmark(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WORDS, share: int = REMOVE_SHARE, passage: int = PASSAGE) -> DataFrame:
+    """The rows of docs that hold no item: of each, less than ``share`` percent of
+    its words and less than ``passage`` words."""
+    there = (100 * F.col("covered") >= share * F.col("words")) | (F.col("covered") >= passage)
+    found = durable(find(docs, benchmark, least_words).where(there).select(F.col("doc_id").alias("id"), "text_hash").distinct(), "found")
     if found.count() <= BROADCAST_ROWS:  # counted; same rows either way, but texts need not move
         found = F.broadcast(found)
     hit = own("doc_id").cast("bigint").eqNullSafe(F.col("id")) & (F.xxhash64(own("text")) == F.col("text_hash"))

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from meterframe.llm import template_match as tm
 
 ITEMS = [
@@ -89,3 +91,98 @@ def test_exact_copies_of_short_and_slot_heavy_items(spark):
     items = [(1, "What is the capital city of France?"), (2, "5 km 6 km 7 km 8 km 9 km 10 km"), (3, "Anna Otto Karl Maria Tom Paul Eva Lena Nora")]
     docs = [(1, "Q7 " + items[0][1]), (2, "a heading\n" + items[0][1]), (3, filler(3) + items[1][1]), (4, "seen: " + items[2][1] + " there"), (5, "5 km 6 km 7 km 8 km 9 km 11 km")]
     assert found(spark, docs, items) == [(1, 1, "exact"), (2, 1, "exact"), (3, 2, "exact"), (4, 3, "exact")]
+
+
+def removed(spark, docs, items, **options):
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    return {i for i, _ in docs} - {r.doc_id for r in tm.without_benchmark(d, b, **options).collect()}
+
+
+def test_items_of_a_few_words(spark):
+    items = [(1, "Name the capital of"), (2, "2+2 equals?"), (3, "..."), (4, "Why"), (5, "name two primes below ten")]
+    docs = [
+        (1, "name the capital of"), (2, "2+2 equals?"), (3, "A list: Name the capital of\nthe next line"), (4, "they name the capital of France"), (5, "That is so. 2+2 equals? Four."),
+        (6, "we see that 2+2 equals four"), (7, "* * * ... ---\n***"), (8, "Why? Because."), (9, "nobody knows why it is so"), (10, "so name two primes below ten please"), (11, ""), (12, None),
+    ]
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.kind, r.covered, r.words) for r in tm.find(*frames, least_words=1).collect())
+    assert got == [(1, 1, "exact", 4, 4), (2, 2, "exact", 2, 2), (3, 1, "exact", 4, 4), (5, 2, "exact", 2, 2), (8, 4, "exact", 1, 1), (10, 5, "exact", 5, 5)]
+    assert removed(spark, docs, items, least_words=1) == {1, 2, 3, 5, 8, 10} and removed(spark, docs, items) == {10}
+
+
+def test_one_share_rule(spark):
+    item = "The old farm by the river keeps forty hens and each of the hens lays 12 eggs in every week of the long and quiet summer, so how many eggs are there?"
+    other = item.replace("12", "9")
+    cut = " ".join(item.split()[:9]) + " more than you would think, " + " ".join(item.split()[9:])
+    odd = "All of them say that one of the hens lays 12 eggs in every week of the year."
+    docs = [(1, filler(1) + item), (2, filler(2) + other), (3, odd), (4, filler(3) + cut), (5, " ".join(item.split()[:12])), (6, odd * 40)]
+    assert removed(spark, docs, [(1, item)]) == {1, 2, 4}
+    assert removed(spark, docs, [(1, item)], share=1) == {1, 2, 3, 4, 5, 6}
+    long = " ".join(f"w{i}" for i in range(600))
+    docs = [(1, filler(4) + " ".join(f"w{i}" for i in range(100, 160))), (2, filler(5) + " ".join(f"w{i}" for i in range(100, 130)))]
+    assert removed(spark, docs, [(1, long)]) == {1}
+
+
+def plainly(text):
+    """(template word, kind, value) of each word."""
+    out, first, number = [], True, False
+    for w in text.split():
+        bare = w.strip(tm.MARKS)
+        kind = 0
+        if tm.NUMERIC.fullmatch(bare):
+            kind = 1
+        elif number and bare.lower() in tm.UNITS:
+            kind = 2
+        elif not first and bare[:1].isupper() and bare[1:].islower():
+            kind = 3
+        out.append((kind or bare.lower(), kind, bare.lower()))
+        first, number = w.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":") and w != "", kind == 1
+    return out
+
+
+def all_pairs(docs, items):
+    """Items whose windows at one offset all fit, by comparing every window with every other."""
+    found = set()
+    for doc_id, text in docs:
+        for item_id, item in items:
+            d, i = plainly(text), plainly(item)
+            for offset in range(-len(i), len(d)):
+                pairs, hit = set(), False
+                for a in range(len(i) - 7):
+                    b = a + offset
+                    if b < 0 or b + 8 > len(d) or [x[0] for x in i[a : a + 8]] != [x[0] for x in d[b : b + 8]]:
+                        continue
+                    if sum(x[1] == 0 for x in i[a : a + 8]) < 4:
+                        continue
+                    hit = True
+                    pairs |= {(x[1], x[2], y[2]) for x, y in zip(i[a : a + 8], d[b : b + 8]) if x[1]}
+                if hit and len({p[:2] for p in pairs}) == len(pairs) == len({(p[0], p[2]) for p in pairs}):
+                    found.add((doc_id, item_id, all(p[1] == p[2] for p in pairs)))
+    return {(d, i, "exact" if (d, i, True) in found else "reparameterised") for d, i, _ in found}
+
+
+def test_slots_against_all_pairs(spark):
+    rng = random.Random(4)
+    names, plain = "Anna Otto Karl Maria".split(), "has gives the and then keeps more apples to of all days".split()
+
+    def sentence(n):
+        return " ".join(rng.choice([rng.choice(plain), rng.choice(plain), rng.choice(names), f"{rng.randrange(3)}", "5 km"]) for _ in range(n)) + ". "
+
+    items = [(k, sentence(10) + sentence(8)) for k in range(12)]
+    docs = []
+    for k in range(80):
+        words = rng.choice(items)[1].split()
+        swap = dict(zip(names, rng.sample(names, 4))) if k % 2 else {}
+        words = [swap.get(w.strip("."), w) + ("." if w.endswith(".") and w.strip(".") in swap else "") for w in words]
+        if k % 3 == 0:
+            words[rng.randrange(len(words))] = str(rng.randrange(9))
+        docs.append((k, sentence(5) + " ".join(words[rng.randrange(4) :]) + " " + sentence(4)))
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    expected = all_pairs(docs, items)
+    got = {(r.doc_id, r.item_id, r.kind) for r in tm.find(d, b).collect()}
+    assert len(expected) > 40 and {k for _, _, k in expected} == {"exact", "reparameterised"}
+    assert expected <= got
+    for doc_id, item_id, _ in got - expected:  # the rest agree in part only, and cover most of the item
+        row = [r for r in tm.find(d.where(F.col("doc_id") == doc_id), b).collect() if r.item_id == item_id][0]
+        assert 100 * row.covered > tm.SHARE * row.words
