@@ -6,7 +6,7 @@ writes token ids and returns, per document read back from them, its place.
 
 1. ``toxicity``          documents scored toxic by a model of the labels go
 2. ``near_dedup``        one document of each group of near duplicates stays
-3. ``decontamination``   documents that hold a benchmark item go
+3. ``decontamination``   documents that hold half of a benchmark item go
 4. ``mixing``            sources are repeated or thinned to tempered weights
 5. ``token_ids``         ids are written in bit-plane blocks and read back
 
@@ -40,7 +40,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return template_match.without_benchmark(docs, table(spark, sf_dir, "benchmark"))
+    return template_match.without_benchmark(docs, table(spark, sf_dir, "benchmark"), least_words=1)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
