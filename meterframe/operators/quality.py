@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..schemas import TABLES, TableRules
@@ -65,6 +65,54 @@ def check_time_continuity(df: DataFrame, id_col: str = "object_id", **options) -
     return summary
 
 
+BIN_STEPS = 4096  # steps of time of one series that are looked at together
+
+
+def series_summary(
+    df: DataFrame, keys: Sequence[str], time: str = "timestamp", expected_step_hours: float = 1
+) -> DataFrame:
+    """(keys, first, last, rows, repeated, gaps) of each series and bin of time:
+    what the checks of keys, references and steps need, from one exchange of
+    keys and times.  ``repeated`` counts times that more than one row has, ``gaps``
+    steps within the bin that are too long; times are microseconds since 1970.
+
+    A series of any length is cut into bins, so none has to be in one task.
+    """
+    step = round(expected_step_hours * 3_600_000_000)
+    broken = reduce(Column.__or__, [F.col(c).isNull() for c in [*keys, time]])
+    message = f"rows have no {' or no '.join([*keys, time])}; remove them first (quality.drop_unkeyed)"
+    at = F.when(broken, F.raise_error(F.lit(message)).cast("bigint")).otherwise(
+        F.unix_micros(F.col(time).cast("timestamp"))
+    )
+    binned = df.select(*keys, at.alias("__at")).withColumn(
+        "__bin", F.expr(f"floor(__at / {float(step * BIN_STEPS)!r}D)")
+    )
+    w = Window.partitionBy(*keys, "__bin").orderBy("__at")
+    before = F.lag("__at").over(w)
+    second = (F.col("__at") == before) & ~F.lag("__at", 2).over(w).eqNullSafe(F.col("__at"))
+    flagged = binned.withColumns({"__second": second, "__gap": F.col("__at") - before > step})
+    return (
+        flagged.groupBy(*keys, "__bin")
+        .agg(
+            F.min("__at").alias("first"),
+            F.max("__at").alias("last"),
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if("__second").alias("repeated"),
+            F.count_if("__gap").alias("gaps"),
+        )
+        .drop("__bin")
+    )
+
+
+def series_gaps(summary: DataFrame, keys: Sequence[str], expected_step_hours: float = 1) -> DataFrame:
+    """One row, ``gap``: steps of all series that are too long, within bins of the
+    summary and between them."""
+    step = round(expected_step_hours * 3_600_000_000)
+    before = F.lag("last").over(Window.partitionBy(*keys).orderBy("first"))
+    between = summary.select("gaps", (F.col("first") - before > step).cast("int").alias("between"))
+    return between.agg((F.coalesce(F.sum("gaps"), F.lit(0)) + F.coalesce(F.sum("between"), F.lit(0))).alias("gap"))
+
+
 def _rule(name: str, broken: Column) -> tuple[str, Column]:
     return name, F.count_if(broken)
 
@@ -91,8 +139,7 @@ def schema_mismatches(df: DataFrame, rules: TableRules) -> list[str]:
     return out
 
 
-def schema_violations(df: DataFrame, table: str) -> DataFrame:
-    """Nulls and out-of-range values per rule of the table."""
+def _rules(df: DataFrame, table: str) -> list[tuple[str, Column]]:
     rules = TABLES[table]
     checks = [
         _rule(f"{c} not null", F.col(c).isNull()) for c in rules.not_null if c in df.columns
@@ -104,7 +151,19 @@ def schema_violations(df: DataFrame, table: str) -> DataFrame:
             checks.append(_rule(f"{c} >= {low}", F.col(c) < low))
         if high is not None:
             checks.append(_rule(f"{c} <= {high}", F.col(c) > high))
-    return _report(df, table, checks)
+    return checks
+
+
+def schema_violations(df: DataFrame, table: str) -> DataFrame:
+    """Nulls and out-of-range values per rule of the table."""
+    return _report(df, table, _rules(df, table))
+
+
+def watch_rules(df: DataFrame, table: str) -> tuple[DataFrame, Observation]:
+    """The frame, and the violations of its table's rules as they are counted
+    by the job that writes it: rule -> rows, in ``get``."""
+    seen = Observation()
+    return df.observe(seen, *[c.alias(name) for name, c in _rules(df, table)]), seen
 
 
 def validate(df: DataFrame, table: str) -> DataFrame:
@@ -134,20 +193,22 @@ def pk_violations(df: DataFrame, table: str) -> DataFrame:
     ).select(F.lit(table).alias("table_name"), "duplicate_keys", "extra_rows")
 
 
-def fk_violations(frames: Mapping[str, DataFrame]) -> DataFrame:
+def fk_violations(frames: Mapping[str, DataFrame], counted: Mapping[str, str] | None = None) -> DataFrame:
     """Rows per foreign key whose parent is missing; a null reference is
     allowed.  Child rows are reduced to (reference, rows) before the join, so
-    a reference that many rows share travels once."""
+    a reference that many rows share travels once.  Of a table in ``counted``
+    the frame is a summary, and that column says how many rows a line stands for."""
     found = []
     for table, rules in TABLES.items():
         for column, parent, parent_key in rules.foreign_keys:
             if table not in frames or parent not in frames:
                 continue
+            rows = F.sum((counted or {})[table]) if table in (counted or {}) else F.count(F.lit(1))
             used = (
                 frames[table]
                 .where(F.col(column).isNotNull())
                 .groupBy(F.col(column).alias("reference"))
-                .agg(F.count(F.lit(1)).alias("n"))
+                .agg(rows.alias("n"))
             )
             parents = frames[parent].select(F.col(parent_key).alias("reference"))
             found.append(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -30,24 +30,47 @@ def _line(df: DataFrame, table: str, check, value: str) -> DataFrame:
     )
 
 
+# The series of a table; of weather, each kind is one of its own.
+SERIES = {"smart_meter": ["object_id"], "weather": ["region_id", "data_type"]}
+
+
+def _checked_schema(frame: DataFrame, table: str) -> DataFrame:
+    wrong = quality.schema_mismatches(frame, TABLES[table])
+    if wrong:  # there is nothing to count in a column that is not there
+        raise ValueError(f"{table}: {'; '.join(wrong)}")
+    return frame
+
+
 def quality_report(
-    metadata: DataFrame, regions: DataFrame, readings: DataFrame, weather: DataFrame, ties: Sequence[str] = ()
+    metadata: DataFrame,
+    regions: DataFrame,
+    readings: DataFrame,
+    weather: DataFrame,
+    watched: Mapping[str, Mapping[str, int]] | None = None,
 ) -> DataFrame:
-    """(table_name, check_name, value) of all checks; 0 is good."""
-    frames = {
-        "region": regions,
-        "customer_metadata": metadata,
-        "smart_meter": readings,
-        "weather": weather,
-    }
+    """(table_name, check_name, value) of all checks; 0 is good.
+
+    Readings and weather are read once, into a summary of their series from which
+    keys, references and steps are checked.  Rules of a table in ``watched`` were
+    counted when it was written (``quality.watch_rules``); others take one more pass.
+    """
+    frames = {"region": regions, "customer_metadata": metadata, "smart_meter": readings, "weather": weather}
     lines = []
     for table, frame in frames.items():
-        wrong = quality.schema_mismatches(frame, TABLES[table])
-        if wrong:  # there is nothing to count in a column that is not there
-            raise ValueError(f"{table}: {'; '.join(wrong)}")
-        lines.append(_line(quality.schema_violations(frame, table), table, F.col("rule"), "violations"))
-        lines.append(_line(quality.pk_violations(frame, table), table, "duplicate keys", "duplicate_keys"))
-    fk = quality.fk_violations(frames)
+        _checked_schema(frame, table)
+        if table in (watched or {}):
+            found = [(table, rule, int(n)) for rule, n in watched[table].items()]
+            lines.append(frame.sparkSession.createDataFrame(found, "table_name string, check_name string, value bigint"))
+        else:
+            lines.append(_line(quality.schema_violations(frame, table), table, F.col("rule"), "violations"))
+        if table not in SERIES:
+            lines.append(_line(quality.pk_violations(frame, table), table, "duplicate keys", "duplicate_keys"))
+    for table, keys in SERIES.items():
+        frames[table] = durable(quality.series_summary(frames[table], keys), f"{table}-series")
+        repeated = frames[table].agg(F.coalesce(F.sum("repeated"), F.lit(0)).alias("repeated"))
+        lines.append(_line(repeated, table, "duplicate keys", "repeated"))
+        lines.append(_line(quality.series_gaps(frames[table], keys), table, "gaps", "gap"))
+    fk = quality.fk_violations(frames, {table: "rows" for table in SERIES})
     lines.append(
         fk.select(
             F.split("foreign_key", r"\.")[0].alias("table_name"),
@@ -55,11 +78,6 @@ def quality_report(
             F.col("orphan_rows").cast("bigint").alias("value"),
         )
     )
-    # Weather of each kind is a series of its own.
-    series = weather.withColumn("series", F.concat_ws(" ", F.col("region_id").cast("string"), "data_type"))
-    for table, frame, key in (("smart_meter", readings, "object_id"), ("weather", series, "series")):
-        steps = quality.time_continuity(frame, key, ties=ties if table == "smart_meter" else ())
-        lines.append(_line(steps.agg(F.coalesce(F.sum("gap"), F.lit(0)).alias("gap")), table, "gaps", "gap"))
     return reduce(DataFrame.unionByName, lines)
 
 
@@ -81,10 +99,14 @@ def ingest(
     single = cleaning.handle_duplicates(parsed, "smart_meter", key, ties)
     stamped = cleaning.add_ingestion_time(single, "smart_meter_backtest")
     clean_weather = cleaning.add_ingestion_time(cleaning.timestamp_to_datetime(weather), "weather", 7)
-    # Written once; checked and published from what was written.
-    staged = durable(stamped, "readings")
-    staged_weather = durable(clean_weather, "weather")
-    report = quality_report(metadata, regions, staged, staged_weather)
+    # Written once; rules are counted on the way, the rest is checked from what was written.
+    kept, watched = {}, {}
+    for table, frame in {"smart_meter": stamped, "weather": clean_weather}.items():
+        frame, seen = quality.watch_rules(_checked_schema(frame, table), table)
+        kept[table] = durable(frame, table)
+        watched[table] = seen.get
+    staged, staged_weather = kept["smart_meter"], kept["weather"]
+    report = quality_report(metadata, regions, staged, staged_weather, watched)
     if strict:
         # one row per check
         found = [f"{r['table_name']}: {r['check_name']} = {r['value']}" for r in report.where("value > 0").collect()]

@@ -1,3 +1,5 @@
+import random
+from collections import Counter
 from datetime import datetime
 
 import pytest
@@ -210,6 +212,41 @@ def test_ingest_stops_on_a_gap(world):
     }
 
 
+def test_report_reads_the_staged_rows_once(world):
+    readings, metadata, regions, weather = world
+    done = ingestion.ingest(readings, metadata, regions, weather)
+    staged = {*done.readings.inputFiles(), *done.weather.inputFiles()}
+    assert staged and not staged & set(done.report.inputFiles())  # only summaries of series
+    assert len(done.report.collect()) == len({(r["table_name"], r["check_name"]) for r in done.report.collect()})
+
+
+def test_rules_broken_are_counted_while_staging(world):
+    readings, metadata, regions, weather = world
+    low = readings.withColumn("energy_import_kwh", F.when(F.hour(F.to_timestamp("timestamp", "dd.MM.yyyy HH:mm:ss")) == 5, -1.0).otherwise(F.col("energy_import_kwh")))
+    report = ingestion.ingest(low, metadata, regions, weather, strict=False).report
+    found = {(r["table_name"], r["check_name"]): r["value"] for r in report.where("value > 0").collect()}
+    assert found == {("smart_meter", "energy_import_kwh >= 0"): 24}
+    none = ingestion.ingest(readings.limit(0), metadata, regions, weather)
+    assert none.readings.count() == 0 and none.report.where("value > 0").count() == 0
+
+
+def test_series_summary(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice("abb"), rng.choice("xy"), rng.randrange(0, 60_000) * 30) for _ in range(3000)]
+    rows += [r for r in rows if rng.random() < 0.2] * 2
+    df = spark.createDataFrame(rows, "a string, b string, m int").selectExpr(
+        "a", "b", "timestamp_ntz'2000-03-01 00:00:00' + make_dt_interval(0, 0, m) AS timestamp"
+    )
+    summary = quality.series_summary(df, ["a", "b"], expected_step_hours=2)
+    assert summary.count() > 8
+    repeated = sum(n > 1 for n in Counter(rows).values())
+    assert summary.agg(F.sum("repeated"), F.sum("rows")).first() == (repeated, len(rows))
+    whole = quality.time_continuity(df.withColumn("s", F.concat("a", "b")), "s", expected_step_hours=2)
+    assert quality.series_gaps(summary, ["a", "b"], 2).first()["gap"] == whole.agg(F.sum("gap")).first()[0]
+    with pytest.raises(Exception, match="remove them first"):
+        quality.series_summary(df.withColumn("b", F.lit(None).cast("string")), ["a", "b"]).collect()
+
+
 def test_feature_table(world, spark, tmp_path):
     readings, metadata, regions, weather = world
     done = ingestion.ingest(readings, metadata, regions, weather)
