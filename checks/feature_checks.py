@@ -98,6 +98,28 @@ def one_hot(spark, sf):
     return plain(encode.one_hot(df, ["hour", "tariff_code"]))
 
 
+# As many values as orders: far more than a table can have columns.
+SPARSE = "CASE WHEN l_orderkey % 7 = 3 THEN NULL ELSE 'order ' || CAST(l_orderkey AS VARCHAR) END"
+
+
+@query(
+    "one_hot_sparse",
+    f"""WITH rows_ AS (SELECT l_orderkey, l_linenumber, l_suppkey, {SPARSE} AS label FROM lineitem),
+      labels_ AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS code FROM (SELECT DISTINCT label FROM rows_ WHERE label IS NOT NULL)),
+      known AS (SELECT l_suppkey, row_number() OVER (ORDER BY l_suppkey) - 1 AS code
+                FROM (SELECT DISTINCT l_suppkey FROM rows_ WHERE l_linenumber = 1 AND l_suppkey % 5 > 0))
+    SELECT l_orderkey, l_linenumber, r.l_suppkey, r.label, l.code AS label_index, CAST(l.code IS NOT NULL AS BIGINT) AS label_value,
+      k.code AS l_suppkey_index, CAST(k.code IS NOT NULL AS BIGINT) AS l_suppkey_value
+    FROM rows_ r LEFT JOIN labels_ l ON r.label = l.label LEFT JOIN known k ON r.l_suppkey = k.l_suppkey""",
+)
+def one_hot_sparse(spark, sf):
+    """Labels by their own codes; suppliers by those of some rows."""
+    label = F.when(F.col("l_orderkey") % 7 != 3, F.concat(F.lit("order "), F.col("l_orderkey").cast("string")))
+    rows = views.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", label.alias("label"))
+    known = encode.category_codes(rows.where("l_linenumber = 1 AND l_suppkey % 5 > 0"), "l_suppkey")
+    return plain(encode.one_hot_sparse(rows, ["label", "l_suppkey"], {"l_suppkey": known}))
+
+
 def _measures(spark, sf):
     return views.table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax"

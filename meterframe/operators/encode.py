@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.rounding import HALF_MAX, quantize_half
+from ..joins import meet
+from ..session import durable
 
 # Categories of the calendar columns.
 DOMAINS = {"weekday": tuple(range(7)), "hour": tuple(range(24))}
@@ -21,7 +23,8 @@ def normalize_bool_columns(df: DataFrame) -> DataFrame:
 
 def categories(df: DataFrame, column: str) -> list:
     """The values of a column, in order.  Each becomes a column of the result,
-    so the driver has to know them all, however many there are."""
+    so the driver has to know them all, however many there are; for a column of
+    many values use ``one_hot_sparse``."""
     found = df.where(F.col(column).isNotNull()).select(column).distinct()
     return sorted(r[0] for r in found.collect())
 
@@ -44,6 +47,52 @@ def one_hot(
     return df.select("*", *out)
 
 
+def category_codes(values: DataFrame, column: str) -> DataFrame:
+    """(value, code): the values of a column, numbered from 0 in their order.
+
+    Values are sorted and numbered in parts by range, whose sizes (one row a
+    part) say where each begins; no task holds them all.
+    """
+    found = values.where(F.col(column).isNotNull()).select(F.col(column).alias("value")).distinct()
+    placed = durable(found.repartitionByRange("value").withColumn("part", F.spark_partition_id()), "categories")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    within = F.row_number().over(Window.partitionBy("part").orderBy("value"))
+    return placed.join(F.broadcast(starts), "part").select("value", (F.col("start") + within - 1).alias("code"))
+
+
+def one_hot_sparse(
+    df: DataFrame, columns: Sequence[str], codes: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
+    """One-hot in sparse form, for columns of any number of values: the place of
+    the 1 as ``{column}_index``, and ``{column}_value``, 1 or 0 if there is none.
+
+    ``codes`` are tables of (value, code), as ``category_codes`` gives them for the
+    rows a model is fitted on; a column without takes its own.  Nulls, and values
+    that the codes do not hold, have no index.  Values that many rows share do not
+    gather in one task.  Column names that begin with two underscores are kept free.
+    """
+    for c in columns:
+        if c not in df.columns:
+            raise KeyError(f"column '{c}' not found")
+    for c in columns:
+        held = df.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("__value")).agg(F.count(F.lit(1)).alias("__n"))
+        held = durable(held, "held")
+        known = codes[c] if codes and c in codes else category_codes(held, "__value")
+        known = known.select(F.col("value").alias("__value"), F.col("code").cast("bigint").alias("__code"))
+        facts = durable(held.join(known, "__value", "left"), "coded")
+        rows = df.withColumn("__value", F.col(c))
+        coded = meet(rows.where(F.col("__value").isNotNull()), facts, ["__value"], "__n").select(*df.columns, "__code")
+        blank = rows.where(F.col("__value").isNull()).select(*df.columns, F.lit(None).cast("bigint").alias("__code"))
+        df = coded.unionByName(blank).select(
+            *df.columns,
+            F.col("__code").alias(f"{c}_index"),
+            F.col("__code").isNotNull().cast("tinyint").alias(f"{c}_value"),
+        )
+    return df
+
+
 def float_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return [
         f.name

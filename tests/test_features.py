@@ -73,6 +73,29 @@ def test_many_categories(spark):
     assert len(encode.one_hot(spark.range(1001).withColumnRenamed("id", "kind"), ["kind"]).columns) == 1002
 
 
+def test_sparse_one_hot(spark):
+    rng = random.Random(6)
+    words = [f"v{rng.randrange(3000)}" for _ in range(5000)]
+    rows = [(i, rng.choice([None, "hot", "hot", w])) for i, w in enumerate(words)]
+    df = spark.createDataFrame(rows, "i int, kind string").repartition(5)
+    place = {v: k for k, v in enumerate(sorted({v for _, v in rows if v is not None}))}
+    out = encode.one_hot_sparse(df, ["kind"])
+    assert out.columns == ["i", "kind", "kind_index", "kind_value"]
+    assert sorted(tuple(r) for r in out.collect()) == sorted(
+        ((i, v, place.get(v), int(v is not None)) for i, v in rows), key=lambda r: r[0]
+    )
+    assert dict(out.dtypes)["kind_value"] == "tinyint"
+    fitted = encode.category_codes(df.where("i < 100"), "kind")
+    codes = {r["value"]: r["code"] for r in fitted.collect()}
+    assert [codes[v] for v in sorted(codes)] == list(range(len(codes)))
+    other = {r["i"]: (r["kind_index"], r["kind_value"]) for r in encode.one_hot_sparse(df, ["kind"], {"kind": fitted}).collect()}
+    assert other == {i: (codes.get(v), int(v in codes)) for i, v in rows}
+    empty = encode.one_hot_sparse(df.limit(0), ["kind", "i"])
+    assert empty.collect() == [] and empty.columns[2:] == ["kind_index", "kind_value", "i_index", "i_value"]
+    with pytest.raises(KeyError):
+        encode.one_hot_sparse(df, ["absent"])
+
+
 def test_zscore(spark):
     df = spark.createDataFrame([(1.0, 5.0, 9.0), (2.0, 5.0, 9.5), (3.0, 5.0, 1.0)], "x double, same double, energy_kwh double")
     out, stats = encode.zscore_scale_float_columns(df)
