@@ -8,6 +8,7 @@ import shutil
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # Everything here is a hint for the optimizer; results do not depend on it.
@@ -18,6 +19,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Buckets of one sorted file each need no sort (sources.stored).
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
     # Do not record a Python call site for every column of a wide plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -100,6 +103,40 @@ def put_in_place(spark: SparkSession, new: str, path: str) -> None:
         files.delete(aside, True)
 
 
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file unless it is there; whether it was created."""
+    files, place = _file_system(spark, path)
+    if files.exists(place):
+        return False
+    try:
+        out = files.create(place, False)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    return True
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, in order; none if it is not there."""
+    files, place = _file_system(spark, path)
+    if not files.exists(place):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(place))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    files, place = _file_system(spark, path)
+    stream = files.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
