@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from meterframe.operators import appended, history
+from meterframe.operators import appended, history, models
+from meterframe.operators.moving import MovingRidge
 from meterframe.session import fresh_path
 from meterframe.sources.stored import store_series, stored_series
 from meterframe.sources.versions import Dataset
@@ -149,3 +150,37 @@ def append_key_violations(spark, sf):
     appended.key_filter(stored).write.parquet(filters)
     batch = moved.where(hour >= 15).unionByName(moved.where(hour == 20))
     return appended.append_key_violations(batch, stored, spark.read.parquet(filters))
+
+
+# A regression on the reading before, refitted on three spans of fifteen days; each
+# predicts the five days after it.
+MOVING = f"""WITH lagged AS (SELECT *, least((extract('day' FROM "timestamp") - 1) // 5, 5) AS p,
+      lag(energy_kwh, 1) OVER ({KEY}) AS x, lag(cents, 1) OVER ({KEY}) AS px FROM energy),
+    spans AS (SELECT unnest([0, 1, 2]) AS span),
+    summed AS (SELECT span, object_id, CAST(count(*) AS DOUBLE) AS n, sum(px) AS tx,
+        CAST(sum(px) AS DOUBLE) AS sx, CAST(sum(cents) AS DOUBLE) AS sy,
+        CAST(count(*) * sum(px * cents) - sum(px) * sum(cents) AS DOUBLE) AS cxy,
+        CAST(count(*) * sum(px * px) - sum(px) * sum(px) AS DOUBLE) AS cxx
+      FROM lagged JOIN spans ON p BETWEEN span AND span + 2 WHERE px IS NOT NULL GROUP BY span, object_id),
+    fitted AS (SELECT *, CASE WHEN cxx = 0 THEN 0.0 ELSE cxy / cxx END AS slope FROM summed)
+    SELECT span, object_id, "timestamp", energy_kwh AS y_true, round((sy - slope * sx) / n / 100 + slope * x, 4) AS y_pred
+    FROM lagged JOIN fitted USING (object_id) WHERE p = span + 3 AND x IS NOT NULL"""
+
+
+@query("per_customer_ridge_moving", MOVING)
+def per_customer_ridge_moving(spark, sf):
+    """Rows without a reading before them are left out; each span adds the sums
+    of its new days and reads those of the others."""
+    df = history.add_lags(views.energy(spark, sf), (1,), order=ORDER).where("lagged_1_energy_kwh is not null")
+    df = df.withColumn("p", F.expr("least((dayofmonth(timestamp) - 1) div 5, 5)"))
+    feature = ["lagged_1_energy_kwh"]
+    moving = MovingRidge(spark, fresh_path(spark, "moving"), feature, "energy_kwh")
+    out = None
+    for span in range(3):
+        for p in range(span, span + 3):
+            moving.add(df.where(F.col("p") == p), str(p))
+        fitted = moving.fit([str(p) for p in range(span, span + 3)], penalty=0.0)
+        made = models.predict_ridge(fitted, df.where(F.col("p") == span + 3), feature, "energy_kwh", ORDER)
+        made = made.withColumn("span", F.lit(span))
+        out = made if out is None else out.unionByName(made)
+    return plain(out, 4)
