@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterframe.joins import meet
 from meterframe.llm.boxed import boxed, own, unboxed
 from meterframe.llm.components import components
 from meterframe.llm.shingles import WordHashes, mixed, set_key, shingles
@@ -159,9 +160,11 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def open_members(members: DataFrame) -> DataFrame:
-    """Members (node, ..., cls, label) of nodes that hold several components."""
-    several = members.groupBy("node").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("node")
-    return members.join(several, "node")
+    """Members (node, ..., cls, label) of nodes that hold several components.  The
+    classes of a crowded node stay where they are."""
+    of_node = members.groupBy("node").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"))
+    several = durable(of_node.where("lo <> hi").select("node", "n"), "several")
+    return meet(members, several, ["node"]).drop("n")
 
 
 def across(members: DataFrame) -> DataFrame:
@@ -226,13 +229,13 @@ def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         "classes",
     )
     placed = durable(nodes(classes), "placed")
-    first = placed.groupBy("node").agg(F.min("cls").alias("a"))
-    stars = placed.join(first, "node").where("a <> cls").select("a", F.col("cls").alias("b"))
+    first = durable(placed.groupBy("node").agg(F.min("cls").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1"), "first")
+    stars = meet(placed, first, ["node"]).where("a <> cls").select("a", F.col("cls").alias("b"))
     starred = durable(likely(stars, classes, percent), "stars")
     links = durable(confirmed(starred, _sets(docs, classes, starred), percent), "links")
     labels = components(links)
     members = placed.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    members = durable(open_members(members), "members")
+    members = durable(open_members(durable(members, "labelled")), "members")
     rest = durable(likely(across(members), classes, percent).join(starred, ["a", "b"], "left_anti"), "rest")
     large = members.where(F.col("size") > LEAF)
     more = durable(confirmed(rest, _sets(docs, classes, rest), percent), "links")
