@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from meterframe.operators import appended, history, models
+from meterframe.operators import appended, history, models, splits
 from meterframe.operators.moving import MovingRidge
 from meterframe.session import fresh_path
 from meterframe.sources.stored import store_series, stored_series
@@ -12,9 +12,10 @@ from meterframe.sources.versions import Dataset
 from meterframe.streaming.features import FeatureStore, Wanted
 
 from . import views
+from .feature_checks import ASSIGNED
 from .history_checks import IDS, KEY, MEAN, STD, averages_sql, full
 from .registry import plain, query
-from .views import ORDER
+from .views import BOUNDS, ORDER
 
 WANTED = Wanted((1, 24), (6, 24), ("mean", "std"), 24, (1, 2))
 
@@ -123,6 +124,14 @@ def replace_versions(spark, sf):
     return plain(data.read(), digits=None)
 
 
+@query("published_splits", ASSIGNED)
+def published_splits(spark, sf):
+    """A build of half the rows, then one of all."""
+    root, table = fresh_path(spark, "splits"), splits.assign_split(views.energy(spark, sf), BOUNDS)
+    splits.publish_splits(table.where("event_id % 2 = 0"), root)
+    return splits.publish_splits(table, root).read()
+
+
 # Meters' hours in one of three months; what is stored and what is appended share
 # the hour 15, and the hour 20 of the batch comes twice.
 MOVED = """moved AS (SELECT object_id, "timestamp" + to_months(CAST(object_id AS INT) % 3) AS "timestamp" FROM hourly),

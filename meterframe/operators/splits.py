@@ -7,10 +7,11 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import fresh_path, put_in_place, remove
+from ..sources.versions import Dataset
 
 Bounds = Mapping[str, tuple[datetime, datetime]]
 
@@ -132,6 +133,28 @@ def write_splits(df: DataFrame, path: str, expected: Sequence[str] | None = None
     return path
 
 
+def publish_splits(df: DataFrame, root: str, expected: Sequence[str] | None = None) -> Dataset:
+    """The same as a dataset with versions (``sources.versions``): readers of
+    ``read_splits`` see the splits of one build, the earlier or the new one,
+    whenever a write ends.  An empty split is an error, and the earlier build stays."""
+    names = list(expected or ORDERED)
+
+    def check(written: DataFrame) -> None:
+        there = {r["split"] for r in written.groupBy("split").count().collect()}
+        empty = [n for n in names if n not in there]
+        if empty:
+            raise ValueError(f"nothing to write for {empty}")
+
+    data = Dataset(df.sparkSession, root.rstrip("/"))
+    data.replace(df, ("split",), check)
+    return data
+
+
+def read_splits(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """One split of the last published build; its folder only is read."""
+    return Dataset(spark, root.rstrip("/")).read().where(F.col("split") == name).drop("split")
+
+
 def save_splits(splits: Sequence[DataFrame], path: str) -> str:
     """[train, test] or [train, dev, test] as one dataset."""
     names = {2: ("train", "test"), 3: ORDERED}.get(len(splits))

@@ -2,6 +2,7 @@
 
 import pytest
 
+from meterframe.operators import splits
 from meterframe.session import create_once, fresh_path, remove
 from meterframe.sources import versions
 from meterframe.sources.versions import Dataset, UnfinishedVersion
@@ -97,3 +98,26 @@ def test_folders_by_value_and_new_columns(spark, data):
 def test_create_once(spark):
     path = fresh_path(spark, "once")
     assert create_once(spark, path, "a") and not create_once(spark, path, "b")
+
+
+def test_published_splits(spark, monkeypatch):
+    """What readers see when a build ends early, or has an empty split."""
+    root = fresh_path(spark, "splits")
+    rows = spark.createDataFrame([(1, "train"), (2, "test"), (3, "train")], "id int, split string")
+    names = ["train", "test"]
+    splits.publish_splits(rows, root, names)
+
+    def ids(name):
+        return sorted(r.id for r in splits.read_splits(spark, root, name).collect())
+
+    with pytest.raises(ValueError, match="test"):
+        splits.publish_splits(rows.where("split = 'train'"), root, names)
+    with monkeypatch.context() as m:
+        m.setattr(versions, "create_once", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            splits.publish_splits(rows.where("id > 1"), root, names)
+    assert ids("train") == [1, 3] and ids("test") == [2]
+    splits.publish_splits(rows.where("id > 1"), root, names)
+    assert ids("train") == [3] and ids("test") == [2]
+    plan = splits.read_splits(spark, root, "train")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(split" in plan
