@@ -79,25 +79,30 @@ class Words:
 
     def numbers(self, words: list[str]) -> np.ndarray:
         known = self.number
-        new = {w for w in words if w not in known}
+        new = set(words).difference(known)
         if len(known) + len(new) > CACHED_WORDS:
             known.clear()
             new = set(words)
         if len(new) > len(self.hash):  # one text with more distinct words than the table
             for name in ("hash", "kind", "unit", "ends"):
                 setattr(self, name, np.resize(getattr(self, name), len(new)))
-        for w in new:
-            k = known[w] = len(known)
-            bare = w.strip(MARKS)
-            low = bare.lower()
-            self.hash[k] = xxhash.xxh3_64_intdigest(low)
-            if NUMERIC.fullmatch(bare):
-                self.kind[k] = NUMBER
-            else:
-                self.kind[k] = NAME if bare[:1].isupper() and bare[1:].islower() else PLAIN
-            self.unit[k] = low in UNITS
-            self.ends[k] = w.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":")
-        return np.array([known[w] for w in words], np.int64)
+        if new:
+            self.add(list(new))
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+
+    def add(self, new: list[str]) -> None:
+        first, digest = len(self.number), xxhash.xxh3_64_intdigest
+        bares = [w.strip(MARKS) for w in new]
+        lows = [b.lower() for b in bares]
+        place = slice(first, first + len(new))
+        self.hash[place] = np.fromiter(map(digest, lows), np.uint64, len(new))
+        # Letters alone are no number, and what ends a sentence is among the marks.
+        self.kind[place] = [
+            NUMBER if not b.isalpha() and NUMERIC.fullmatch(b) else NAME if b[:1].isupper() and b[1:].islower() else PLAIN for b in bares
+        ]
+        self.unit[place] = [low in UNITS for low in lows]
+        self.ends[place] = [len(b) != len(w) and w.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":") for w, b in zip(new, bares)]
+        self.number.update(zip(new, range(first, first + len(new))))
 
     def template(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per word: template hash, kind and value."""
@@ -117,9 +122,10 @@ def window_hashes(template: np.ndarray, kind: np.ndarray, width: int) -> tuple[n
     n = len(template) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, bool)
-    total = np.full(n, width, np.uint64)
+    total, each = np.full(n, width, np.uint64), mixed(template)  # each word is mixed once, not once for each window
     for k in range(width):
-        total = (total ^ mixed(template[k : k + n])) * FACTOR
+        total ^= each[k : k + n]
+        total *= FACTOR
     plain = np.concatenate([[0], np.cumsum(kind == PLAIN)])
     return mixed(total), 2 * (plain[width:] - plain[:n]) >= width
 

@@ -186,3 +186,23 @@ def test_slots_against_all_pairs(spark):
     for doc_id, item_id, _ in got - expected:  # the rest agree in part only, and cover most of the item
         row = [r for r in tm.find(d.where(F.col("doc_id") == doc_id), b).collect() if r.item_id == item_id][0]
         assert 100 * row.covered > tm.SHARE * row.words
+
+
+def test_each_word_is_mixed_once(monkeypatch):
+    """Window hashes cost about one mixing a word, not one for each word of each window."""
+    mixed, sizes = tm.mixed, []
+    monkeypatch.setattr(tm, "mixed", lambda h: sizes.append(len(h)) or mixed(h))
+    template, kind, _ = tm.Words().template(filler(4, 500))
+    hashes, good = tm.window_hashes(template, kind, tm.WINDOW)
+    assert len(hashes) == len(good) == 500 - tm.WINDOW + 1 and sum(sizes) <= 2 * 500
+
+
+def test_words_numbered_at_once_are_those_numbered_alone(monkeypatch):
+    words = ["5", "-3.5kg", "٣", "Tom.", "(Anna)", "end.\"", "two", "km", "...", "x!", "McX", "É", "a1"]
+    together = tm.Words()
+    at = together.numbers(words + words)
+    for w, k in zip(words + words, at.tolist()):
+        alone = tm.Words()
+        assert alone.numbers([w]).tolist() == [0]
+        assert [getattr(alone, f)[0] for f in ("hash", "kind", "unit", "ends")] == [getattr(together, f)[k] for f in ("hash", "kind", "unit", "ends")]
+    assert together.kind[at[:4]].tolist() == [tm.NUMBER, tm.NUMBER, tm.NUMBER, tm.NAME] and together.ends[at[[3, 5, 9]]].all() and not together.ends[at[[6, 7]]].any()
