@@ -18,13 +18,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rounding import finite
+from ..joins import apart
+from ..session import durable
 from .series import SeriesOrder
 
 # The functions below travel to the tasks with their code, so that executors
 # need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SALTS = 64
+SALTS = 64  # of a moving fit (operators.moving)
 
 
 def train_customers(train: DataFrame, *others: DataFrame, key: str = "object_id") -> DataFrame:
@@ -150,20 +152,28 @@ def fit_ridge(
     All rows with a target take part.  A missing feature stands at the meter's
     mean; one that a meter never has gets no weight there.  Rows are centred on
     the meter's means first, so large values do not cancel.  They are shuffled
-    once, narrow, by (meter, salt); the matrices of a meter's salts then meet.
+    once, by meter, and give one matrix a meter there.  Rows of the few meters
+    that hold a large share stay where they are; only their matrices meet.
     """
     columns = [*features, target]
     kind = dict(train.dtypes)[key]
     rows = train.select(key, *[finite(F.col(c).cast("double")).alias(f"__{i}") for i, c in enumerate(columns)])
-    rows = rows.where(F.col(f"__{len(features)}").isNotNull())
+    rows = rows.where(F.col(f"__{len(features)}").isNotNull() & F.col(key).isNotNull())
     centres = rows.groupBy(key).agg(
         F.count(F.lit(1)).alias("rows"), F.array(*[F.avg(f"__{i}") for i in range(len(columns))]).alias("centres")
     )
+    centres = durable(centres, "centres")
     centred = F.array(*[F.coalesce(F.col(f"__{i}") - F.col("centres")[i], F.lit(0.0)) for i in range(len(columns))])
-    salted = rows.join(centres.drop("rows"), key).select(key, centred.alias("centred"), F.pmod(F.xxhash64(centred), F.lit(SALTS)).alias("__salt"))
     sums = f"{key} {kind}, products array<double>"
-    by_salt = salted.repartition(key, "__salt").drop("__salt").sortWithinPartitions(key).mapInPandas(_products(key), sums)
-    by_key = by_salt.repartition(key).sortWithinPartitions(key).mapInPandas(_added_up(key), sums)
+
+    def products(joined: DataFrame) -> DataFrame:
+        return joined.select(key, centred.alias("centred")).sortWithinPartitions(key).mapInPandas(_products(key), sums)
+
+    of_heavy, heavy, of_light, light = apart(rows, centres, [key], "rows")
+    by_key = products(of_light.repartition(key).join(light, key))
+    if heavy is not None:
+        parts = products(of_heavy.join(F.broadcast(heavy), key))
+        by_key = by_key.unionByName(parts.repartition(key).sortWithinPartitions(key).mapInPandas(_added_up(key), sums))
 
     def solved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

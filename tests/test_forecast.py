@@ -216,3 +216,35 @@ def test_other_key_and_time_names(panel):
         df.where("energy_kwh < 3"), df.where("energy_kwh >= 3"), order=SeriesOrder("meter", "at"), season=3
     )
     assert sorted((r["y_true"], r["y_pred"]) for r in out.collect()) == [(3.0, 0.0), (4.0, 1.0), (5.0, 2.0)]
+
+
+def test_a_small_meter_gives_one_matrix(spark, monkeypatch):
+    """Matrices are wider than rows; meters of few rows are not dealt to many of them."""
+    made, products = spark.sparkContext.accumulator(0), models._products
+
+    def counted(key):
+        run = products(key)
+
+        def counting(batches):
+            for frame in run(batches):
+                made.add(len(frame))
+                yield frame
+
+        return counting
+
+    monkeypatch.setattr(models, "_products", counted)
+    rows = spark.range(300 * 12).selectExpr("concat('m', id % 300) AS object_id", "sin(id) AS a", "2 * sin(id) + 1 AS energy_kwh").repartition(7)
+    found = models.fit_ridge(rows, ["a"], "energy_kwh", penalty=0.0).collect()
+    assert len(found) == 300 and all(r["weights"] == pytest.approx([2.0], abs=1e-9) and r["rows"] == 12 for r in found)
+    assert made.value == 300
+
+
+def test_large_and_small_meters_together(spark):
+    """Rows of meters with a large share stay where they are, others move."""
+    rows = spark.range(9000).selectExpr(
+        "CASE WHEN id < 4000 THEN 'big' WHEN id < 8990 THEN concat('m', id % 500) END AS object_id", "sin(id) AS a", "IF(id % 50 = 7, NULL, 3 * sin(id) - 2) AS energy_kwh"
+    )
+    found = {r["object_id"]: r for r in models.fit_ridge(rows.repartition(5), ["a"], "energy_kwh", penalty=0.0).collect()}
+    known = {r[0]: r[1] for r in rows.where("object_id IS NOT NULL AND energy_kwh IS NOT NULL").groupBy("object_id").count().collect()}
+    assert {k: r["rows"] for k, r in found.items()} == known and len(known) > 256
+    assert all(r["weights"] == pytest.approx([3.0], abs=1e-9) for r in found.values())
