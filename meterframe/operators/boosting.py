@@ -25,7 +25,7 @@ Nodes are numbered 1 for the root, 2 i and 2 i + 1 for the children of i.
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -45,6 +45,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MISSING = 255
 DIGITS = 6  # of residuals in histograms
 BLOCK_ROWS = 16_384
+SLICE_BLOCKS, SLICE_BYTES = 256, 8_000_000  # of blocks that a task turns to rows at once
 ACCURACY = 10_000  # of the quantiles: a rank is off by rows / ACCURACY at most
 
 
@@ -134,6 +135,13 @@ def _routed(bins: np.ndarray, splits: list[dict]) -> np.ndarray:
     return node
 
 
+def _some(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch of blocks in slices of at most SLICE_BLOCKS blocks, and about SLICE_BYTES bytes."""
+    step = max(1, min(SLICE_BLOCKS, SLICE_BYTES * batch.num_rows // max(batch.get_total_buffer_size(), 1)))
+    for at in range(0, batch.num_rows, step):
+        yield batch.slice(at, step)
+
+
 def _with_tree(blocks: DataFrame, tree: DataFrame, key: str, listed: Sequence[str]) -> DataFrame:
     """Blocks of the meters of ``tree`` (one written row per meter, with arrays).
     With few elements in all, blocks need not move."""
@@ -145,25 +153,33 @@ def _block_histograms(blocks: DataFrame, width: int, key: str) -> DataFrame:
     """(key, node, feature, bin, g, n) of the wanted nodes, per block."""
     kind = dict(blocks.dtypes)[key]
 
+    def histogram(row: dict) -> list[np.ndarray]:
+        bins = np.frombuffer(row["bins"], np.uint8).reshape(-1, width)
+        residual = np.rint((np.frombuffer(row["y"]) - np.frombuffer(row["pred"])) * 10.0**DIGITS)
+        node, parts = _routed(bins, row["splits"]), []
+        for wanted in row["wanted"]:
+            here = np.flatnonzero(node == wanted)
+            place = (bins[here] + np.arange(width) * 256).ravel()
+            n = np.bincount(place, minlength=width * 256)
+            g = np.bincount(place, np.repeat(residual[here], width), width * 256)  # whole numbers, exact
+            seen = np.flatnonzero(n)
+            parts.append(np.stack([np.full(len(seen), wanted), seen // 256, seen % 256, g[seen].astype(np.int64), n[seen]]))
+        return parts
+
     def run(batches):
         for batch in batches:
-            keys, parts = [], []
-            for i, row in enumerate(batch.select(["bins", "y", "pred", "splits", "wanted"]).to_pylist()):
-                bins = np.frombuffer(row["bins"], np.uint8).reshape(-1, width)
-                residual = np.rint((np.frombuffer(row["y"]) - np.frombuffer(row["pred"])) * 10.0**DIGITS)
-                node = _routed(bins, row["splits"])
-                for wanted in row["wanted"]:
-                    here = np.flatnonzero(node == wanted)
-                    place = (bins[here] + np.arange(width) * 256).ravel()
-                    n = np.bincount(place, minlength=width * 256)
-                    g = np.bincount(place, np.repeat(residual[here], width), width * 256)  # whole numbers, exact
-                    seen = np.flatnonzero(n)
-                    keys.append(np.full(len(seen), i))
-                    parts.append(np.stack([np.full(len(seen), wanted), seen // 256, seen % 256, g[seen].astype(np.int64), n[seen]]))
-            node, feature, bin_, g, n = np.concatenate(parts, axis=1) if parts else np.zeros((5, 0), np.int64)
-            which = pa.array(np.concatenate(keys) if keys else [], pa.int64())
-            numbers = [pa.array(c.astype(t)) for c, t in zip((node, feature, bin_, g, n), (np.int64, np.int32, np.int32, np.int64, np.int64))]
-            yield pa.RecordBatch.from_arrays([batch.column(key).take(which), *numbers], [key, "node", "feature", "bin", "g", "n"])
+            # Blocks give rows a few at a time, so that neither a batch of
+            # many small blocks nor one of large ones is held as Python objects.
+            for some in _some(batch.select([key, "bins", "y", "pred", "splits", "wanted"])):
+                keys, parts = [], []
+                for i in range(some.num_rows):
+                    found = histogram(some.slice(i, 1).drop_columns([key]).to_pylist()[0])
+                    keys += [np.full(p.shape[1], i) for p in found]
+                    parts += found
+                node, feature, bin_, g, n = np.concatenate(parts, axis=1) if parts else np.zeros((5, 0), np.int64)
+                which = pa.array(np.concatenate(keys) if keys else [], pa.int64())
+                numbers = [pa.array(c.astype(t)) for c, t in zip((node, feature, bin_, g, n), (np.int64, np.int32, np.int32, np.int64, np.int64))]
+                yield pa.RecordBatch.from_arrays([some.column(key).take(which), *numbers], [key, "node", "feature", "bin", "g", "n"])
 
     return blocks.mapInArrow(run, f"{key} {kind}, node bigint, feature int, bin int, g bigint, n bigint")
 
@@ -289,7 +305,7 @@ def _advanced(blocks: DataFrame, tree: DataFrame, width: int, key: str) -> DataF
     kind = dict(blocks.dtypes)[key]
 
     def run(batches):
-        for batch in batches:
+        for batch in (some for whole in batches for some in _some(whole)):
             pred, sums = [], []
             for row in batch.select(["bins", "y", "pred", "splits", "leaves"]).to_pylist():
                 bins = np.frombuffer(row["bins"], np.uint8).reshape(-1, width)

@@ -137,3 +137,36 @@ def test_model_run_with_trees_and_dev(spark, tmp_path):
     assert stored["dev_MAE_average"] == pytest.approx(run.dev_metrics.first()[0])
     params = {r.param: r.value for r in spark.read.parquet(f"{tmp_path}/params").collect()}
     assert params["trees.leaves"] == "3" and params["trees.step"] == "0.05"
+
+
+def test_histograms_of_many_blocks_come_a_few_blocks_at_a_time():
+    """A batch of many small blocks is not turned to rows as a whole."""
+    import pyarrow as pa
+
+    class Blocks:
+        dtypes = [("object_id", "string")]
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    rng = np.random.default_rng(3)
+    n, rows, width = 2000, 12, 3
+    bins = rng.integers(0, 9, (n, rows, width)).astype(np.uint8)
+    y = rng.normal(size=(n, rows))
+    split = pa.list_(pa.struct([("node", pa.int64()), ("feature", pa.int32()), ("bin", pa.int32()), ("missing_left", pa.bool_())]))
+    batch = pa.RecordBatch.from_arrays(
+        [
+            pa.array([f"m{i}" for i in range(n)]), pa.array([b.tobytes() for b in bins], pa.binary()), pa.array([v.tobytes() for v in y], pa.binary()),
+            pa.array([np.zeros(rows).tobytes()] * n, pa.binary()), pa.array([[]] * n, split), pa.array([[1]] * n, pa.list_(pa.int64())),
+        ],
+        ["object_id", "bins", "y", "pred", "splits", "wanted"],
+    )
+    found = list(boosting._block_histograms(Blocks(), width, "object_id")(iter([batch])))
+    assert max(b.num_rows for b in found) <= boosting.SLICE_BLOCKS * rows * width
+    got = {(r["object_id"], r["feature"], r["bin"]): (r["g"], r["n"]) for b in found for r in b.to_pylist()}
+    assert sum(b.num_rows for b in found) == len(got)
+    for i in (0, 255, 256, 1999):
+        for f in range(width):
+            for b in set(bins[i, :, f].tolist()):
+                here = bins[i, :, f] == b
+                assert got[(f"m{i}", f, b)] == (int(np.rint(y[i][here] * 1e6).sum()), int(here.sum()))
