@@ -203,9 +203,9 @@ def read_back(spark: SparkSession, path: str) -> DataFrame:
     whole = F.struct("chunk", "doc_id", "n_tokens", "n_ids", "crc", (F.col("first_id") + F.col("begins")).alias("start"))
     docs = found.groupBy("part", "doc").agg(F.sort_array(F.collect_list(whole)).alias("p"))
 
-    @F.pandas_udf("bigint")
-    def crc(parts, lengths):
-        return parts.combine(lengths, lambda c, n: joined_crc(list(c), [4 * int(x) for x in n]))
+    @F.arrow_udf("bigint")
+    def crc(parts: pa.Array, lengths: pa.Array) -> pa.Array:
+        return pa.array([joined_crc(c.as_py(), [4 * n for n in of.as_py()]) for c, of in zip(parts, lengths)], pa.int64())
 
     def total(column: str):
         return F.aggregate(F.col(column), F.lit(0).cast("bigint"), lambda a, x: a + x)

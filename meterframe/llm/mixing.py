@@ -25,7 +25,7 @@ from meterframe.llm.boxed import boxed, own, unboxed
 
 MAX_RATE = 8.0  # of one Poisson number
 STEPS = 60  # the chance of a larger number at this rate is below 1e-30
-BROADCAST_SOURCES = 20_000  # rows of about 100 bytes
+BROADCAST_SOURCES = 20_000  # rows of about 600 bytes
 
 
 def uniform(*parts: Column) -> Column:
@@ -34,30 +34,24 @@ def uniform(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
 
 
-def poisson_quantile(u: Column, rate: Column) -> Column:
-    """The least k with P(X <= k) > u: the number of partial sums of
-    exp(-rate) * rate^k / k! that are not above u."""
-    start = F.struct(F.exp(-rate).alias("term"), F.exp(-rate).alias("total"), F.lit(0).alias("k"))
+def poisson_sums(rate: Column) -> Column:
+    """Partial sums of exp(-rate) * rate^k / k!, for k below STEPS."""
+    start = F.struct(F.exp(-rate).alias("term"), F.array(F.exp(-rate)).alias("sums"))
 
     def step(state: Column, i: Column) -> Column:
         term = state["term"] * rate / i
-        below = state["total"] <= u
-        return F.struct(
-            term.alias("term"),
-            F.when(below, state["total"] + term).otherwise(state["total"]).alias("total"),
-            (state["k"] + below.cast("int")).alias("k"),
-        )
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), start, step, lambda s: s["k"])
-
-
-def copies(row_id: Column, rate: Column, seed: int) -> Column:
-    """Copies of a row at a mean rate of any size."""
-    parts = F.ceil(F.greatest(rate / MAX_RATE, F.lit(1.0))).cast("int")
-    each = F.transform(
-        F.sequence(F.lit(1), parts),
-        lambda j: poisson_quantile(uniform(F.lit(seed), F.lit("n"), j, row_id), rate / parts),
-    )
+        return F.struct(term.alias("term"), F.concat(state["sums"], F.array(F.element_at(state["sums"], -1) + term)).alias("sums"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(STEPS - 1)), start, step, lambda s: s["sums"])
+
+
+def copies(row_id: Column, rate: Column, parts: Column, sums: Column, seed: int) -> Column:
+    """Copies of a row at a mean rate of any size: of each part, the least k with
+    P(X <= k) > u, which is the number of ``sums`` that are not above u."""
+
+    # A lambda's variable is worked out once; an expression in one, for each element.
+    numbers = F.transform(F.sequence(F.lit(1), parts), lambda j: uniform(F.lit(seed), F.lit("n"), j, row_id))
+    each = F.transform(numbers, lambda u: F.size(F.filter(sums, lambda t: t <= u)))
     return F.when(rate > 0, F.aggregate(each, F.lit(0), lambda a, x: a + x)).otherwise(0)
 
 
@@ -83,11 +77,13 @@ def mix(docs: DataFrame, weights: Column, seed: int = 1, total: float | None = N
     """The mixture, in global order of ``mix_key``."""
     kept = docs.drop("copy_no", "mix_key")  # replaced by the mixture's own
     rate, sources = rates(kept, weights, total)
-    rate = rate.select(F.col("source").alias("of"), "rate")
+    parts = F.ceil(F.greatest(F.col("rate") / MAX_RATE, F.lit(1.0))).cast("int")
+    # Sums are worked out once for each source; a row only looks its number up.
+    rate = rate.select(F.col("source").alias("of"), "rate", parts.alias("parts")).withColumn("sums", poisson_sums(F.col("rate") / F.col("parts")))
     if sources <= BROADCAST_SOURCES:  # counted; same rows either way, but documents need not move
         rate = F.broadcast(rate)
     rows = boxed(kept).join(rate, own("source").eqNullSafe(F.col("of")))
-    numbered = rows.withColumn("n", copies(own("doc_id"), F.col("rate"), seed)).where("n > 0")
+    numbered = rows.withColumn("n", copies(own("doc_id"), F.col("rate"), F.col("parts"), F.col("sums"), seed)).where("n > 0")
     repeated = numbered.select("row", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("copy_no"))
     keyed = repeated.withColumn("mix_key", uniform(F.lit(seed), F.lit("o"), F.col("copy_no"), own("doc_id")))
     return unboxed(keyed.sort("mix_key", own("doc_id"), "copy_no"), kept.columns, "copy_no", "mix_key")

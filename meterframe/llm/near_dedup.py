@@ -290,11 +290,11 @@ def without_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 
 def class_of(text: Column) -> Column:
-    @F.pandas_udf("binary")
-    def key(texts):
+    @F.arrow_udf("binary")
+    def key(texts: pa.Array) -> pa.Array:
         words = WordHashes()
-        sets = texts.map(lambda t: shingles(words.of(t or "")))
-        return sets.map(lambda s: set_key(s) if len(s) else None)
+        sets = (shingles(words.of(t.as_py() or "")) for t in texts)
+        return pa.array([set_key(s) if len(s) else None for s in sets], pa.binary())
 
     return key(text)
 

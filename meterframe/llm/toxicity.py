@@ -35,7 +35,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -277,10 +276,10 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> Data
     """The rows of docs whose text scores below the threshold."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         weights = Weights(shared.value)
         for texts in batches:
-            yield texts.map(lambda t: score_text(t, weights)[0])
+            yield pa.array([score_text(t.as_py(), weights)[0] for t in texts], pa.float64())
 
     return docs.where(scored("text") < threshold)

@@ -78,3 +78,13 @@ def test_large_table_of_sources_gives_the_same_rows(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert mixing.mix(frame(spark, []), mixing.tempered(0.5)).collect() == []
+
+
+def test_counts_are_looked_up_in_sums_of_the_source(spark):
+    """Of every number of copies up to the last, and a number above all sums."""
+    rates = [0.001, 0.7, 3.3, mixing.MAX_RATE]
+    rows = spark.createDataFrame([(r,) for r in rates], "rate double").select("rate", mixing.poisson_sums(F.col("rate")).alias("sums")).collect()
+    for row in rows:
+        assert len(row.sums) == mixing.STEPS
+        for u in [k / 97 for k in range(97)] + [1 - 2.0**-52, *row.sums[:12]]:
+            assert next((k for k, t in enumerate(row.sums) if t > u), mixing.STEPS) == quantile(u, row.rate)

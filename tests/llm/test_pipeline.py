@@ -99,3 +99,14 @@ def test_empty_documents(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = durable(stage(spark, docs, SF), name)
         assert docs.count() == 0
+
+
+def test_tasks_load_no_pandas():
+    """Workers of all stages stay alive; pandas would be held by each of them."""
+    import subprocess
+    import sys
+
+    names = "bit_planes, mixing, near_dedup, template_match, toxicity"
+    code = f"import sys; from meterframe.llm import {names}; sys.exit('pandas' in sys.modules or any('pandas_udf' in open(m.__file__).read() for m in ({names})))"
+    root = __file__.rsplit("/tests/", 1)[0]
+    assert subprocess.run([sys.executable, "-c", code], cwd=root).returncode == 0
