@@ -64,14 +64,19 @@ class Model:
         return 1 / (1 + math.exp(-min(max(z + self.bias, -30.0), 30.0)))
 
 
-class Features(dict):
+def features_of(word: str) -> tuple[int, ...]:
     """Feature numbers of a lower-case word: the word and its beginnings."""
+    names = [word, *[word[:n] + "*" for n in BEGINNINGS if len(word) >= n]]
+    return tuple([xxhash.xxh3_64_intdigest(n) & ((1 << BITS) - 1) for n in names])
+
+
+class Features(dict):
+    """Feature numbers of words, looked up in a table of bounded size."""
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) >= CACHED_WORDS:
             self.clear()
-        names = [word, *[word[:n] + "*" for n in BEGINNINGS if len(word) >= n]]
-        found = tuple([xxhash.xxh3_64_intdigest(n) & ((1 << BITS) - 1) for n in names])
+        found = features_of(word)
         if len(word) < 64:
             self[word] = found
         return found
@@ -82,12 +87,12 @@ class Weights(dict):
 
     def __init__(self, model: Model):
         super().__init__()
-        self.model, self.features = model, Features()
+        self.model = model
 
     def __missing__(self, word: str) -> float:
         if len(self) >= CACHED_WORDS:
             self.clear()
-        found = float(sum([self.model.weights[f] for f in self.features[word]]))
+        found = float(sum([self.model.weights[f] for f in features_of(word)]))
         if len(word) < 64:
             self[word] = found
         return found
@@ -199,8 +204,10 @@ def chosen(features: DataFrame) -> DataFrame:
     for r in sorted(sizes.collect(), key=lambda r: (r["h"], r["doc_id"])):  # at most SAMPLE_ROWS rows
         if r["n"] <= left:
             left -= r["n"]
-            ids.append((r["doc_id"],))
-    return features.join(F.broadcast(features.sparkSession.createDataFrame(ids, "doc_id long")), "doc_id")
+            ids.append(r["doc_id"])
+    # As an Arrow table, ids need no Python workers of another kind beside the others.
+    there = features.sparkSession.createDataFrame(pa.table({"doc_id": pa.array(ids, pa.int64())}))
+    return features.join(F.broadcast(there), "doc_id")
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column) -> Model:

@@ -206,3 +206,10 @@ def test_words_numbered_at_once_are_those_numbered_alone(monkeypatch):
         assert alone.numbers([w]).tolist() == [0]
         assert [getattr(alone, f)[0] for f in ("hash", "kind", "unit", "ends")] == [getattr(together, f)[k] for f in ("hash", "kind", "unit", "ends")]
     assert together.kind[at[:4]].tolist() == [tm.NUMBER, tm.NUMBER, tm.NUMBER, tm.NAME] and together.ends[at[[3, 5, 9]]].all() and not together.ends[at[[6, 7]]].any()
+
+
+def test_windows_that_do_not_fit_go_to_python_once(spark):
+    """Two Python nodes in a task take two workers, which stay and are used by all later stages."""
+    docs = spark.createDataFrame([(1, filler(1) + ITEMS[0][1])], "doc_id long, text string")
+    there = tm.find(docs, spark.createDataFrame(ITEMS, "item_id long, text string"))
+    assert there._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("BatchEvalPython") == 1

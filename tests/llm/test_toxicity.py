@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from meterframe.llm import toxicity
 from meterframe.llm.folds import is_training
+from meterframe.session import durable
 
 WORDS = [a + b for a in "ba ke li mo nu ra so ti vo zu".split() for b in "lan mer pix ron ton tus".split()]
 
@@ -193,3 +194,17 @@ def test_fit_against_a_dense_one(spark):
     assert set(np.flatnonzero(model.weights)) == set(used)
     assert np.allclose(model.weights[used], w[:-2], atol=1e-6)
     assert math.isclose(model.bias, w[-2], abs_tol=1e-6) and math.isclose(model.leak, 1 / (1 + math.exp(-w[-1])), abs_tol=1e-6)
+
+
+def test_ids_of_the_sample_take_no_python_workers(spark):
+    """An RDD of Python rows takes a daemon and workers of its own beside those of the operators."""
+    sample = spark.createDataFrame([(1, 1, "balan mer"), (2, 0, "kepix ron")], "doc_id long, toxic int, text string")
+    features = durable(toxicity.sample_features(sample, np.ones(1 << toxicity.BITS, bool)))
+    assert "ExistingRDD" not in toxicity.chosen(features)._jdf.queryExecution().executedPlan().toString()
+    assert toxicity.chosen(features.limit(0)).collect() == []
+
+
+def test_scoring_keeps_each_word_once():
+    weights = toxicity.Weights(toxicity.Model(np.ones(1 << toxicity.BITS), 0.0))
+    assert weights["balan"] == 2.0 and weights["mer"] == 1.0
+    assert not any(isinstance(held, toxicity.Features) for held in vars(weights).values())
